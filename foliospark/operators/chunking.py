@@ -32,74 +32,95 @@ def window_count(length: Column, size: int = SIZE, overlap: int = OVERLAP) -> Co
     return F.greatest(F.lit(0), F.ceil((length - size) / F.lit(step))).cast("int") + 1
 
 
-def explode_windows(df: DataFrame, text: str, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
-    """One row per window: ``chunk_index``, ``_window``, ``_before``, ``_after``.
+def text_blocks(df: DataFrame, text: str, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
+    """One row per block of ``WINDOWS_PER_BLOCK`` windows; nearly every document is one block.
 
-    ``_before`` and ``_after`` are the neighbouring characters, empty at the ends.
+    Adds ``_body`` (the block and the characters its last window reaches into the
+    next one), ``_edge`` (the character before the block) and ``_first`` and
+    ``_last`` (window numbers).
     """
-    step = size - overlap
-    block = step * WINDOWS_PER_BLOCK
-    blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
-    # A window may reach ``overlap`` characters into the next block, plus one to look ahead.
-    padded = F.transform(
-        F.col("_blocks"),
-        lambda b, i: F.concat(b, F.coalesce(F.substring(F.try_element_at(F.col("_blocks"), i + 2), 1, overlap + 1), F.lit(""))),
-    )
-    before = F.transform(
-        F.col("_blocks"),
-        lambda b, i: F.when(i == 0, F.lit("")).otherwise(F.right(F.element_at(F.col("_blocks"), F.greatest(i, F.lit(1))), F.lit(1))),
+    block = (size - overlap) * WINDOWS_PER_BLOCK
+    kept = [c for c in df.columns if c != text]
+    cut = df.select(
+        *kept,
+        window_count(F.length(text), size, overlap).alias("_total"),
+        F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{block}}}"), F.lit(0)).alias("_blocks"),
     )
-    total = window_count(F.length(text), size, overlap)
-    per_block = (
-        df.withColumns({"_total": total, "_blocks": blocks})
-        .withColumn("_parts", F.arrays_zip(padded.alias("t"), before.alias("b")))
-        .select(*df.columns, "_total", F.posexplode("_parts").alias("_block", "_part"))
+    blocks = F.col("_blocks")
+    # Array functions count from 1, so element i + 2 follows the block at position i.
+    parts = F.transform(
+        blocks,
+        lambda b, i: F.struct(
+            F.concat(b, F.coalesce(F.substring(F.try_element_at(blocks, i + 2), 1, overlap + 1), F.lit(""))).alias("body"),
+            F.when(i == 0, F.lit("")).otherwise(F.right(F.element_at(blocks, F.greatest(i, F.lit(1))), F.lit(1))).alias("edge"),
+        ),
     )
     first = F.col("_block") * WINDOWS_PER_BLOCK
-    last = F.least(first + WINDOWS_PER_BLOCK, F.col("_total")) - 1
-    numbered = per_block.filter(first < F.col("_total")).select(
-        *df.columns, "_block", "_part", F.explode(F.sequence(first, last)).alias("chunk_index")
-    )
-    offset = (F.col("chunk_index") - F.col("_block") * WINDOWS_PER_BLOCK) * step
-    body = F.col("_part.t")
-    return numbered.select(
-        *df.columns,
-        "chunk_index",
-        F.substring(body, offset + 1, F.lit(size)).alias("_window"),
-        F.when(offset > 0, F.substring(body, offset, F.lit(1))).otherwise(F.col("_part.b")).alias("_before"),
-        F.substring(body, offset + size + 1, F.lit(1)).alias("_after"),
+    return (
+        cut.select(*kept, "_total", F.posexplode(parts).alias("_block", "_part"))
+        .filter(first < F.col("_total"))
+        .select(
+            *kept,
+            F.col("_part.body").alias("_body"),
+            F.col("_part.edge").alias("_edge"),
+            first.alias("_first"),
+            (F.least(first + WINDOWS_PER_BLOCK, F.col("_total")) - 1).alias("_last"),
+        )
     )
 
 
-def trim_to_words(window: Column, before: Column, after: Column, overlap: int = OVERLAP) -> Column:
-    """Drop a word cut at the left or right edge, unless it is longer than the overlap."""
-    starts_word = (before == "") | (before.rlike(r"\s") & window.rlike(r"^\S"))
-    cut_left = F.regexp_extract(window, r"^\S*\s*", 0)
-    left = F.when(starts_word | (F.length(cut_left) > overlap), window).otherwise(
-        F.substring(window, F.length(cut_left) + 1, F.length(window))
-    )
-    ends_word = (after == "") | (after.rlike(r"\S") & window.rlike(r"\s$"))
-    cut_right = F.regexp_extract(left, r"\S*\s*$", 0)
-    return F.when(ends_word | (F.length(cut_right) > overlap), left).otherwise(
-        F.substring(left, F.lit(1), F.length(left) - F.length(cut_right))
-    )
+def block_chunks(mode: str, size: int, overlap: int, min_chunk: int) -> Column:
+    """Array of (chunk_index, chunk_text) of one block, short chunks left out.
+
+    The steps are nested array functions, so each is evaluated once per window.
+    """
+    step = size - overlap
+    body = F.col("_body")
+
+    def window(n: Column) -> Column:
+        offset = (n - F.col("_first")) * step
+        return F.struct(
+            n.alias("n"),
+            F.substring(body, offset + 1, F.lit(size)).alias("text"),
+            F.when(offset > 0, F.substring(body, offset, F.lit(1))).otherwise(F.col("_edge")).alias("before"),
+            F.substring(body, offset + size + 1, F.lit(1)).alias("after"),
+        )
+
+    def left_cut(w: Column) -> Column:
+        whole = (w["before"] == "") | (w["before"].rlike(r"\s") & w["text"].rlike(r"^\S"))
+        head = F.regexp_extract(F.substring(w["text"], 1, overlap + 1), r"^\S*\s*", 0)
+        return F.struct(w["n"], w["text"], w["after"], F.when(whole, 0).otherwise(F.length(head)).alias("cut"))
+
+    def trim_left(w: Column) -> Column:
+        text = F.when(w["cut"] > overlap, w["text"]).otherwise(F.substring(w["text"], w["cut"] + 1, F.lit(size)))
+        return F.struct(w["n"], text.alias("text"), w["after"])
+
+    def right_cut(w: Column) -> Column:
+        whole = (w["after"] == "") | (w["after"].rlike(r"\S") & w["text"].rlike(r"\s$"))
+        tail = F.regexp_extract(F.right(w["text"], F.lit(overlap + 1)), r"\S*\s*$", 0)
+        return F.struct(w["n"], w["text"], F.when(whole, 0).otherwise(F.length(tail)).alias("cut"))
+
+    def trim_right(w: Column) -> Column:
+        text = F.when(w["cut"] > overlap, w["text"]).otherwise(F.left(w["text"], F.length(w["text"]) - w["cut"]))
+        return F.struct(w["n"].alias("chunk_index"), text.alias("chunk_text"))
+
+    windows = F.transform(F.sequence(F.col("_first"), F.col("_last")), window)
+    if mode == "packed":
+        chunks = F.transform(F.transform(F.transform(F.transform(windows, left_cut), trim_left), right_cut), trim_right)
+    elif mode == "stride":
+        chunks = F.transform(windows, lambda w: F.struct(w["n"].alias("chunk_index"), w["text"].alias("chunk_text")))
+    else:
+        raise ValueError(f"unknown chunk mode: {mode}")
+    return F.filter(chunks, lambda c: F.length(F.trim(c["chunk_text"])) > min_chunk)
 
 
 def chunk_texts(
     df: DataFrame, text: str, mode: str = "packed", size: int = SIZE, overlap: int = OVERLAP, min_chunk: int = MIN_CHUNK
 ) -> DataFrame:
     """Chunks of each row's text; numbers are kept from before the short-chunk filter."""
-    windows = explode_windows(df, text, size, overlap)
-    if mode == "packed":
-        chunk = trim_to_words(F.col("_window"), F.col("_before"), F.col("_after"), overlap)
-    elif mode == "stride":
-        chunk = F.col("_window")
-    else:
-        raise ValueError(f"unknown chunk mode: {mode}")
     kept = [c for c in df.columns if c != text]
-    return windows.select(*kept, "chunk_index", chunk.alias("chunk_text")).filter(
-        F.length(F.trim("chunk_text")) > min_chunk
-    )
+    chunks = block_chunks(mode, size, overlap, min_chunk)
+    return text_blocks(df, text, size, overlap).select(*kept, F.inline(chunks))
 
 
 def chunkable(parsed: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import term_count
+from ..functions.text import term_count, tokens
 from ..schemas import conform
 from ..seeds import CLASS_WORDS, ClassWord
 
@@ -19,22 +20,30 @@ def classifiable(parsed: DataFrame) -> DataFrame:
     )
 
 
-def class_scores(text: Column, words: Sequence[ClassWord] = CLASS_WORDS) -> list[tuple[str, Column]]:
-    """Weighted word counts per class, all within the document's own row."""
+def class_scores(text: str, words: Sequence[ClassWord] = CLASS_WORDS) -> list[tuple[str, Column]]:
+    """Weighted word counts per class, all within the document's own row.
+
+    Single words are looked up in the tokens (column ``_tokens``); terms with
+    other characters in them are counted in the text.
+    """
     by_class: dict[str, dict[float, list[str]]] = {}
     for w in words:
-        by_class.setdefault(w.document_class, {}).setdefault(float(w.weight), []).append(w.term)
+        by_class.setdefault(w.document_class, {}).setdefault(float(w.weight), []).append(w.term.lower())
     scores = []
     for name in sorted(by_class):
-        total = None
+        parts = []
         for weight, terms in sorted(by_class[name].items()):
-            part = term_count(text, terms) * F.lit(weight)
-            total = part if total is None else total + part
-        scores.append((name, total.cast("double")))
+            single = [t for t in terms if t.isalnum()]
+            other = [t for t in terms if not t.isalnum()]
+            if single:
+                parts.append(F.size(F.filter("_tokens", lambda t: t.isin(*single))) * F.lit(weight))
+            if other:
+                parts.append(term_count(F.col(text), other) * F.lit(weight))
+        scores.append((name, reduce(lambda a, b: a + b, parts).cast("double")))
     return scores
 
 
-def ranked_classes(text: Column, words: Sequence[ClassWord] = CLASS_WORDS) -> Column:
+def ranked_classes(text: str, words: Sequence[ClassWord] = CLASS_WORDS) -> Column:
     """Array of (score, order, class), ordered so that its maximum is the winner."""
     entries = [
         F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("name"))
@@ -52,7 +61,7 @@ def with_best_class(
     without evidence gets the default.  Everything is computed inside the row,
     so classification needs no shuffle however large the corpus is.
     """
-    ranked = df.withColumn("_ranked", ranked_classes(F.col(text), words))
+    ranked = df.withColumn("_tokens", tokens(F.col(text))).withColumn("_ranked", ranked_classes(text, words)).drop("_tokens")
     best = F.array_max("_ranked")
     total = F.aggregate("_ranked", F.lit(0.0), lambda acc, x: acc + x["score"])
     return (

@@ -23,14 +23,16 @@ def question_map(prompts: DataFrame) -> DataFrame:
 
 
 def with_questions(documents: DataFrame, prompts: DataFrame) -> DataFrame:
-    """Documents with the questions of their class, matched on the normalised class.
+    """Documents with the questions of their class, matched on the normalised class ``_key``.
 
     The question table has one row per class and is a seed of known size, so it
     is broadcast and the documents are not shuffled.
     """
     questions = question_map(prompts).select(class_key(F.col("document_class")).alias("_key"), "questions")
-    keyed = documents.withColumn("_key", class_key(unwrap_label(F.col("document_class"))))
-    return keyed.join(F.broadcast(questions), "_key").drop("_key")
+    # Never null, so that no null check on a computed class is pushed below the join and run twice.
+    key = F.coalesce(class_key(unwrap_label(F.col("document_class"))), F.lit(""))
+    keyed = documents.withColumn("_key", key)
+    return keyed.join(F.broadcast(questions), "_key")
 
 
 def extractable(classified: DataFrame, parsed: DataFrame, extractions: DataFrame) -> DataFrame:
@@ -43,47 +45,52 @@ def extractable(classified: DataFrame, parsed: DataFrame, extractions: DataFrame
     return todo.join(texts, "document_id")
 
 
-def rule_answer(text: Column, rule: ExtractRule) -> Column:
-    """Value and score of one rule: the first match, less sure the more answers differ."""
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(1))
-    answers = F.array_distinct(found)
-    return F.struct(
-        F.lit(rule.attribute_name).alias("name"),
-        F.when(F.size(found) > 0, found[0]).alias("value"),
-        F.when(F.size(found) > 0, F.round(1.0 / F.size(answers), 4)).otherwise(F.lit(0.0)).alias("score"),
-    )
-
-
-def answers(text: Column, key: Column, rules: Sequence[ExtractRule] = EXTRACT_RULES) -> Column:
-    """Answers of the rules of the document's own class only.
+def with_answers(asked: DataFrame, rules: Sequence[ExtractRule] = EXTRACT_RULES) -> DataFrame:
+    """Add the result object ``_result``: a response and a score for every question.
 
-    Patterns are literals, so each is compiled once per task; CASE branches of
-    other classes are never evaluated.
+    The value is the first match of the attribute's pattern and the score is
+    lower the more answers differ; questions without a rule or match get null
+    and 0.  Only the patterns of the document's own class are run, each once,
+    and as literals they are compiled once per task.
     """
     by_class: dict[str, list[ExtractRule]] = {}
     for rule in rules:
         by_class.setdefault(rule.document_class, []).append(rule)
-    out = None
+    matches = names = F.when(F.lit(False), None)
     for name, own in by_class.items():
-        value = F.array(*[rule_answer(text, r) for r in own])
-        out = F.when(key == name, value) if out is None else out.when(key == name, value)
-    return F.coalesce(out, F.array().cast("array<struct<name:string,value:string,score:double>>"))
-
-
-def extraction_result(text: Column, key: Column, questions: Column, rules: Sequence[ExtractRule] = EXTRACT_RULES) -> Column:
-    """Result object: a response and a score for every question of the class.
-
-    Questions without a rule are answered with null and score 0.
-    """
-    found = F.map_from_entries(
-        F.transform(answers(text, key, rules), lambda a: F.struct(a["name"], F.struct(a["value"], a["score"])))
+        found = [F.regexp_extract_all(F.col("content_text"), F.lit(r.pattern), F.lit(1)) for r in own]
+        matches = matches.when(F.col("_key") == name, F.array(*found))
+        names = names.when(F.col("_key") == name, F.array(*[F.lit(r.attribute_name) for r in own]))
+    answers = F.map_from_entries(
+        F.transform(
+            F.arrays_zip(F.col("_names").alias("name"), F.col("_matches").alias("m")),
+            lambda x: F.struct(
+                x["name"],
+                F.struct(
+                    F.try_element_at(x["m"], F.lit(1)).alias("value"),
+                    F.when(F.size(x["m"]) > 0, F.round(1.0 / F.size(F.array_distinct(x["m"])), 4)).alias("score"),
+                ),
+            ),
+        )
     )
-    names = F.map_keys(questions)
-    response = F.transform(names, lambda n: F.struct(n.alias("key"), F.try_element_at(found, n)["value"].alias("value")))
+    attributes = F.map_keys("questions")
+    response = F.transform(attributes, lambda n: F.struct(n.alias("key"), F.try_element_at("_answers", n)["value"].alias("value")))
     scores = F.transform(
-        names, lambda n: F.struct(n.alias("key"), F.coalesce(F.try_element_at(found, n)["score"], F.lit(0.0)).alias("value"))
+        attributes,
+        lambda n: F.struct(n.alias("key"), F.coalesce(F.try_element_at("_answers", n)["score"], F.lit(0.0)).alias("value")),
+    )
+    result = F.struct(F.map_from_entries(response).alias(RESPONSE), F.map_from_entries(scores).alias(SCORES))
+    return (
+        asked.withColumns({"_matches": matches, "_names": names})
+        .withColumn("_answers", answers)
+        .withColumn("_result", result)
+        .drop("_matches", "_names", "_answers")
     )
-    return F.struct(F.map_from_entries(response).alias(RESPONSE), F.map_from_entries(scores).alias(SCORES))
+
+
+def stored_result(result: Column) -> Column:
+    """Result object as JSON text that keeps null answers."""
+    return F.to_json(result, {"ignoreNullFields": "false"})
 
 
 def flatten_result(results: DataFrame, column: str = "extraction_json") -> DataFrame:
@@ -103,18 +110,15 @@ def extract(
     todo: DataFrame, prompts: DataFrame, as_of: datetime, rules: Sequence[ExtractRule] = EXTRACT_RULES
 ) -> DataFrame:
     """Entity-attribute-value rows for documents with text."""
-    asked = with_questions(todo, prompts)
-    key = class_key(unwrap_label(F.col("document_class")))
-    result = extraction_result(F.col("content_text"), key, F.col("questions"), rules)
-    answered = asked.withColumn("_r", result)
+    answered = with_answers(with_questions(todo, prompts), rules)
     rows = answered.select(
         "document_id",
         "file_name",
         "file_path",
         "document_class",
-        F.to_json("_r", {"ignoreNullFields": "false"}).alias("extraction_json"),
-        F.col(f"_r.{SCORES}").alias("_scores"),
-        F.explode(f"_r.{RESPONSE}").alias("attribute_name", "attribute_value"),
+        stored_result(F.col("_result")).alias("extraction_json"),
+        F.col(f"_result.{SCORES}").alias("_scores"),
+        F.explode(f"_result.{RESPONSE}").alias("attribute_name", "attribute_value"),
     )
     return conform(
         rows.withColumns(

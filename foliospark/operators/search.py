@@ -49,9 +49,10 @@ def postings(chunks: DataFrame) -> DataFrame:
 def term_statistics(chunks: DataFrame) -> DataFrame:
     """Per term: number of chunks holding it and number of occurrences."""
     words = chunks.select(tokens(F.col("chunk_text")).alias("_t"))
-    seen = words.select(F.explode(F.array_distinct("_t")).alias("term"), F.lit(1).alias("chunk"), F.lit(0).alias("use"))
-    used = words.select(F.explode("_t").alias("term"), F.lit(0).alias("chunk"), F.lit(1).alias("use"))
-    return seen.unionAll(used).groupBy("term").agg(
+    zero, one = F.lit(0), F.lit(1)
+    seen = F.transform(F.array_distinct("_t"), lambda t: F.struct(t.alias("term"), one.alias("chunk"), zero.alias("use")))
+    used = F.transform("_t", lambda t: F.struct(t.alias("term"), zero.alias("chunk"), one.alias("use")))
+    return words.select(F.inline(F.concat(seen, used))).groupBy("term").agg(
         F.sum("chunk").alias("chunk_count"), F.sum("use").alias("occurrences")
     )
 

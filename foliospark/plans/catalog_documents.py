@@ -55,6 +55,7 @@ CLASS_OF_ALL = f"""{BEST_CLASS},
 
 
 def labelled(d: Data):
+    d = d.spread()
     return classify.with_best_class(d.parsed.select("document_id", "file_name", "file_path", "content_text"), "content_text", WORDS)
 
 
@@ -174,10 +175,8 @@ def _(d: Data):
     "parsed",
 )
 def _(d: Data):
-    key = F.col("document_class")
-    asked = extract.with_questions(labelled(d), extraction_prompts(d.spark))
-    result = extract.extraction_result(F.col("content_text"), key, F.col("questions"), RULES)
-    stored = asked.select("document_id", F.to_json(result, {"ignoreNullFields": "false"}).alias("extraction_json"))
+    answered = extract.with_answers(extract.with_questions(labelled(d), extraction_prompts(d.spark)), RULES)
+    stored = answered.select("document_id", extract.stored_result(F.col("_result")).alias("extraction_json"))
     return extract.flatten_result(stored).drop("extraction_json")
 
 
@@ -201,18 +200,20 @@ CHUNKS = PACKED + """, chunks AS (SELECT concat(document_id, '_CHUNK_', i) AS ch
     "parsed",
 )
 def _(d: Data):
-    texts = chunking.chunkable(d.parsed).select("document_id", "content_text")
+    texts = chunking.chunkable(d.spread().parsed).select("document_id", "content_text")
     return chunking.chunk_texts(texts, "content_text", mode="stride")
 
 
 @query("d6_chunk_packed", CHUNKS + " SELECT document_id, chunk_index, chunk_text FROM chunks", "parsed")
 def _(d: Data):
-    texts = chunking.chunkable(d.parsed).select("document_id", "content_text")
+    texts = chunking.chunkable(d.spread().parsed).select("document_id", "content_text")
     return chunking.chunk_texts(texts, "content_text")
 
 
 def chunk_table(d: Data):
-    return chunking.chunk_documents(d.parsed, d.classified, empty(d.spark, "document_chunks"), AS_OF)
+    """The chunks of all documents as a stored table, the input of every search."""
+    texts = d.spread().parsed
+    return d.stored(chunking.chunk_documents(texts, d.classified, empty(d.spark, "document_chunks"), AS_OF), "chunks")
 
 
 # --- index and search -------------------------------------------------------
@@ -350,7 +351,7 @@ SCORES = r""", s AS (SELECT document_id, content_text, CASE WHEN length(content_
     "parsed",
 )
 def _(d: Data):
-    source = documents.evaluation_source(d.parsed)
+    source = documents.evaluation_source(d.spread().parsed)
     rows = judge.evaluate(source, "parsed_documents", as_of=AS_OF)
     return rows.select(
         "document_id", "ocr_accuracy_score", "ocr_completeness_score", "ocr_accuracy_reasoning", "ocr_completeness_reasoning"
@@ -379,7 +380,7 @@ def _(d: Data):
     "parsed",
 )
 def _(d: Data):
-    rows = judge.evaluate(documents.evaluation_source(d.parsed), "parsed_documents", as_of=AS_OF)
+    rows = judge.evaluate(documents.evaluation_source(d.spread().parsed), "parsed_documents", as_of=AS_OF)
     shape = """run_name string, app_name string, source_table string, records_evaluated bigint,
         metrics struct<ocr_accuracy_score: struct<mean: double, min: double>, ocr_completeness_score: struct<mean: double, std: double>>"""
     parsed = judge.summary_json(rows).select(F.from_json("summary", shape).alias("s"))
@@ -432,7 +433,7 @@ def text_pages(d: Data, size: int = 40):
        FROM (SELECT doc_id, text, n_chars, unnest(generate_series(0, CAST(ceil(n_chars / 8000.0) AS BIGINT) - 1)) AS i FROM documents) d""",
 )
 def _(d: Data):
-    return splitting.split_pages(text_pages(d), "doc_id")
+    return splitting.split_pages(text_pages(d.spread()), "doc_id")
 
 
 # --- sheets -----------------------------------------------------------------

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread, work_folder
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -109,7 +111,7 @@ VIEWS: dict[str, str] = {
     # A registry of files with CSV or spreadsheet states.
     "file_registry": """
         SELECT concat('FILE_', o_orderkey) AS registry_id, concat('in/', o_orderpriority, '/file_', o_orderkey, '.csv') AS file_path,
-               concat('file_', o_orderkey, '.csv') AS file_name, CAST(o_totalprice * 100 AS BIGINT) AS file_size,
+               concat('file_', o_orderkey, '.csv') AS file_name, CAST(round(o_totalprice * 100) AS BIGINT) AS file_size,
                CASE o_orderstatus WHEN 'F' THEN 'pending' WHEN 'O' THEN 'completed' ELSE 'processing' END AS processing_status,
                o_orderdate AS created_timestamp, o_custkey, o_orderkey
         FROM orders""",
@@ -175,13 +177,22 @@ def with_clause(*names: str, engine: str = "duckdb") -> str:
 class Data:
     """The given tables and the derived views as DataFrames."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread_texts: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.spread_texts = spread_texts
+
+    def spread(self) -> Data:
+        """The same data with small text tables spread over the cores."""
+        return Data(self.spark, self.sf_dir, True)
+
+    def _table(self, name: str) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(df) if self.spread_texts and name in ("documents", "pages") else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return self._table(name)
         if name in VIEWS:
             return self.sql(f"{with_clause(name, engine='spark')} SELECT * FROM {name}")
         raise AttributeError(name)
@@ -189,5 +200,14 @@ class Data:
     def sql(self, text: str) -> DataFrame:
         for table in TABLES:
             if re.search(rf"\b(FROM|JOIN) {table}\b", text):
-                self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+                self._table(table).createOrReplaceTempView(table)
         return self.spark.sql(text)
+
+    def folder(self, purpose: str) -> str:
+        return work_folder(self.spark, purpose)
+
+    def stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        """The rows written to the shared folder and read back, as a stage leaves them."""
+        path = self.folder(purpose)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution is what sizes post-shuffle partitions, splits skewed join
 # partitions and switches to broadcast joins from measured sizes, so the
@@ -44,3 +44,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="foliospark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute an input that has fewer splits than there are cores.
+
+    A small file is one split and would keep one core busy with all text work.
+    Large inputs have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -85,4 +85,5 @@ def append_to(df: DataFrame, name: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with a header; quotes inside values are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
