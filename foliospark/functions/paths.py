@@ -66,15 +66,8 @@ def is_csv(path: Column) -> Column:
 
 def file_type(path: Column) -> Column:
     """File-type label by extension, ``unknown`` for any other."""
-    ext = F.lower(extension(path))
-    by_label: dict[str, list[str]] = {}
-    for suffix, label in FILE_TYPES.items():
-        by_label.setdefault(label, []).append("." + suffix)
-    out = None
-    for label, suffixes in by_label.items():
-        hit = ext.isin(*suffixes)
-        out = F.when(hit, label) if out is None else out.when(hit, label)
-    return out.otherwise("unknown")
+    labels = F.create_map(*[F.lit(v) for suffix, label in FILE_TYPES.items() for v in ("." + suffix, label)])
+    return F.coalesce(F.try_element_at(labels, F.lower(extension(path))), F.lit("unknown"))
 
 
 def is_split_part(path: Column, strict: bool = True) -> Column:

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.jsontext import NO_REASON, judge_reply
+from ..functions.scores import exact_mean
 from ..functions.text import readable_share
 from ..schemas import conform
 
@@ -107,12 +108,14 @@ def metric_summary(results: DataFrame, metrics: tuple[str, ...] = METRICS) -> Da
     """
     long = results.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in metrics])).alias("e"))
     counted = long.select("e.*").filter("score is not null").groupBy("metric", "score").agg(F.count("*").alias("n"))
-    n, total = F.sum("n"), F.sum(F.col("score") * F.col("n"))
-    squares = F.sum(F.col("score") * F.col("score") * F.col("n"))
-    spread = F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (squares - total * total / n) / (n - 1))))
+    n, score = F.sum("n"), F.col("score")
+    millionths = F.sum(F.round(score * 1_000_000).cast("bigint") * F.col("n"))
+    mean = millionths / (n * F.lit(1_000_000.0))
+    squares = F.sum(score * score * F.col("n"))
+    spread = F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (squares - n * mean * mean) / (n - 1))))
     return counted.groupBy("metric").agg(
         n.alias("records"),
-        F.round(total / n, 3).alias("mean"),
+        F.round(mean, 3).alias("mean"),
         F.round(F.percentile("score", 0.5, F.col("n")), 3).alias("median"),
         F.min("score").alias("min"),
         F.max("score").alias("max"),
@@ -125,7 +128,7 @@ def summary_json(results: DataFrame) -> DataFrame:
     metrics = F.struct(
         *[
             F.struct(
-                F.round(F.avg(m), 3).alias("mean"), F.min(m).alias("min"), F.max(m).alias("max"), F.round(F.stddev(m), 3).alias("std")
+                F.round(exact_mean(F.col(m)), 3).alias("mean"), F.min(m).alias("min"), F.max(m).alias("max"), F.round(F.stddev(m), 3).alias("std")
             ).alias(m)
             for m in METRICS
         ]

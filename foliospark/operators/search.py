@@ -130,18 +130,17 @@ def _bm25_scan(corpus: DataFrame, pairs: list[tuple], wanted: DataFrame, k: int)
     groups = [np.array(of_query[q]) for q in queries]
 
     words = corpus.select("chunk_id", tokens(F.col("chunk_text")).alias("tokens"))
+    # One pass for document frequencies and, under the empty term, the corpus size.
+    keys = wanted.select("term").unionAll(wanted.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
+    seen = words.select(F.size("tokens").alias("n"), F.explode(F.concat(F.array(F.lit("")), F.array_distinct("tokens"))).alias("term"))
+    counted = seen.join(F.broadcast(keys), "term", "left_semi").groupBy("term").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    df, total, average = np.zeros(len(terms)), 0, 1.0
     # Bounded by the number of distinct question terms.
-    counted = (
-        words.select(F.explode(F.array_distinct("tokens")).alias("term"))
-        .join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi")
-        .groupBy("term")
-        .count()
-    )
-    df = np.zeros(len(terms))
     for r in counted.collect():
-        df[position[r["term"]]] = r["count"]
-    stats = corpus_statistics(corpus).first()
-    total, average = stats["chunks"], stats["avg_len"] or 1.0
+        if r["term"] == "":
+            total, average = r["c"], (r["n"] / r["c"]) or 1.0
+        else:
+            df[position[r["term"]]] = r["c"]
     idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
     term_set = pa.array(terms, pa.string())
 

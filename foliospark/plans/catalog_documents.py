@@ -101,7 +101,7 @@ def _(d: Data):
     "staged",
 )
 def _(d: Data):
-    routed = routing.route_files(d.staged.withColumnRenamed("text", "content"))
+    routed = routing.route_files(d.spread().staged.withColumnRenamed("text", "content"))
     known = d.staged.join(d.labels.select("doc_id"), "doc_id", "left_semi").select(F.col("relative_path").alias("file_path"))
     rows = routing.ingest_documents(
         routed.withColumn("error_information", F.lit(None).cast("string")), known, empty(d.spark, "large_document_registry"), AS_OF
@@ -376,7 +376,7 @@ def _(d: Data):
 @query(
     "d14_evaluation_run",
     SCORES + """ SELECT 'ocr_eval_v1_1709251200' AS run_name, 'OCR_EVL' AS app_name, 'parsed_documents' AS source_table, count(*) AS records_evaluated,
-       round(avg(a), 3) AS mean_accuracy, min(a) AS min_accuracy, round(avg(c), 3) AS mean_completeness, round(stddev(c), 3) AS std_completeness FROM s2""",
+       round(sum(CAST(round(a * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(a)), 3) AS mean_accuracy, min(a) AS min_accuracy, round(sum(CAST(round(c * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(c)), 3) AS mean_completeness, round(stddev(c), 3) AS std_completeness FROM s2""",
     "parsed",
 )
 def _(d: Data):

@@ -317,7 +317,7 @@ def _(d: Data):
 
 @query(
     "v13_run_statistics",
-    f"""SELECT app_name, run_name, count(*) AS total_documents, round(avg(ocr_accuracy_score), 3) AS avg_accuracy, round(stddev(ocr_completeness_score), 3) AS std_completeness,
+    f"""SELECT app_name, run_name, count(*) AS total_documents, round(sum(CAST(round(ocr_accuracy_score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(ocr_accuracy_score)), 3) AS avg_accuracy, round(stddev(ocr_completeness_score), 3) AS std_completeness,
           max(evaluation_timestamp) AS evaluated_at FROM eval_scores WHERE {OF_SOURCE} GROUP BY 1, 2""",
     "eval_scores",
 )
@@ -362,7 +362,7 @@ def _(d: Data):
     "v14_dashboard_cards",
     """SELECT *, CASE WHEN avg_accuracy >= 0.97 THEN 'Excellent' WHEN avg_accuracy >= 0.9 THEN 'Good' ELSE 'Needs Review' END AS accuracy_verdict,
          CASE WHEN avg_completeness >= 0.97 THEN 'Excellent' WHEN avg_completeness >= 0.9 THEN 'Good' ELSE 'Needs Review' END AS completeness_verdict, round(100.0 * low_count / total_documents, 1) AS low_share
-       FROM (SELECT count(*) AS total_documents, round(avg(ocr_accuracy_score), 4) AS avg_accuracy, round(avg(ocr_completeness_score), 4) AS avg_completeness,
+       FROM (SELECT count(*) AS total_documents, round(sum(CAST(round(ocr_accuracy_score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(ocr_accuracy_score)), 4) AS avg_accuracy, round(sum(CAST(round(ocr_completeness_score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(ocr_completeness_score)), 4) AS avg_completeness,
                count(*) FILTER (ocr_accuracy_score < 0.95 OR ocr_completeness_score < 0.95) AS low_count FROM eval_scores) x""",
     "eval_scores",
 )
@@ -372,8 +372,8 @@ def _(d: Data):
 
 @query(
     "v14_run_comparison",
-    """SELECT run_name, round(avg(ocr_accuracy_score), 3) AS avg_accuracy, round(min(ocr_accuracy_score), 3) AS min_accuracy, round(max(ocr_accuracy_score), 3) AS max_accuracy, round(stddev(ocr_accuracy_score), 3) AS std_accuracy,
-         round(avg(ocr_completeness_score), 3) AS avg_completeness, round(min(ocr_completeness_score), 3) AS min_completeness, round(max(ocr_completeness_score), 3) AS max_completeness,
+    """SELECT run_name, round(sum(CAST(round(ocr_accuracy_score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(ocr_accuracy_score)), 3) AS avg_accuracy, round(min(ocr_accuracy_score), 3) AS min_accuracy, round(max(ocr_accuracy_score), 3) AS max_accuracy, round(stddev(ocr_accuracy_score), 3) AS std_accuracy,
+         round(sum(CAST(round(ocr_completeness_score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(ocr_completeness_score)), 3) AS avg_completeness, round(min(ocr_completeness_score), 3) AS min_completeness, round(max(ocr_completeness_score), 3) AS max_completeness,
          round(stddev(ocr_completeness_score), 3) AS std_completeness, count(document_id) AS doc_count FROM eval_scores GROUP BY run_name""",
     "eval_scores",
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..session import spread, work_folder
 
@@ -174,6 +175,10 @@ def with_clause(*names: str, engine: str = "duckdb") -> str:
     return "WITH " + re.sub(r"SERIES\((\d+),(\d+)\)", SERIES[engine], views) + "\n"
 
 
+# Schemas of the given files, each read once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Data:
     """The given tables and the derived views as DataFrames."""
 
@@ -187,7 +192,10 @@ class Data:
         return Data(self.spark, self.sf_dir, True)
 
     def _table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return spread(df) if self.spread_texts and name in ("documents", "pages") else df
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from . import seeds
 
@@ -66,27 +66,33 @@ RESET_ORDER = (
 )
 
 
+def columns_of(table: str) -> T.StructType:
+    return T.StructType.fromDDL(TABLES[table])
+
+
 def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[table])
+    """A table without rows that the optimizer knows to be empty."""
+    nothing = spark.range(1).filter(F.lit(False))
+    return nothing.select(*[_null(f) for f in columns_of(table).fields])
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the table's columns by name; missing ones become typed nulls."""
-    template = empty(df.sparkSession, table)
     have = set(df.columns)
     return df.select(
         *[
-            (df[f.name].cast(f.dataType) if f.name in have else _null(f)).alias(f.name)
-            for f in template.schema.fields
+            df[f.name].cast(f.dataType).alias(f.name) if f.name in have else _null(f)
+            for f in columns_of(table).fields
         ]
     )
 
 
-def _null(field):
-    from pyspark.sql import functions as F
-
-    return F.lit(None).cast(field.dataType)
+def _null(field: T.StructField) -> Column:
+    return F.lit(None).cast(field.dataType).alias(field.name)
 
 
 def extraction_prompts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(seeds.QUESTIONS), TABLES["extraction_prompts"])
+    """The seeded questions as a literal relation, whose size the optimizer knows."""
+    names = columns_of("extraction_prompts").fieldNames()
+    rows = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in seeds.QUESTIONS])
+    return spark.range(1).select(F.inline(rows))

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every column costs more than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
