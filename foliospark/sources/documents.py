@@ -11,10 +11,12 @@ TEXT_TYPES = ("txt", "html")
 
 
 def read_texts(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Whole text files as ``file_url, content``."""
-    return spark.read.option("wholetext", True).text(files).select(
-        F.col("_metadata.file_path").alias("file_url"), F.col("value").alias("content")
-    )
+    """Whole text files as ``file_url, content``.
+
+    The metadata spell a path with escapes; it is given back as it was asked for.
+    """
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return spark.read.text(files, wholetext=True).select(plain.alias("file_url"), F.col("value").alias("content"))
 
 
 def attach_text(routed: DataFrame, text: str = "raw_text") -> DataFrame:

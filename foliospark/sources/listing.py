@@ -23,7 +23,10 @@ def _listing(files: DataFrame, base: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """One row per file.  File contents are not selected and so never read."""
+    """One row per file that is not empty.  File contents are not selected and so never read.
+
+    Spark's file sources leave out files of zero bytes.
+    """
     return _listing(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base), base)
 
 
