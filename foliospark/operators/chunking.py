@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.jsontext import unwrap_label
 from ..functions.paths import member_id
 from ..schemas import conform
+from .routing import not_in
 
 SIZE = 1000
 OVERLAP = 200
@@ -134,7 +135,7 @@ def chunkable(parsed: DataFrame) -> DataFrame:
 
 def pending_chunking(parsed: DataFrame, chunks: DataFrame) -> DataFrame:
     """Chunkable documents that have no chunks yet."""
-    return chunkable(parsed).join(chunks.select("document_id"), "document_id", "left_anti")
+    return not_in(chunkable(parsed), "document_id", chunks, "document_id")
 
 
 def chunk_documents(

@@ -25,14 +25,14 @@ def question_map(prompts: DataFrame) -> DataFrame:
 def with_questions(documents: DataFrame, prompts: DataFrame) -> DataFrame:
     """Documents with the questions of their class, matched on the normalised class ``_key``.
 
-    The question table has one row per class and is a seed of known size, so it
-    is broadcast and the documents are not shuffled.
+    The seeded question table is a literal of known size with one row per class,
+    so the optimizer broadcasts it and the documents are not shuffled.
     """
     questions = question_map(prompts).select(class_key(F.col("document_class")).alias("_key"), "questions")
     # Never null, so that no null check on a computed class is pushed below the join and run twice.
     key = F.coalesce(class_key(unwrap_label(F.col("document_class"))), F.lit(""))
     keyed = documents.withColumn("_key", key)
-    return keyed.join(F.broadcast(questions), "_key")
+    return keyed.join(questions, "_key")
 
 
 def extractable(classified: DataFrame, parsed: DataFrame, extractions: DataFrame) -> DataFrame:

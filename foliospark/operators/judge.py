@@ -103,11 +103,11 @@ def evaluate(
 def metric_summary(results: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Mean, median, minimum, maximum and sample deviation of each metric.
 
-    Equal scores are counted before the shuffle and the median is taken over
-    (score, count) pairs, so its state grows with the distinct scores only.
+    Scores in [0, 1] are kept to six decimals and counted before the shuffle; the
+    median is taken over at most a million (score, count) pairs.
     """
     long = results.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in metrics])).alias("e"))
-    counted = long.select("e.*").filter("score is not null").groupBy("metric", "score").agg(F.count("*").alias("n"))
+    counted = long.select("e.metric", F.round("e.score", 6).alias("score")).filter("score is not null").groupBy("metric", "score").agg(F.count("*").alias("n"))
     n, score = F.sum("n"), F.col("score")
     millionths = F.sum(F.round(score * 1_000_000).cast("bigint") * F.col("n"))
     mean = millionths / (n * F.lit(1_000_000.0))

@@ -50,8 +50,12 @@ def rejected_files(routed: DataFrame) -> DataFrame:
 
 
 def not_in(df: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:
-    """Anti join on non-null keys, so a null in ``known`` cannot empty the result."""
-    keys = known.select(F.col(known_column).alias(column)).filter(F.col(column).isNotNull())
+    """Anti join on distinct non-null keys.
+
+    A null in ``known`` cannot empty the result, and a key that ``known`` holds
+    very often reaches the join once.
+    """
+    keys = known.select(F.col(known_column).alias(column)).filter(F.col(column).isNotNull()).distinct()
     return df.join(keys, column, "left_anti")
 
 

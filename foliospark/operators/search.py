@@ -91,7 +91,8 @@ def bm25_search(
     if len(pairs) > MAX_QUERY_TERMS:
         ranked = bm25_from_postings(postings(corpus), wanted, corpus_statistics(corpus), checked_k(k))
     else:
-        ranked = _bm25_scan(corpus, [(r["query_id"], r["term"]) for r in pairs], wanted, checked_k(k))
+        # At most k rows per question of a bounded set.
+        ranked = F.broadcast(_bm25_scan(corpus, [(r["query_id"], r["term"]) for r in pairs], wanted, checked_k(k)))
     return ranked.join(index_source(corpus), "chunk_id").select(
         "query_id", "rank", "score", *INDEX_COLUMNS
     )
@@ -99,15 +100,16 @@ def bm25_search(
 
 def bm25_from_postings(index: DataFrame, wanted: DataFrame, stats: DataFrame, k: int) -> DataFrame:
     """Ranking by joining question terms with a stored postings table."""
-    hits = index.join(wanted, "term")
     df = index.join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    # Frequencies go to the question terms first, so the postings are joined only
+    # once; being an inner join, a term with very many postings can be split.
+    hits = index.join(wanted.join(df, "term"), "term")
     total = stats.select("chunks").scalar()
     average = stats.select("avg_len").scalar()
     idf = F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("chunk_len") / average))
     scored = (
-        hits.join(df, "term")
-        .select("query_id", "chunk_id", (idf * weight).alias("part"))
+        hits.select("query_id", "chunk_id", (idf * weight).alias("part"))
         .groupBy("query_id", "chunk_id")
         .agg(F.round(F.sum("part"), 4).alias("score"))
     )

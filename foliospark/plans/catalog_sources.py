@@ -163,7 +163,7 @@ def _(d: Data):
 )
 def _(d: Data):
     seeded = extraction_prompts(d.spark).select("document_class").distinct()
-    return d.classified.join(F.broadcast(seeded), "document_class", "left_semi").groupBy("document_class").agg(F.count("*").alias("documents"))
+    return d.classified.join(seeded, "document_class", "left_semi").groupBy("document_class").agg(F.count("*").alias("documents"))
 
 
 @query(

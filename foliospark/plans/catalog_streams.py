@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import search, splitting
 from ..operators.routing import new_files
-from ..sources.tables import TableFolder
+from ..sources.tables import TableFolder, read_if_there
 from ..streaming.flow import DocumentFlow, drain, stream_arrivals
 from .catalog_documents import RULES, WORDS, CLASS_OF_ALL, CHUNKS, TOKENS
 from .fixtures import Data
@@ -76,8 +76,8 @@ def _(d: Data):
     rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda df, batch: df.write.mode("append").parquet(seen)
     ).trigger(availableNow=True).start().awaitTermination()
-    tables = TableFolder(d.spark, seen.rsplit("/", 1)[0])
-    delivered = d.spark.read.parquet(seen).count() if tables.exists(seen.rsplit("/", 1)[1]) else 0
+    after = read_if_there(d.spark, "file_url string", seen)
+    delivered = 0 if after is None else after.count()
     return d.spark.read.schema("size bigint").parquet(arrivals).agg(F.count("*").alias("arrived")).withColumn("delivered", F.lit(delivered))
 
 

@@ -22,10 +22,11 @@ def keep_all_left(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left outer join that survives one key holding a large share of ``right``.
 
     A left outer join cannot split a skewed right side.  The matched rows are an
-    inner join, which can; the unmatched ones are added behind it.
+    inner join, which can; the unmatched ones are added behind it, found with
+    one row per key of ``right``.
     """
     matched = right.join(left, key)
-    alone = left.join(right.select(key), key, "left_anti")
+    alone = left.join(right.select(key).distinct(), key, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
 

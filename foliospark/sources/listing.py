@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.routing import not_in
+
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -44,8 +46,7 @@ def stream_files(spark: SparkSession, base: str, max_files: int = 10_000) -> Dat
 
 def backlog(listing: DataFrame, processed: DataFrame, processed_path: str) -> DataFrame:
     """Listed files that no table knows yet."""
-    known = processed.select(F.col(processed_path).alias("relative_path")).filter("relative_path is not null")
-    return listing.join(known, "relative_path", "left_anti")
+    return not_in(listing, "relative_path", processed, processed_path)
 
 
 def removed(listing: DataFrame, processed: DataFrame, processed_path: str) -> DataFrame:

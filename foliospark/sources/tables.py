@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import RESET_ORDER, TABLES, empty
@@ -9,6 +10,16 @@ from ..schemas import RESET_ORDER, TABLES, empty
 BATCH = "batch_id"
 
 
+def read_if_there(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
+    """A Parquet folder, or nothing if no batch has written it yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 class TableFolder:
     """The stored tables below one folder that all executors can reach.
 
@@ -35,22 +46,16 @@ class TableFolder:
 
     def read(self, table: str, before: int | None = None, only: int | None = None) -> DataFrame:
         """The table's rows, on request only those of earlier batches or of one batch."""
-        if not self.exists(table):
-            return empty(self.spark, table)
         # The schema names the partition column as well, so nothing is inferred.
-        rows = self.spark.read.schema(f"{TABLES[table]}, {BATCH} bigint").parquet(self.path(table))
+        rows = read_if_there(self.spark, f"{TABLES[table]}, {BATCH} bigint", self.path(table))
+        if rows is None:
+            return empty(self.spark, table)
         if before is not None:
             rows = rows.filter(F.col(BATCH) < before)
         if only is not None:
             rows = rows.filter(F.col(BATCH) == only)
         return rows.drop(BATCH)
 
-    def exists(self, table: str) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        return fs.exists(path)
-
     def reset(self, tables: tuple[str, ...] = RESET_ORDER) -> DataFrame:
         """Empty the tables in dependency order and report their row counts."""
         for table in tables:
