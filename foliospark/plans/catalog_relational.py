@@ -57,11 +57,11 @@ def _(d: Data):
 @query(
     "j3_class_or_default",
     f"""SELECT p.document_id, coalesce({LABEL.format("c.document_class")}, 'unclassified') AS document_class
-        FROM parsed p LEFT JOIN (SELECT * FROM classified WHERE doc_id % 3 <> 0) c ON p.document_id = c.document_id""",
+        FROM parsed p LEFT JOIN (SELECT * FROM classified WHERE doc_id IN (SELECT doc_id FROM labels)) c ON p.document_id = c.document_id""",
     "classified",
 )
 def _(d: Data):
-    classes = d.classified.filter("doc_id % 3 <> 0").select(
+    classes = d.classified.join(d.labels.select("doc_id"), "doc_id", "left_semi").select(
         "document_id", jsontext.unwrap_label(F.col("document_class")).alias("document_class")
     )
     joined = d.parsed.select("document_id").join(classes, "document_id", "left")

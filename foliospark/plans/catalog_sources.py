@@ -32,9 +32,9 @@ def _(d: Data):
     return listing.backlog(d.staged, d.parsed.filter("status = 'parsed'"), "file_path").agg(F.count("*").alias("backlog"))
 
 
-@query("t7_removed_files", "SELECT file_path AS relative_path FROM parsed WHERE doc_id % 4 = 1", "parsed")
+@query("t7_removed_files", "SELECT file_path AS relative_path FROM parsed WHERE doc_id NOT IN (SELECT doc_id FROM labels)", "parsed")
 def _(d: Data):
-    return listing.removed(d.staged.filter("doc_id % 4 <> 1"), d.parsed, "file_path")
+    return listing.removed(d.staged.join(d.labels.select("doc_id"), "doc_id", "left_semi"), d.parsed, "file_path")
 
 
 def orders_as_csv(d: Data) -> str:
@@ -139,9 +139,9 @@ def _(d: Data):
     """Two batches, the second written twice as after a restart."""
     tables = TableFolder(d.spark, d.folder("append"))
     rows = d.parsed
-    tables.write("parsed_documents", conform(rows.filter("doc_id % 2 = 0"), "parsed_documents"), 0)
+    tables.write("parsed_documents", conform(rows.filter("lang <= 'en'"), "parsed_documents"), 0)
     for _ in range(2):
-        tables.write("parsed_documents", conform(rows.filter("doc_id % 2 = 1"), "parsed_documents"), 1)
+        tables.write("parsed_documents", conform(rows.filter("lang > 'en'"), "parsed_documents"), 1)
     return tables.read("parsed_documents").select("document_id", "file_path", "file_size")
 
 

@@ -63,11 +63,11 @@ def _(d: Data):
 
 @query(
     "m2_mark_classified",
-    """SELECT document_id, CASE WHEN status = 'parsed' AND length(trim(content_text)) > 0 AND doc_id % 3 <> 1 THEN 'classified' ELSE status END AS status FROM parsed""",
+    """SELECT document_id, CASE WHEN status = 'parsed' AND length(trim(content_text)) > 0 AND doc_id IN (SELECT doc_id FROM labels) THEN 'classified' ELSE status END AS status FROM parsed""",
     "parsed",
 )
 def _(d: Data):
-    done = d.classified.filter("doc_id % 3 <> 1")
+    done = d.classified.join(d.labels.select("doc_id"), "doc_id", "left_semi")
     return state.mark_classified(d.parsed, done).select("document_id", "status")
 
 
@@ -188,13 +188,13 @@ def _listing(d: Data):
 
 
 def _known(d: Data, column: str):
-    return d.staged.filter("doc_id % 5 = 0").select(F.col("relative_path").alias(column))
+    return d.staged.filter("lang = 'de'").select(F.col("relative_path").alias(column))
 
 
 @query(
     "m8_register_large",
     r"""SELECT concat('REG_', md5(relative_path), '_2024-03-01_000000') AS registry_id, relative_path AS original_file_path, size AS original_file_size, 'pending' AS split_status
-        FROM staged WHERE size > 104857600 AND regexp_matches(upper(relative_path), '\.(PDF|DOCX|PPTX)$') AND doc_id % 5 <> 0""",
+        FROM staged WHERE size > 104857600 AND regexp_matches(upper(relative_path), '\.(PDF|DOCX|PPTX)$') AND lang <> 'de'""",
     "staged",
 )
 def _(d: Data):
@@ -206,7 +206,7 @@ def _(d: Data):
 @query(
     "m8_register_spreadsheets",
     r"""SELECT relative_path AS original_file_path, regexp_extract(relative_path, '[^/]+$') AS original_file_name, 'pending' AS conversion_status
-        FROM staged WHERE regexp_matches(upper(relative_path), '\.XLS[XM]$') AND relative_path NOT LIKE 'converted_excel/%' AND doc_id % 5 <> 0""",
+        FROM staged WHERE regexp_matches(upper(relative_path), '\.XLS[XM]$') AND relative_path NOT LIKE 'converted_excel/%' AND lang <> 'de'""",
     "staged",
 )
 def _(d: Data):
@@ -216,7 +216,7 @@ def _(d: Data):
 
 @query(
     "m9_register_from_listing",
-    """SELECT relative_path AS file_path, size AS file_size, 'pending' AS processing_status FROM staged WHERE upper(relative_path) LIKE '%.CSV' AND doc_id % 5 <> 0""",
+    """SELECT relative_path AS file_path, size AS file_size, 'pending' AS processing_status FROM staged WHERE upper(relative_path) LIKE '%.CSV' AND lang <> 'de'""",
     "staged",
 )
 def _(d: Data):
@@ -227,7 +227,7 @@ def _(d: Data):
 @query(
     "m10_register_page_limit",
     """SELECT file_path AS original_file_path, file_size AS original_file_size, 'pending_page_limit' AS split_status FROM parsed
-       WHERE error_information LIKE '%pages exceeded%' AND doc_id % 5 <> 0""",
+       WHERE error_information LIKE '%pages exceeded%' AND lang <> 'de'""",
     "parsed",
 )
 def _(d: Data):
