@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import term_count, tokens
 from ..schemas import conform
 from ..seeds import CLASS_WORDS, ClassWord
+from .provider import Provider, apply_provider
+
+# Fixed value: the class stored for a text that could not be classified.
+ERROR_CLASS = "classification_error"
 
 
 def classifiable(parsed: DataFrame) -> DataFrame:
@@ -77,9 +81,24 @@ def with_best_class(
     )
 
 
-def classify(parsed: DataFrame, as_of: datetime, words: Sequence[ClassWord] = CLASS_WORDS) -> DataFrame:
-    """Classification rows for every classifiable document."""
-    scored = with_best_class(classifiable(parsed), "content_text", words)
+def classify(
+    parsed: DataFrame, as_of: datetime, words: Sequence[ClassWord] = CLASS_WORDS, provider: Provider | None = None
+) -> DataFrame:
+    """Classification rows for every classifiable document.
+
+    A provider returns a label, plain or as JSON, per text; a text it fails on is
+    stored under the error class.
+    """
+    todo = classifiable(parsed)
+    if provider is None:
+        scored = with_best_class(todo, "content_text", words)
+    else:
+        scored = apply_provider(todo, "content_text", provider, "document_class").withColumns(
+            {
+                "document_class": F.when(F.col("error").isNotNull(), ERROR_CLASS).otherwise(F.col("document_class")),
+                "confidence": F.lit(None).cast("double"),
+            }
+        )
     return conform(
         scored.withColumns(
             {"classification_confidence": F.col("confidence"), "classification_timestamp": F.lit(as_of)}

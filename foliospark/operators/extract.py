@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.jsontext import class_key, explode_json, is_json_object, object_entries, unwrap_label
 from ..schemas import conform
 from ..seeds import EXTRACT_RULES, ExtractRule
+from .provider import Provider, apply_provider
 from .routing import not_in
 
 RESPONSE = "response"
@@ -131,6 +132,18 @@ def extract(
     )
 
 
+def extract_by_provider(todo: DataFrame, prompts: DataFrame, provider: Provider, as_of: datetime) -> DataFrame:
+    """Attribute rows from a user's model.
+
+    The model gets one JSON request per document (``text`` and ``questions``) and
+    returns a result object; a document it fails on gives no rows.
+    """
+    request = F.to_json(F.struct(F.col("content_text").alias("text"), "questions"))
+    asked = with_questions(todo, prompts).withColumn("_request", request)
+    answered = apply_provider(asked, "_request", provider, "extraction_json").filter(F.col("error").isNull())
+    return conform(flatten_result(answered).withColumn("extraction_timestamp", F.lit(as_of)), "document_extractions")
+
+
 def flatten_attributes(extractions: DataFrame, strict: bool = False) -> DataFrame:
     """Attribute rows with JSON values spread over their keys.
 

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.paths import member_id
+from ..functions.paths import CONVERTED_FOLDER, member_id, strip_extension
 from ..functions.text import clip_cell
 from ..schemas import conform
 
@@ -91,5 +91,18 @@ def sheet_previews(
     return df.select("registry_id", "sheet_index", text.alias("preview"))
 
 
+def workbook_texts(registry: DataFrame, previews: DataFrame) -> DataFrame:
+    """One text per spreadsheet: a heading and its sheets in order, with the path it is stored under."""
+    ordered = F.array_sort(F.collect_list(F.struct("sheet_index", "preview")))
+    texts = previews.groupBy("registry_id").agg(F.count("*").alias("_n"), F.transform(ordered, lambda s: s["preview"]).alias("_sheets"))
+    name = F.col("original_file_name")
+    head = F.concat(F.lit("Excel Document: "), name, F.lit("\nTotal Sheets: "), F.col("_n").cast("string"), F.lit("\n\n"))
+    return registry.join(texts, "registry_id").select(
+        "registry_id",
+        F.concat(F.lit(CONVERTED_FOLDER), strip_extension(name), F.lit("_converted.pdf")).alias("converted_pdf_path"),
+        F.concat(head, F.array_join("_sheets", "\n")).alias("document_text"),
+    )
+
+
 def pending_conversions(registry: DataFrame, limit: int = 10) -> DataFrame:
     return registry.filter(F.col("conversion_status") == "pending").orderBy("created_timestamp", "registry_id").limit(limit)

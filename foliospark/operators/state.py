@@ -6,6 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .classify import ERROR_CLASS
+
 # The states of each registry and the moves between them.
 SPLIT_MOVES = {
     "pending": ("splitting",),
@@ -60,14 +62,15 @@ def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mark_classified(parsed: DataFrame, classified: DataFrame) -> DataFrame:
-    """Parsed rows that have a classification change to ``classified``."""
-    done = classified.select("document_id").distinct().withColumn("_done", F.lit(True))
+    """Parsed rows that have a classification change to ``classified``, or to the error state."""
+    failed = F.bool_and(F.coalesce(F.col("document_class") == ERROR_CLASS, F.lit(False)))
+    done = classified.groupBy("document_id").agg(F.when(failed, ERROR_CLASS).otherwise("classified").alias("_done"))
     eligible = (
         (F.col("status") == "parsed") & F.col("content_text").isNotNull() & (F.length(F.trim("content_text")) > 0)
     )
     return (
         parsed.join(done, "document_id", "left")
-        .withColumn("status", F.when(eligible & F.col("_done"), "classified").otherwise(F.col("status")))
+        .withColumn("status", F.when(eligible, F.coalesce("_done", "status")).otherwise(F.col("status")))
         .select(*parsed.columns)
     )
 

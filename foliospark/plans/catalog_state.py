@@ -63,7 +63,7 @@ def _(d: Data):
 
 @query(
     "m2_mark_classified",
-    """SELECT document_id, CASE WHEN status = 'parsed' AND length(trim(content_text)) > 0 AND doc_id IN (SELECT doc_id FROM labels) THEN 'classified' ELSE status END AS status FROM parsed""",
+    """SELECT document_id, CASE WHEN status = 'parsed' AND length(trim(content_text)) > 0 AND doc_id IN (SELECT doc_id FROM labels) THEN CASE WHEN doc_id % 12 = 10 THEN 'classification_error' ELSE 'classified' END ELSE status END AS status FROM parsed""",
     "parsed",
 )
 def _(d: Data):

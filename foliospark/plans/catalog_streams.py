@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import search, splitting
 from ..operators.routing import new_files
 from ..sources.tables import TableFolder, read_if_there
-from ..streaming.flow import DocumentFlow, drain, stream_arrivals
+from ..streaming.flow import DocumentFlow, Hooks, drain, stream_arrivals
 from .catalog_documents import RULES, WORDS, CLASS_OF_ALL, CHUNKS, TOKENS
 from .fixtures import Data
 from .registry import query
@@ -36,8 +36,21 @@ def count_pages(registry):
     return registry.withColumn("page_count", F.ceil(F.col("original_file_size") / F.lit(800000.0)).cast("bigint"))
 
 
-def new_flow(d: Data) -> DocumentFlow:
-    return DocumentFlow(TableFolder(d.spark, d.folder("flow")), WORDS, RULES, count_pages=count_pages, clock=lambda: AS_OF)
+def read_pages(d: Data):
+    """Stand-in for a page reader: the text in as many pages as were counted."""
+    texts = d.staged.select(F.col("relative_path").alias("original_file_path"), "text")
+
+    def pages(planned):
+        rows = planned.join(texts, "original_file_path").select("registry_id", "text", F.explode(F.sequence(F.lit(1).cast("bigint"), "page_count")).alias("page_number"))
+        return rows.select("registry_id", "page_number", F.substring("text", F.col("page_number").cast("int") * 40 - 39, F.lit(40)).alias("page_text"))
+
+    return pages
+
+
+def new_flow(d: Data, arrivals: str | None = None) -> DocumentFlow:
+    hooks = Hooks(count_pages=count_pages, read_pages=read_pages(d) if arrivals else None)
+    tables = TableFolder(d.spark, d.folder("flow"))
+    return DocumentFlow(tables, WORDS, RULES, hooks=hooks, feedback=arrivals, clock=lambda: AS_OF)
 
 
 def run(flow: DocumentFlow, d: Data, arrivals: str, checkpoint: str) -> None:
@@ -136,25 +149,21 @@ def _(d: Data):
 
 @query(
     "t4_split_feedback",
-    f"""SELECT concat('split_documents/', regexp_replace(regexp_extract(relative_path, '[^/]+$'), '\\.[^.]*$', ''), '_part_', i, '_of_', n, '.pdf') AS file_path, i AS part_number
-        FROM (SELECT *, unnest(generate_series(1, n)) AS i FROM (SELECT relative_path, CAST(ceil(size / 160000000.0) AS BIGINT) AS n FROM staged WHERE {LARGE} AND size > 160000000) a) b""",
+    f"""SELECT concat('split_documents/', regexp_replace(regexp_extract(relative_path, '[^/]+$'), '\\.[^.]*$', ''), '_part_', i, '_of_', n, '.pdf') AS file_path, i AS part_number,
+          substring(text, (i - 1) * 8000 + 1, 8000) AS content_text
+        FROM (SELECT *, unnest(generate_series(1, n)) AS i FROM (SELECT relative_path, text, CAST(ceil(size / 160000000.0) AS BIGINT) AS n FROM staged WHERE {LARGE} AND size > 160000000) a) b""",
     "staged",
 )
 def _(d: Data):
     """Parts of split documents come back as new arrivals and are parsed as parts."""
-    flow, arrivals, checkpoint = new_flow(d), d.folder("arrivals"), d.folder("checkpoint")
+    arrivals, checkpoint = d.folder("arrivals"), d.folder("checkpoint")
+    flow = new_flow(d, arrivals)
     arrive(d, arrivals)
     run(flow, d, arrivals, checkpoint)
-    parts = flow.tables.read("document_split_parts")
-    # A part is about its share of the bytes; its text stands for its pages.
-    again = parts.select(
-        F.col("part_stage_path").alias("relative_path"), F.col("part_size").alias("size"), F.col("part_id").alias("file_url"),
-        F.concat(F.lit("text of part "), "part_id").alias("raw_text"),
-    )
-    again.withColumn("size", F.least("size", F.lit(104857600))).write.mode("append").parquet(arrivals)
     run(flow, d, arrivals, checkpoint)
-    back = splitting.link_parts(flow.tables.read("parsed_documents").filter("is_split_part and file_path like 'split_documents/%'"), parts)
-    return back.select("file_path", "part_number")
+    back = flow.tables.read("parsed_documents").filter("is_split_part and file_path like 'split_documents/%'")
+    linked = splitting.link_parts(back, flow.tables.read("document_split_parts"))
+    return linked.select("file_path", "part_number", "content_text")
 
 
 @query("t6_corpus_refresh", STREAM_SQL + TOKENS.lstrip() + " SELECT count(*) AS chunks, round(avg(len(t)), 4) AS avg_len FROM tk", "staged")

@@ -84,7 +84,7 @@ VIEWS: dict[str, str] = {
                ts AS start_time, value AS credits_used
         FROM events""",
     "function_usage": """
-        SELECT CASE event_type WHEN 'view' THEN 'AI_PARSE_DOCUMENT' WHEN 'click' THEN 'ai_classify' WHEN 'purchase' THEN 'AI_EXTRACT'
+        SELECT CASE event_type WHEN 'view' THEN 'DOC_PARSE_DOCUMENT' WHEN 'click' THEN 'doc_classify' WHEN 'purchase' THEN 'DOC_EXTRACT'
                     ELSE 'COMPLETE' END AS function_name, ts AS start_time, value AS token_credits
         FROM events""",
     "search_usage": """

@@ -12,13 +12,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import paths
-from ..operators import chunking, classify, extract, routing, splitting, state
+from ..operators import chunking, classify, extract, routing, sheets, splitting, state
+from ..operators.provider import Provider
 from ..schemas import conform, extraction_prompts
 from ..seeds import CLASS_WORDS, EXTRACT_RULES, ClassWord, ExtractRule
 from ..sources import csvfiles, documents, listing
@@ -29,7 +31,28 @@ ARRIVALS = "relative_path string, size bigint, file_url string, raw_text string"
 
 def stream_arrivals(spark: SparkSession, folder: str, max_files: int = 100) -> DataFrame:
     """Files that arrive as rows with their raw text, e.g. from an upstream decoder."""
-    return spark.readStream.schema(ARRIVALS).option("maxFilesPerTrigger", max_files).parquet(folder)
+    source = spark.readStream.schema(ARRIVALS).option("recursiveFileLookup", True)
+    return source.option("maxFilesPerTrigger", max_files).parquet(folder)
+
+
+class Hooks(NamedTuple):
+    """What only a user's own code can supply; every hook may be missing.
+
+    ``decode``: text of file contents that are not text or HTML.
+    ``label``: class of a text.
+    ``answer``: result object for a request of text and questions.
+    ``count_pages``: registry rows of large files with ``page_count`` added.
+    ``read_pages``: their pages as ``registry_id, page_number, page_text``.
+    ``read_cells``: pending spreadsheets to a pair of frames, sheets
+    (``registry_id, sheet_index, sheet_name``) and cells.
+    """
+
+    decode: Provider | None = None
+    label: Provider | None = None
+    answer: Provider | None = None
+    count_pages: Callable[[DataFrame], DataFrame] | None = None
+    read_pages: Callable[[DataFrame], DataFrame] | None = None
+    read_cells: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None
 
 
 class DocumentFlow:
@@ -39,7 +62,8 @@ class DocumentFlow:
         words: Sequence[ClassWord] = CLASS_WORDS,
         rules: Sequence[ExtractRule] = EXTRACT_RULES,
         chunk_mode: str = "packed",
-        count_pages: Callable[[DataFrame], DataFrame] | None = None,
+        hooks: Hooks = Hooks(),
+        feedback: str | None = None,
         clock: Callable[[], datetime] | None = None,
     ):
         self.tables = tables
@@ -47,14 +71,15 @@ class DocumentFlow:
         self.words = words
         self.rules = rules
         self.chunk_mode = chunk_mode
-        self.count_pages = count_pages
+        self.hooks = hooks
+        self.feedback = feedback
         self.clock = clock or (lambda: datetime.now(timezone.utc).replace(tzinfo=None))
 
     # --- one micro-batch ---------------------------------------------------
 
     def run_batch(self, arrived: DataFrame, batch: int) -> None:
         as_of = self.clock()
-        captured = routing.route_files(arrived).persist()
+        captured = routing.first_per_path(routing.route_files(arrived)).persist()
         try:
             if captured.isEmpty():
                 return
@@ -66,6 +91,7 @@ class DocumentFlow:
         self._extract(batch, as_of)
         self._chunk(batch, as_of)
         self._split(batch, as_of)
+        self._convert(batch, as_of)
 
     def _before(self, table: str, batch: int) -> DataFrame:
         return self.tables.read(table, before=batch)
@@ -95,20 +121,24 @@ class DocumentFlow:
         self.tables.write("parsed_documents", rows, batch)
 
     def _read_text(self, routed: DataFrame) -> DataFrame:
-        """Join text files of the batch with their content; at most one trigger's files."""
-        textual = paths.has_extension(F.col("relative_path"), documents.TEXT_TYPES)
-        files = [r["file_url"] for r in routed.filter(textual).select("file_url").collect()]
-        if not files:
+        """Join the batch's files with their text; at most one trigger's files."""
+        textual = paths.has_extension(F.col("relative_path"), documents.TEXT_TYPES).alias("textual")
+        files = routed.select("file_url", textual).collect()
+        found = []
+        if texts := [r["file_url"] for r in files if r["textual"]]:
+            found.append(documents.read_texts(self.spark, texts).withColumn("error_information", F.lit(None).cast("string")))
+        others = [r["file_url"] for r in files if not r["textual"]]
+        if others and self.hooks.decode is not None:
+            found.append(documents.read_decoded(self.spark, others, self.hooks.decode))
+        if not found:
             return routed.withColumn("raw_text", F.lit(None).cast("string"))
-        texts = documents.read_texts(self.spark, files).withColumnRenamed("content", "raw_text")
         # Both sides name a file by its URI; only the slashes behind the scheme differ.
         key = F.regexp_replace("file_url", "^file:/+", "file:/")
-        return (
-            routed.withColumn("_k", key).join(texts.withColumn("_k", key).drop("file_url"), "_k", "left").drop("_k")
-        )
+        contents = reduce(DataFrame.unionByName, found).withColumnRenamed("content", "raw_text")
+        return routed.withColumn("_k", key).join(contents.withColumn("_k", key).drop("file_url"), "_k", "left").drop("_k")
 
     def _classify(self, batch: int, as_of: datetime) -> None:
-        rows = classify.classify(self._new("parsed_documents", batch), as_of, self.words)
+        rows = classify.classify(self._new("parsed_documents", batch), as_of, self.words, self.hooks.label)
         self.tables.write("document_classifications", rows, batch)
 
     def _extract(self, batch: int, as_of: datetime) -> None:
@@ -117,7 +147,11 @@ class DocumentFlow:
             self._new("parsed_documents", batch),
             self._before("document_extractions", batch),
         )
-        rows = extract.extract(todo, extraction_prompts(self.spark), as_of, self.rules)
+        prompts = extraction_prompts(self.spark)
+        if self.hooks.answer is None:
+            rows = extract.extract(todo, prompts, as_of, self.rules)
+        else:
+            rows = extract.extract_by_provider(todo, prompts, self.hooks.answer, as_of)
         self.tables.write("document_extractions", rows, batch)
 
     def _chunk(self, batch: int, as_of: datetime) -> None:
@@ -131,18 +165,55 @@ class DocumentFlow:
         self.tables.write("document_chunks", rows, batch)
 
     def _split(self, batch: int, as_of: datetime) -> None:
-        """Plan parts of newly registered large files; without page counts they wait."""
+        """Plan parts of newly registered large files; without page counts they wait.
+
+        With pages at hand the part texts go to the feedback folder and come back
+        as arrivals.
+        """
         pending = splitting.pending_splits(self._new("large_document_registry", batch))
-        if self.count_pages is None:
-            events = pending.select("registry_id", F.lit("requires_external_processing").alias("split_status"))
-            parts = None
-        else:
-            planned = splitting.plan_splits(self.count_pages(pending))
-            events = planned.select("registry_id", "split_status", "split_count", F.col("page_count").alias("estimated_pages"))
-            parts = splitting.part_rows(planned, as_of)
-        self.tables.write("split_events", conform(events.withColumn("event_time", F.lit(as_of)), "split_events"), batch)
-        if parts is not None:
-            self.tables.write("document_split_parts", parts, batch)
+        if self.hooks.count_pages is None:
+            waiting = pending.select(
+                "registry_id", F.lit("requires_external_processing").alias("split_status"), F.lit(as_of).alias("event_time")
+            )
+            self.tables.write("split_events", conform(waiting, "split_events"), batch)
+            return
+        planned = splitting.plan_splits(self.hooks.count_pages(pending))
+        events = planned.select(
+            "registry_id", "split_status", "split_count", F.col("page_count").alias("estimated_pages"), F.lit(as_of).alias("event_time")
+        )
+        self.tables.write("split_events", conform(events, "split_events"), batch)
+        self.tables.write("document_split_parts", splitting.part_rows(planned, as_of), batch)
+        if self.hooks.read_pages is not None and self.feedback:
+            parts = self._new("document_split_parts", batch)
+            pages = self.hooks.read_pages(planned.filter(F.col("split_count") > 0))
+            texts = splitting.split_pages(pages, "registry_id").select("registry_id", "part_number", "part_text")
+            self._feed(parts.join(texts, ["registry_id", "part_number"]), "part_stage_path", "part_text", f"parts-{batch}")
+
+    def _convert(self, batch: int, as_of: datetime) -> None:
+        """Describe and render the sheets of newly registered spreadsheets, if their cells can be read."""
+        if self.hooks.read_cells is None:
+            return
+        pending = self._new("excel_document_registry", batch)
+        found, cells = self.hooks.read_cells(pending)
+        self.tables.write("excel_sheet_metadata", sheets.sheet_metadata(found, cells, as_of), batch)
+        metadata = self._new("excel_sheet_metadata", batch)
+        counts = metadata.groupBy("registry_id").agg(F.count("*").alias("sheet_count"))
+        rendered = sheets.workbook_texts(pending, sheets.sheet_previews(metadata, cells))
+        events = rendered.join(counts, "registry_id").withColumns(
+            {"conversion_status": F.lit("converted"), "event_time": F.lit(as_of)}
+        )
+        self.tables.write("conversion_events", conform(events, "conversion_events"), batch)
+        if self.feedback:
+            self._feed(rendered, "converted_pdf_path", "document_text", f"sheets-{batch}")
+
+    def _feed(self, rows: DataFrame, path: str, text: str, name: str) -> None:
+        """Write texts as arrivals; a batch that runs again replaces its own."""
+        rows.select(
+            F.col(path).alias("relative_path"),
+            F.octet_length(text).cast("bigint").alias("size"),
+            F.col(path).alias("file_url"),
+            F.col(text).alias("raw_text"),
+        ).write.mode("overwrite").parquet(f"{self.feedback}/{name}")
 
     # --- streams -------------------------------------------------------------
 

@@ -9,7 +9,7 @@ from foliospark.operators import state
 from foliospark.seeds import EXTRACT_RULES
 from foliospark.sources import listing
 from foliospark.sources.tables import TableFolder
-from foliospark.streaming.flow import DocumentFlow, drain, load_csv_batch
+from foliospark.streaming.flow import ARRIVALS, DocumentFlow, Hooks, drain, load_csv_batch
 
 AS_OF = datetime(2024, 3, 1, 12)
 CONTRACT = """Service agreement. Vendor: Acme Tools
@@ -187,3 +187,49 @@ def test_catalog_tables(spark, tmp_path):
     append_to(df, name)
     assert spark.table(name).columns == ["id", "v"] and spark.table(name).count() == 1
     spark.sql(f"drop table {name}")
+
+
+def test_hooks_and_feedback(spark, inbox, tmp_path):
+    """Decoded files, model labels and answers, and converted sheets that come back as documents."""
+    import json
+
+    import pandas as pd
+
+    def decode(contents):
+        return contents.map(lambda b: "decoded %d bytes of an image that is long enough to matter" % len(b))
+
+    def label(texts):
+        if texts.str.contains("handbook").any():
+            raise ValueError("no label")
+        return pd.Series(['{"labels":["case_study"]}'] * len(texts))
+
+    def answer(requests):
+        questions = [json.loads(r)["questions"] for r in requests]
+        return pd.Series([json.dumps({"response": {k: k.upper() for k in q}, "scores": {k: 0.5 for k in q}}) for q in questions])
+
+    def read_cells(pending):
+        ids = pending.select("registry_id")
+        sheets = ids.select("registry_id", F.explode(F.array(F.lit(1), F.lit(2)).cast("array<bigint>")).alias("sheet_index")).withColumn("sheet_name", F.concat(F.lit("S"), "sheet_index"))
+        cells = ids.select("registry_id", F.lit(1).cast("bigint").alias("sheet_index"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(3).cast("bigint"))).alias("row"))
+        return sheets, cells.withColumns({"col": F.lit(2).cast("bigint"), "value": F.concat(F.lit("v"), "row")})
+
+    feedback = str(tmp_path / "feedback")
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    hooks = Hooks(decode=decode, label=label, answer=answer, read_cells=read_cells)
+    flow = DocumentFlow(tables, hooks=hooks, feedback=feedback, clock=lambda: AS_OF)
+    flow.start(listing.stream_files(spark, str(inbox)), str(tmp_path / "c1")).awaitTermination()
+    parsed = {r["file_name"]: r for r in flow.parsed().collect()}
+    assert parsed["scan.png"]["content_text"].startswith("decoded 4 bytes")
+    assert parsed["rules.HTML"]["status"] == "classification_error" and parsed["deal.txt"]["status"] == "classified"
+    answers = tables.read("document_extractions").filter("file_name = 'deal.txt'").collect()
+    assert len(answers) == 7 and all(r["attribute_value"] == r["attribute_name"].upper() and r["confidence_score"] == 0.5 for r in answers)
+    book = flow.spreadsheets().collect()[0]
+    assert (book["conversion_status"], book["sheet_count"], book["converted_pdf_path"]) == ("converted", 2, "converted_excel/book_converted.pdf")
+
+    flow2 = DocumentFlow(tables, clock=lambda: AS_OF)
+    for r in range(2):
+        flow2.run_batch(spark.read.schema(ARRIVALS).option("recursiveFileLookup", True).parquet(feedback), 10 + r)
+    back = tables.read("parsed_documents").filter("file_path like 'converted_excel/%'").collect()
+    assert len(back) == 1
+    assert back[0]["content_text"].startswith("Excel Document: book.xlsx\nTotal Sheets: 2\n\nSheet 1: S1\nRows: 3, Columns: 2\n | v1\n | v2\n | v3\n")
+    assert "(Empty sheet)" in back[0]["content_text"]
