@@ -98,6 +98,12 @@ def bm25_search(
     )
 
 
+def search_text(chunks: DataFrame, text: str, k: int = DEFAULT_K, document_class: str | None = None) -> DataFrame:
+    """Best k chunks for one question."""
+    question = chunks.sparkSession.range(1).select(F.col("id").alias("query_id"), F.lit(text).alias("query_text"))
+    return bm25_search(chunks, question, k, document_class).drop("query_id")
+
+
 def bm25_from_postings(index: DataFrame, wanted: DataFrame, stats: DataFrame, k: int) -> DataFrame:
     """Ranking by joining question terms with a stored postings table."""
     df = index.join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))

@@ -469,3 +469,40 @@ def _(d: Data):
 def _(d: Data):
     metadata = sheets.sheet_metadata(d.sheets, d.cells, AS_OF)
     return sheets.sheet_previews(metadata, d.cells)
+
+
+# --- callable surfaces ------------------------------------------------------
+
+
+@query(
+    "x3_evaluation_parameters",
+    """SELECT 'reader' AS app_name, 'v7' AS app_version, 'ocr_eval_v7_1709251200' AS run_name, 'docs' AS source_table, count(*) AS records FROM parsed""",
+    "parsed",
+)
+def _(d: Data):
+    rows = judge.evaluate(documents.evaluation_source(d.parsed), "docs", "reader", "v7", as_of=AS_OF)
+    return rows.groupBy("app_name", "app_version", "run_name", "source_table").agg(F.count("*").alias("records"))
+
+
+@query(
+    "x4_search_function",
+    BM25.replace("SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM benchmark", "SELECT 0 AS query_id, unnest(['license', 'apache', 'the']) AS term")
+    + " SELECT rank, score, chunk_id FROM ranked WHERE rank <= 7",
+    "parsed",
+)
+def _(d: Data):
+    return search.search_text(chunk_table(d), "The Apache license", 7).select("rank", "score", "chunk_id")
+
+
+@query(
+    "x5_custom_metrics",
+    """SELECT doc_id, CAST(len(regexp_extract_all(text, '[^ \n]+')) AS BIGINT) AS words FROM documents""",
+)
+def _(d: Data):
+    import json
+
+    def measure(texts):
+        return texts.map(lambda t: json.dumps({"words": len([w for line in t.split("\n") for w in line.split(" ") if w])}))
+
+    scored = apply_provider(d.spread().documents.select("doc_id", "text"), "text", measure, "metrics")
+    return scored.select("doc_id", jsontext.path_value(F.col("metrics"), "$.words", "bigint").alias("words"))

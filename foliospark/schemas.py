@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from . import seeds
@@ -92,7 +94,11 @@ def _null(field: T.StructField) -> Column:
 
 
 def extraction_prompts(spark: SparkSession) -> DataFrame:
-    """The seeded questions as a literal relation, whose size the optimizer knows."""
+    """The seeded questions as one literal, whose size the optimizer knows."""
     names = columns_of("extraction_prompts").fieldNames()
-    rows = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in seeds.QUESTIONS])
-    return spark.range(1).select(F.inline(rows))
+    rows = json.dumps([dict(zip(names, row)) for row in seeds.QUESTIONS])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), f"array<struct<{_fields('extraction_prompts')}>>")))
+
+
+def _fields(table: str) -> str:
+    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in columns_of(table).fields)
