@@ -13,7 +13,10 @@ from .fixtures import Data
 from .registry import query
 
 AS_OF = datetime(2024, 3, 1)
-P = F.col("relative_path")
+
+
+def _path():
+    return F.col("relative_path")
 
 # --- predicates -------------------------------------------------------------
 
@@ -24,7 +27,7 @@ P = F.col("relative_path")
     "staged",
 )
 def _(d: Data):
-    return d.staged.select("doc_id", paths.is_large_type(P).alias("large_type"))
+    return d.staged.select("doc_id", paths.is_large_type(_path()).alias("large_type"))
 
 
 @query(
@@ -33,7 +36,7 @@ def _(d: Data):
     "staged",
 )
 def _(d: Data):
-    return d.staged.filter(paths.is_parse_type(P)).select("relative_path", "size")
+    return d.staged.filter(paths.is_parse_type(_path())).select("relative_path", "size")
 
 
 @query(
@@ -43,12 +46,12 @@ def _(d: Data):
     "staged",
 )
 def _(d: Data):
-    return d.staged.filter(paths.is_spreadsheet(P)).select("relative_path", "size")
+    return d.staged.filter(paths.is_spreadsheet(_path())).select("relative_path", "size")
 
 
 @query("p4_route_csv", "SELECT relative_path, size FROM staged WHERE upper(relative_path) LIKE '%.CSV'", "staged")
 def _(d: Data):
-    return d.staged.filter(paths.is_csv(P)).select("relative_path", "size")
+    return d.staged.filter(paths.is_csv(_path())).select("relative_path", "size")
 
 
 @query(
@@ -70,7 +73,7 @@ def _(d: Data):
     "staged",
 )
 def _(d: Data):
-    return d.staged.select("doc_id", paths.file_type(P).alias("document_type"))
+    return d.staged.select("doc_id", paths.file_type(_path()).alias("document_type"))
 
 
 @query(
@@ -81,7 +84,7 @@ def _(d: Data):
 )
 def _(d: Data):
     return d.staged.select(
-        "doc_id", paths.is_split_part(P).alias("is_split_part"), paths.is_split_part(P, strict=False).alias("is_numbered_part")
+        "doc_id", paths.is_split_part(_path()).alias("is_split_part"), paths.is_split_part(_path(), strict=False).alias("is_numbered_part")
     )
 
 
@@ -283,7 +286,7 @@ def _(d: Data):
 )
 def _(d: Data):
     return d.staged.select(
-        "doc_id", paths.registry_id("REG", P, AS_OF).alias("registry_id"), paths.document_id(P, AS_OF).alias("document_id")
+        "doc_id", paths.registry_id("REG", _path(), AS_OF).alias("registry_id"), paths.document_id(_path(), AS_OF).alias("document_id")
     )
 
 
@@ -349,7 +352,7 @@ def _(d: Data):
 
 @query("f10_path_hash", "SELECT doc_id, md5(relative_path) AS path_hash FROM staged", "staged")
 def _(d: Data):
-    return d.staged.select("doc_id", paths.path_hash(P).alias("path_hash"))
+    return d.staged.select("doc_id", paths.path_hash(_path()).alias("path_hash"))
 
 
 @query(

@@ -276,7 +276,7 @@ def _(d: Data):
     "split_parts",
 )
 def _(d: Data):
-    parts = d.split_parts.dropDuplicates(["part_stage_path"])
+    parts = d.split_parts
     stored = parts.select(F.col("part_stage_path").alias("file_path"), "parsed_content")
     return splitting.merged_documents(parts.drop("parsed_content"), stored)
 

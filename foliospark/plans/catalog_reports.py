@@ -84,7 +84,7 @@ def _(d: Data):
 def _(d: Data):
     from ..operators.splitting import merged_documents
 
-    parts = d.split_parts.dropDuplicates(["part_stage_path"])
+    parts = d.split_parts
     stored = parts.select(F.col("part_stage_path").alias("file_path"), "parsed_content")
     return merged_documents(parts.drop("parsed_content"), stored, strict=True)
 
@@ -404,7 +404,7 @@ def _(d: Data):
     "split_parts",
 )
 def _(d: Data):
-    parts = d.split_parts.dropDuplicates(["part_stage_path"])
+    parts = d.split_parts
     stored = parts.select(F.col("part_stage_path").alias("file_path"), "parsed_content")
     return reports.error_free_parts(parts.drop("parsed_content"), stored)
 
@@ -413,6 +413,6 @@ def _(d: Data):
 def _(d: Data):
     from ..operators.splitting import link_parts
 
-    parts = d.split_parts.dropDuplicates(["part_stage_path"])
+    parts = d.split_parts
     parsed = parts.select(F.col("part_stage_path").alias("file_path"), F.lit(None).cast("string").alias("parent_registry_id"), F.lit(None).cast("bigint").alias("part_number"))
     return link_parts(parsed, parts)

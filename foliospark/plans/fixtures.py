@@ -108,7 +108,8 @@ VIEWS: dict[str, str] = {
                     WHEN l.l_linenumber = 3 THEN concat('{"content":"errorInformation is a word here ', l.l_partkey, '"}')
                     ELSE concat('{"content":"text ', l.l_partkey, ' of ', l.l_suppkey, '"}') END AS parsed_content
         FROM (SELECT concat('REG_', o_orderkey) AS registry_id, o_orderkey, concat('docs/order_', o_orderkey, '.pdf') AS original_file_path FROM orders) o
-        JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
+        JOIN (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, max(l_returnflag) AS l_returnflag FROM lineitem
+              GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey) l ON l.l_orderkey = o.o_orderkey""",
     # A registry of files with CSV or spreadsheet states.
     "file_registry": """
         SELECT concat('FILE_', o_orderkey) AS registry_id, concat('in/', o_orderpriority, '/file_', o_orderkey, '.csv') AS file_path,
