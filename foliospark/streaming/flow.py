@@ -64,6 +64,7 @@ class DocumentFlow:
         chunk_mode: str = "packed",
         hooks: Hooks = Hooks(),
         feedback: str | None = None,
+        csv_base: str | None = None,
         clock: Callable[[], datetime] | None = None,
     ):
         self.tables = tables
@@ -73,6 +74,7 @@ class DocumentFlow:
         self.chunk_mode = chunk_mode
         self.hooks = hooks
         self.feedback = feedback
+        self.csv_base = csv_base
         self.clock = clock or (lambda: datetime.now(timezone.utc).replace(tzinfo=None))
 
     # --- one micro-batch ---------------------------------------------------
@@ -87,6 +89,8 @@ class DocumentFlow:
             self._parse(captured, batch, as_of)
         finally:
             captured.unpersist()
+        if self.csv_base:
+            load_csv_batch(self.tables, self.csv_files(), self.csv_base, batch, as_of)
         self._classify(batch, as_of)
         self._extract(batch, as_of)
         self._chunk(batch, as_of)

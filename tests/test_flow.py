@@ -216,13 +216,14 @@ def test_hooks_and_feedback(spark, inbox, tmp_path):
     feedback = str(tmp_path / "feedback")
     tables = TableFolder(spark, str(tmp_path / "tables"))
     hooks = Hooks(decode=decode, label=label, answer=answer, read_cells=read_cells)
-    flow = DocumentFlow(tables, hooks=hooks, feedback=feedback, clock=lambda: AS_OF)
+    flow = DocumentFlow(tables, hooks=hooks, feedback=feedback, csv_base=str(inbox), clock=lambda: AS_OF)
     flow.start(listing.stream_files(spark, str(inbox)), str(tmp_path / "c1")).awaitTermination()
     parsed = {r["file_name"]: r for r in flow.parsed().collect()}
     assert parsed["scan.png"]["content_text"].startswith("decoded 4 bytes")
     assert parsed["rules.HTML"]["status"] == "classification_error" and parsed["deal.txt"]["status"] == "classified"
     answers = tables.read("document_extractions").filter("file_name = 'deal.txt'").collect()
     assert len(answers) == 7 and all(r["attribute_value"] == r["attribute_name"].upper() and r["confidence_score"] == 0.5 for r in answers)
+    assert {r["file_name"]: r["processing_status"] for r in flow.csv_files().collect()} == {"sales.csv": "completed", "bad.csv": "error"}
     book = flow.spreadsheets().collect()[0]
     assert (book["conversion_status"], book["sheet_count"], book["converted_pdf_path"]) == ("converted", 2, "converted_excel/book_converted.pdf")
 
