@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
 
-from . import chat, pieces, sharding, token_files
+from . import chat, decontaminate, language_id, neighbours, pieces, quality, sharding, token_files
 from .common import stored, table
 
 
@@ -18,6 +18,66 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def _fold(parts: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _fold(3) == 1
+    model = language_id.fit(docs, F.coalesce(~held_out, F.lit(True)))
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _fold(5) == 0
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out, held_out)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
+OP5_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS INTEGER) AS rank,
+  c.vec_id, list_inner_product(q.e, c.e) AS score
+FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 QUALIFY rank <= 20
+"""
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
+    return marked.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT *, least(10, len(w)) AS m FROM b WHERE len(w) > 0))),
+grams AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)),
+found AS (SELECT doc_id, i, m, item_id FROM grams JOIN windows USING (m, g)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -63,5 +123,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op7_sharding, op9_chat_format, op10_sentencepiece)}
-SQL = {"op9_chat_format": OP9_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_token_files, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op9_chat_format, op10_sentencepiece)
+}
+SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL}
