@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
 
-from . import chat, decontaminate, language_id, neighbours, pieces, quality, sharding, token_files
+from . import chat, decontaminate, language_id, near_dups, neighbours, pieces, quality, sharding, token_files
 from .common import stored, table
 
 
@@ -18,6 +18,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), size=5, similarity=0.75)
+
+
 def _fold(parts: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
@@ -41,8 +45,8 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0)
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
 SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS INTEGER) AS rank,
   c.vec_id, list_inner_product(q.e, c.e) AS score
 FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 QUALIFY rank <= 20
@@ -125,6 +129,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_files, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op9_chat_format, op10_sentencepiece)
+    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op9_chat_format, op10_sentencepiece)
 }
 SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL}
