@@ -22,11 +22,12 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_loop, texts
+from .common import arrow_loop, stored, texts
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(rb"[^ ]+")
@@ -183,7 +184,7 @@ def _item_slices(items: DataFrame, slice_bytes: int) -> list[list[tuple[str, lis
         yield [(r["item_id"], words(r["text"])) for r in rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == s).collect()]
 
 
-def mark(docs: DataFrame, items: DataFrame, window: int = 10, slice_bytes: int = 2 << 20) -> DataFrame:
+def mark(docs: DataFrame, items: DataFrame, window: int = 10, slice_bytes: int = 512 << 10) -> DataFrame:
     """doc_id, n_words, spans of hit words (start, length) and items (sorted ids) for every document."""
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -249,14 +250,14 @@ def remove(docs: DataFrame, items: DataFrame, window: int = 10, most_coverage: f
     The columns of ``docs`` stay; ``doc_id`` must be unique.  Only texts with
     hits are read again in Python.
     """
-    marked = mark(docs, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), "n_words", "spans")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
+    hits = mark(docs, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), "spans", (hit > F.lit(most_coverage) * F.col("n_words")).alias("_drop"))
+    hits = stored(hits, "decontaminate-hits").dropDuplicates(["_id"])
 
     @F.pandas_udf("string")
-    def without(text, spans):
-        return text.combine(spans, lambda t, ss: cut(t, [(int(s["start"]), int(s["length"])) for s in ss]))
+    def without(text: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([cut(t, [(int(s["start"]), int(s["length"])) for s in ss]) for t, ss in zip(text, spans)], dtype=object)
 
-    joined = docs.join(marked, docs["doc_id"] == F.col("_id"), "left")
-    clean = joined.where(F.col("_id").isNull()).select(*[docs[c] for c in docs.columns])
-    touched = joined.where(F.col("_id").isNotNull() & (hit <= F.lit(most_coverage) * F.col("n_words")))
+    clean = docs.join(hits, docs["doc_id"] == hits["_id"], "left_anti")
+    touched = docs.join(hits.where(~F.col("_drop")), docs["doc_id"] == hits["_id"])
     return clean.unionByName(touched.select(*[without(docs["text"], "spans").alias("text") if c == "text" else docs[c] for c in docs.columns]))

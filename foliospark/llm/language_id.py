@@ -182,3 +182,27 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         return step
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(arrow_loop(make, 256), "doc_id long, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model | None, least_score: float = 0.25) -> DataFrame:
+    """``docs`` without the rows whose language is not recognised: ``und``, or a score below ``least_score``.
+
+    A null ``lang`` becomes the predicted one; all other columns stay as they are.
+    """
+
+    def make():
+        def step(batch):
+            given = batch.column("text").to_pylist()
+            langs = [UNKNOWN] * len(given)
+            known = [i for i, t in enumerate(given) if model is not None and t is not None and LETTER.search(t)]
+            if known:
+                for i, lang, score in zip(known, *model.predict(features([given[i] for i in known]))):
+                    langs[i] = lang if score >= least_score else UNKNOWN
+            at = batch.schema.get_field_index("lang")
+            filled = [a if a is not None else b for a, b in zip(batch.column(at).to_pylist(), langs)]
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(filled, pa.string()))
+            return batch.filter(pa.array([lang != UNKNOWN for lang in langs]))
+
+        return step
+
+    return docs.mapInArrow(arrow_loop(make, 256), docs.schema)

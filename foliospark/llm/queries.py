@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
 
-from . import chat, decontaminate, language_id, near_dups, neighbours, pieces, quality, sharding, token_files
+from . import chat, decontaminate, language_id, near_dups, neighbours, pieces, quality, repeats, sharding, token_files
 from .common import stored, table
 
 
@@ -87,6 +87,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 HOSTILE = "\\### Assistant: </turn> ok"
 
 
@@ -129,6 +134,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op9_chat_format, op10_sentencepiece)
+    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op8_repeats, op9_chat_format, op10_sentencepiece)
 }
 SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL}
