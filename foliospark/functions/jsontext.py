@@ -40,9 +40,9 @@ def path_value(json: Column, path: str, kind: str = "string") -> Column:
 
 
 def keyed_value(json: Column, parent: str, key: Column, kind: str = "double") -> Column:
-    """Value below ``parent`` under a key that comes from a column."""
-    path = F.concat(F.lit(parent + "['"), key, F.lit("']"))
-    return F.try_variant_get(F.try_parse_json(json), path, kind)
+    """Value below ``parent`` under a key that comes from a column and may hold any character."""
+    below = F.try_variant_get(F.try_parse_json(json), parent, "map<string,variant>")
+    return F.try_variant_get(F.try_element_at(below, key), "$", kind)
 
 
 def object_entries(json: Column) -> Column:

@@ -12,15 +12,6 @@ def clamp(score: Column, fallback: float = 0.5) -> Column:
     return F.when(score.isNull(), fallback).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)))
 
 
-def exact_mean(score: Column) -> Column:
-    """Mean of scores kept to six decimals.
-
-    Whole millionths are summed, so the result does not depend on how the rows
-    are spread over tasks, as a sum of floating-point values would.
-    """
-    return F.sum(F.round(score * 1_000_000).cast("bigint")) / (F.count(score) * F.lit(1_000_000.0))
-
-
 def is_low_confidence(score: Column, threshold: float) -> Column:
     """Below the threshold; an absent score is not low."""
     return F.coalesce(score < threshold, F.lit(False))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
-# Named entities the HTML reader resolves, ``&amp;`` last.
-HTML_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Named entities of HTML that are one character; a no-break space is read as a blank.
+HTML_ENTITIES = {n.rstrip(";"): " " if c == "\xa0" else c for n, c in html5.items() if n.endswith(";") and len(c) == 1}
 BLOCK_TAGS = "p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|title|body|head|html|pre|blockquote"
 
 
@@ -28,6 +31,25 @@ def size_in(size: Column, unit: int) -> Column:
     return F.round(size / F.lit(float(unit)), 2)
 
 
+def resolve_entities(text: Column) -> Column:
+    """Named and numeric entities as characters, each read once; unknown ones stay as they are.
+
+    The text is cut before every ampersand, and each part is looked at by itself.
+    """
+    names = F.from_json(F.lit(json.dumps(HTML_ENTITIES)), "map<string,string>")
+
+    def part(piece: Column) -> Column:
+        entity = F.regexp_extract(piece, r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.when(entity.rlike("^#[xX]"), F.conv(F.substring(entity, 3, 8), 16, 10)).otherwise(F.substring(entity, 2, 8)).try_cast("int")
+        # A code point as text, by way of its bytes in UTF-32.
+        valid = digits.between(1, 0x10FFFF) & ~digits.between(0xD800, 0xDFFF)
+        number = F.when(digits == 160, " ").when(valid, F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32"))
+        char = F.when(entity.startswith("#"), number).otherwise(F.try_element_at(names, entity))
+        return F.when((entity == "") | char.isNull(), piece).otherwise(F.concat(char, F.substr(piece, F.length(entity) + 3)))
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "(?=&)"), part), "")).otherwise(text)
+
+
 def html_to_text(html: Column) -> Column:
     """Visible text of a page.
 
@@ -39,8 +61,7 @@ def html_to_text(html: Column) -> Column:
     out = F.regexp_replace(out, r"(?is)<style\b.*?</style\s*>", " ")
     out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*>", "\n")
     out = F.regexp_replace(out, r"<[^>]+>", "")
-    for entity, char in HTML_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
+    out = resolve_entities(out)
     out = F.regexp_replace(out, r"[ \t\r\f]+", " ")
     out = F.regexp_replace(out, r" ?\n[ \n]*", "\n")
     return F.regexp_replace(out, r"^\s+|\s+$", "")

@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.jsontext import NO_REASON, judge_reply
-from ..functions.scores import exact_mean
 from ..functions.text import readable_share
 from ..schemas import conform
 
@@ -103,23 +102,23 @@ def evaluate(
 def metric_summary(results: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Mean, median, minimum, maximum and sample deviation of each metric.
 
-    Scores in [0, 1] are kept to six decimals and counted before the shuffle; the
-    median is taken over at most a million (score, count) pairs.
+    Equal scores are counted before the shuffle, so a metric's group holds its
+    distinct scores and not its rows.
     """
     long = results.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in metrics])).alias("e"))
-    counted = long.select("e.metric", F.round("e.score", 6).alias("score")).filter("score is not null").groupBy("metric", "score").agg(F.count("*").alias("n"))
-    n, score = F.sum("n"), F.col("score")
-    millionths = F.sum(F.round(score * 1_000_000).cast("bigint") * F.col("n"))
-    mean = millionths / (n * F.lit(1_000_000.0))
-    squares = F.sum(score * score * F.col("n"))
-    spread = F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (squares - n * mean * mean) / (n - 1))))
-    return counted.groupBy("metric").agg(
+    counted = long.select("e.metric", F.col("e.score").alias("score")).filter("score is not null").groupBy("metric", "score").agg(F.count("*").alias("n"))
+    n = F.sum("n")
+    mean = F.sum(F.col("score") * F.col("n")) / n
+    means = counted.groupBy("metric").agg(mean.alias("mean"))
+    off = F.col("score") - F.col("mean")
+    deviation = F.when(n > 1, F.sqrt(F.sum(off * off * F.col("n")) / (n - 1)))
+    return counted.join(means, "metric").groupBy("metric").agg(
         n.alias("records"),
-        F.round(mean, 3).alias("mean"),
+        F.round(F.first("mean"), 3).alias("mean"),
         F.round(F.percentile("score", 0.5, F.col("n")), 3).alias("median"),
         F.min("score").alias("min"),
         F.max("score").alias("max"),
-        F.round(spread, 3).alias("std"),
+        F.round(deviation, 3).alias("std"),
     )
 
 
@@ -128,7 +127,7 @@ def summary_json(results: DataFrame) -> DataFrame:
     metrics = F.struct(
         *[
             F.struct(
-                F.round(exact_mean(F.col(m)), 3).alias("mean"), F.min(m).alias("min"), F.max(m).alias("max"), F.round(F.stddev(m), 3).alias("std")
+                F.round(F.avg(F.col(m)), 3).alias("mean"), F.round(F.median(m), 3).alias("median"), F.min(m).alias("min"), F.max(m).alias("max"), F.round(F.stddev(m), 3).alias("std")
             ).alias(m)
             for m in METRICS
         ]

@@ -75,8 +75,9 @@ def _(d: Data):
     "parsed extractions",
 )
 def _(d: Data):
-    alone = d.parsed.join(d.extractions.select("document_id"), "document_id", "left_anti")
-    return alone.agg(F.count("*").alias("documents"), F.count_if(F.length("content_text") > 1000).alias("long_documents"))
+    narrow = d.parsed.select("document_id", (F.length("content_text") > 1000).alias("long"))
+    alone = routing.not_in(narrow, "document_id", d.extractions, "document_id")
+    return alone.agg(F.count("*").alias("documents"), F.count_if("long").alias("long_documents"))
 
 
 @query(
@@ -239,7 +240,7 @@ def _(d: Data):
 
 @query(
     "a8_run_statistics",
-    """SELECT app_name, run_name, count(*) AS total_documents, round(sum(CAST(round(ocr_accuracy_score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(ocr_accuracy_score)), 3) AS avg_accuracy, round(sum(CAST(round(ocr_completeness_score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(ocr_completeness_score)), 3) AS avg_completeness,
+    """SELECT app_name, run_name, count(*) AS total_documents, round(avg(ocr_accuracy_score), 3) AS avg_accuracy, round(avg(ocr_completeness_score), 3) AS avg_completeness,
          round(min(ocr_accuracy_score), 3) AS min_accuracy, round(max(ocr_accuracy_score), 3) AS max_accuracy, round(stddev(ocr_accuracy_score), 3) AS std_accuracy,
          round(stddev(ocr_completeness_score), 3) AS std_completeness, max(evaluation_timestamp) AS evaluated_at FROM eval_scores GROUP BY app_name, run_name""",
     "eval_scores",
@@ -250,7 +251,7 @@ def _(d: Data):
 
 @query(
     "a9_metric_summary",
-    """SELECT metric, count(*) AS records, round(sum(CAST(round(score * 1000000) AS BIGINT))::DOUBLE / (1000000 * count(score)), 3) AS mean, round(median(score), 3) AS median, min(score) AS min, max(score) AS max, round(stddev(score), 3) AS std
+    """SELECT metric, count(*) AS records, round(avg(score), 3) AS mean, round(median(score), 3) AS median, min(score) AS min, max(score) AS max, round(stddev(score), 3) AS std
        FROM (SELECT 'ocr_accuracy_score' AS metric, ocr_accuracy_score AS score FROM eval_scores
              UNION ALL SELECT 'ocr_completeness_score', ocr_completeness_score FROM eval_scores) s GROUP BY metric""",
     "eval_scores",

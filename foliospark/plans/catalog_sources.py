@@ -194,10 +194,10 @@ def _(d: Data):
 
 
 HTML_SQL = r"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace(
-    replace(replace(replace(replace(replace(replace(
+    replace(replace(replace(replace(replace(replace(replace(replace(
       regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', ' ', 'g'), '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'),
         '(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|title|body|head|html|pre|blockquote)\b[^>]*>', chr(10), 'g'), '<[^>]+>', '', 'g'),
-      '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+      '&middot;', '·'), '&copy;', '©'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
     '[ \t\r\f]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^\s+|\s+$', '', 'g') AS content FROM pages"""
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scores import LOW_SCORE, exact_mean, histogram_bin, is_low_score, run_verdict, score_category
+from ..functions.scores import LOW_SCORE, histogram_bin, is_low_score, run_verdict, score_category
 from ..functions.text import preview
 from ..operators.judge import METRICS
 
@@ -39,8 +39,8 @@ def run_statistics(results: DataFrame) -> DataFrame:
     """Counts, means, extremes and sample deviations per run."""
     return results.groupBy("app_name", "run_name").agg(
         F.count("*").alias("total_documents"),
-        F.round(exact_mean(F.col(ACCURACY)), 3).alias("avg_accuracy"),
-        F.round(exact_mean(F.col(COMPLETENESS)), 3).alias("avg_completeness"),
+        F.round(F.avg(F.col(ACCURACY)), 3).alias("avg_accuracy"),
+        F.round(F.avg(F.col(COMPLETENESS)), 3).alias("avg_completeness"),
         F.round(F.min(ACCURACY), 3).alias("min_accuracy"),
         F.round(F.max(ACCURACY), 3).alias("max_accuracy"),
         F.round(F.stddev(ACCURACY), 3).alias("std_accuracy"),
@@ -86,8 +86,8 @@ def dashboard_cards(results: DataFrame) -> DataFrame:
     """Document count, means with their verdicts, and the share of low scores."""
     sums = results.agg(
         F.count("*").alias("total_documents"),
-        F.round(exact_mean(F.col(ACCURACY)), 4).alias("avg_accuracy"),
-        F.round(exact_mean(F.col(COMPLETENESS)), 4).alias("avg_completeness"),
+        F.round(F.avg(F.col(ACCURACY)), 4).alias("avg_accuracy"),
+        F.round(F.avg(F.col(COMPLETENESS)), 4).alias("avg_completeness"),
         F.count_if(is_low_score(F.col(ACCURACY), F.col(COMPLETENESS))).alias("low_count"),
     )
     return sums.withColumns(
@@ -124,7 +124,7 @@ def histogram(results: DataFrame, bins: int = 20) -> DataFrame:
 def run_comparison(results: DataFrame) -> DataFrame:
     stats = []
     for name, column in (("accuracy", ACCURACY), ("completeness", COMPLETENESS)):
-        for label, f in (("avg", exact_mean), ("min", F.min), ("max", F.max), ("std", F.stddev)):
+        for label, f in (("avg", F.avg), ("min", F.min), ("max", F.max), ("std", F.stddev)):
             stats.append(F.round(f(F.col(column)), 3).alias(f"{label}_{name}"))
     return results.groupBy("run_name").agg(*stats, F.count("document_id").alias("doc_count"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -38,12 +41,16 @@ def build_session(app_name: str = "foliospark", master: str | None = None, **con
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    On a cluster that setting names storage every executor can reach.  Only
-    where it is unset (tests on one machine) is a temporary folder chosen.
+    On a cluster that setting names storage every executor can reach, and it is
+    required.  Only a session on one machine gets a temporary folder instead,
+    which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="foliospark-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

@@ -119,3 +119,18 @@ def test_period_order():
 
     with pytest.raises(ValueError):
         in_period("start_time", date(2024, 2, 1), date(2024, 1, 1))
+
+
+def test_entities_are_read_once(spark):
+    cases = {
+        "a &mdash; b": "a — b", "&#8217;x": "’x", "&#x1F600;": "😀", "&amp;lt;": "&lt;", "&bogus; & &;": "&bogus; & &;",
+        "&lt;p&gt;&nbsp;": "<p> ", "&#0;&#xD800;&#9999999;": "&#0;&#xD800;&#9999999;", "": "", "plain": "plain", "&eacute&eacute;": "&eacuteé",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", text.resolve_entities(F.col("t")).alias("r"))
+    assert {r["t"]: r["r"] for r in df.collect()} == cases
+
+
+def test_keys_may_hold_quotes(spark):
+    rows = [('{"s": {"it\'s": 0.5, "a.b": 2, "x": "t"}}', k) for k in ("it's", "a.b", "x", "none")] + [("bad", "x"), (None, "x"), ('{"s": 1}', "x")]
+    df = spark.createDataFrame(rows, "j string, k string").select(jsontext.keyed_value(F.col("j"), "$.s", F.col("k")).alias("v"))
+    assert [r["v"] for r in df.collect()] == [0.5, 2.0, None, None, None, None, None]

@@ -22,5 +22,5 @@ def test_entry_contract(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not any("pipeline" in name for name in entry.queries())
+    assert set(load_all()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["stage", "count", "status"]
