@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,8 @@ def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Texts can be long: fewer rows than the default go to Python at a time.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -66,39 +68,51 @@ class Codes:
     """Strings seen so far with one integer array each, kept in one flat array.
 
     ``expand`` looks strings up at C speed and computes only those not seen
-    before.  It starts again once ``most`` strings are held, so memory is bounded.
+    before.  Once ``most`` strings are held they become the older half, which
+    is asked only for strings that are not in the newer half, and goes when that
+    is full; so memory is bounded and common strings stay.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], dtype, most: int = 700_000):
+    def __init__(self, compute: Callable[[list[str]], list], dtype, most: int = 450_000):
         self.compute, self.dtype, self.most = compute, dtype, most
-        self.clear()
+        self._renew()
+        self.old = {}, self.starts, self.flat
 
-    def clear(self):
+    def _renew(self):
         self.index: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.flat = np.zeros(0, self.dtype)
 
     def expand(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All values in order, and the number of values of each word."""
-        found = list(map(self.index.get, words))
-        if None in found:
-            self._add({w for w, i in zip(words, found) if i is None}, words)
-            found = list(map(self.index.get, words))
-        ids = np.array(found, np.int64)
-        sizes = self.starts[ids + 1] - self.starts[ids]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.arange(total) + np.repeat(self.starts[ids] - (ends - sizes), sizes)
-        return self.flat[places], sizes
-
-    def _add(self, new: set[str], words: list[str]):
-        if len(self.index) + len(new) > self.most:
-            self.clear()
-            new = set(words)
-        order = list(new)
-        found = self.compute(order)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.array(list(map(self.index.get, words, repeat(-1))), np.int64)
+        missing = np.flatnonzero(ids < 0).tolist()
+        if missing:
+            new = {words[i] for i in missing}
+            if len(self.index) + len(new) > self.most:
+                self.old = self.index, self.starts, self.flat
+                self._renew()
+                new, missing = set(words), range(len(words))
+            self._add(new)
+            ids[missing] = [self.index[words[i]] for i in missing]
+        return _expanded(ids, self.starts, self.flat)
+
+    def _add(self, new: set[str]):
+        index, starts, flat = self.old
+        kept = [w for w in new if w in index]
+        fresh = [w for w in new if w not in index]
+        values, sizes = _expanded(np.array([index[w] for w in kept], np.int64), starts, flat)
+        found = self.compute(fresh) if fresh else []
+        more = np.fromiter(map(len, found), np.int64, len(found))
         at = len(self.index)
-        self.index.update(zip(order, range(at, at + len(order))))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), self.dtype, int(sizes.sum()))])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.index.update(zip(chain(kept, fresh), range(at, at + len(new))))
+        self.flat = np.concatenate([self.flat, values, np.fromiter(chain.from_iterable(found), self.dtype, int(more.sum()))])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([sizes, more]))])
+
+
+def _expanded(ids: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = starts[ids]
+    sizes = starts[ids + 1] - first
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(first - (ends - sizes), sizes)], sizes

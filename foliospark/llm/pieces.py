@@ -18,6 +18,7 @@ asked for.  Repeated rows stay; a null id is kept; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -178,7 +179,7 @@ def encode_batch(path: str, batch: list[str], end: bool) -> tuple[np.ndarray, np
     findall = model.parts.findall
     # The mark itself in a text is a blank, and a blank comes before every text that isn't empty.
     parts = [findall(" " + t.replace(BLANK, " ")) if t else [] for t in batch]
-    ids, sizes = codes.expand([p for ps in parts for p in ps])
+    ids, sizes = codes.expand(list(chain.from_iterable(parts)))
     at = np.concatenate([[0], np.cumsum(sizes)])
     ends = at[np.cumsum([len(ps) for ps in parts], dtype=np.int64)]
     lengths = np.diff(ends, prepend=0)

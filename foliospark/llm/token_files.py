@@ -14,7 +14,9 @@ empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,10 @@ from .common import Codes, arrow_loop, list_array, texts
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens int, tokens array<int>"
 
+#: A full stop or comma between a letter and white space is a token of its own; a blank before it changes nothing.
+MARK = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=[ \n]|$)")
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
 _coders: dict[str, Codes] = {}
 
 
@@ -38,9 +44,27 @@ def word_coder(path: str) -> Codes:
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
+        ends = np.zeros(library.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in library.get_vocab(with_added_tokens=True).items():
+            ends[i] = token.endswith("</w>")
 
         def compute(words):
-            return [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
+            # Words of letters are one pre-token each, so many can go through the library as one text.
+            plain, other = [], []
+            for i, w in enumerate(words):
+                (plain if LETTERS.fullmatch(w) else other).append(i)
+            out = [()] * len(words)
+            for i, e in zip(other, library.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
+                out[i] = e.ids
+            for at in range(0, len(plain), 1000):
+                part = plain[at : at + 1000]
+                ids = library.encode(" ".join([words[i] for i in part]), add_special_tokens=False).ids
+                cuts = (np.flatnonzero(ends[ids]) + 1).tolist()
+                if len(cuts) != len(part):
+                    raise ValueError("a word of letters is not one pre-token of this tokenizer")
+                for i, a, b in zip(part, [0, *cuts], cuts):
+                    out[i] = ids[a:b]
+            return out
 
         _coders[path] = Codes(compute, np.int32)
     return _coders[path]
@@ -48,8 +72,8 @@ def word_coder(path: str) -> Codes:
 
 def encode_texts(path: str, end_id: int, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by the end id, and the number of ids of each."""
-    words = [t.replace("\n", " ").split(" ") for t in batch]
-    ids, sizes = word_coder(path).expand([w for ws in words for w in ws])
+    words = [MARK.sub(r" \1", t).replace("\n", " ").split(" ") for t in batch]
+    ids, sizes = word_coder(path).expand(list(chain.from_iterable(words)))
     at = np.concatenate([[0], np.cumsum(sizes)])
     ends = at[np.cumsum([len(ws) for ws in words], dtype=np.int64)]
     lengths = np.diff(ends, prepend=0) + 1
