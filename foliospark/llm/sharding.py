@@ -42,14 +42,17 @@ def pack(vectors: np.ndarray, shards: int) -> np.ndarray:
     """A shard for each row of ``vectors``: the highest dot product with residual capacity.
 
     Vectors are shares of one shard's capacity, so that all dimensions weigh
-    alike; capacities are equal.  Ties go to the first shard.
+    alike; capacities are equal.  Only shards with room in every dimension are
+    asked as long as there are any; without one, the shard with most room in the
+    first dimension (bytes) takes the group.  Ties go to the first shard.
     """
     totals = vectors.sum(axis=0)
     share = vectors / np.where(totals > 0, totals / shards, 1)
     left = np.ones((shards, vectors.shape[1]))
     out = np.zeros(len(vectors), np.int32)
     for i in np.argsort(-share.max(axis=1, initial=0), kind="stable"):
-        out[i] = np.argmax(left @ share[i])
+        room = (left >= share[i] - 1e-12).all(axis=1)
+        out[i] = np.argmax(np.where(room, left @ share[i], -np.inf)) if room.any() else np.argmax(left[:, 0])
         left[out[i]] -= share[i]
     return out
 
