@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -54,8 +55,54 @@ def schema_json(metadata: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, files: str | list[str], columns: list[str]) -> DataFrame:
-    """Rows as text plus their source file and block.
+def file_facts(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    """Per file its header line, and whether some quoted field holds a line break (one distributed pass)."""
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at")
+    )
+    open_quote = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    first = F.min_by("value", F.when(F.trim("value") != "", F.col("_at")))
+    return lines.groupBy("_file").agg(first.alias("header"), F.max(open_quote).alias("multi_line"))
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a header line: trimmed; absent names count from 0, repeated ones (in any case) get their position."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([header], skipinitialspace=True), [])):
+        name = name.strip() or f"_c{i}"
+        names.append(f"{name}{i}" if name.lower() in (n.lower() for n in names) else name)
+    return names
+
+
+# Kinds in the order in which they are tried, and what a value of each looks like besides being castable.
+KINDS = (("int", None), ("bigint", None), ("double", None), ("boolean", r"(?i)^(true|false)$"), ("date", r"^\d{4}-\d{1,2}-\d{1,2}$"), ("timestamp", r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d"))
+
+
+def column_kinds(raw: DataFrame, columns: list[str]) -> DataFrame:
+    """``_file, column_order, kind``: the narrowest kind that fits all values of a column in a file.
+
+    Every value is looked at; only one row per file and column and task is shuffled.
+    """
+    value = F.col("c.value")
+    fits = [
+        F.bool_and(value.isNull() | (value.try_cast(kind).isNotNull() & (value.rlike(look) if look else F.lit(True)))).alias(kind) for kind, look in KINDS
+    ]
+    cells = raw.select("_file", F.explode(F.array(*[F.struct(F.lit(i).alias("column_order"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(columns)])).alias("c"))
+    found = cells.groupBy("_file", F.col("c.column_order").alias("column_order")).agg(F.count(value).alias("n"), *fits)
+    kind = F.coalesce(*[F.when((F.col("n") > 0) & F.col(k), k) for k, _ in KINDS], F.lit("string"))
+    return found.select("_file", "column_order", kind.alias("kind"))
+
+
+def common_kind(kinds: set[str]) -> str:
+    """One kind for columns of the same name: the widest number, or text."""
+    numbers = ("int", "bigint", "double")
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    return max(kinds, key=numbers.index) if kinds and kinds <= set(numbers) else "string"
+
+
+def read_csv(spark: SparkSession, files: str | list[str], columns: list[str], multi_line: bool = False) -> DataFrame:
+    """Rows as text plus their source file and block; with ``multi_line`` quoted fields may hold line breaks.
 
     Short rows are filled with nulls and surplus fields dropped, so a differing
     number of fields is no error; only a value of the wrong type is.
@@ -63,6 +110,7 @@ def read_csv(spark: SparkSession, files: str | list[str], columns: list[str]) ->
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return (
         spark.read.options(**OPTIONS)
+        .option("multiLine", multi_line)
         .schema(text)
         .csv(files)
         .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
@@ -158,6 +206,7 @@ def load_master(master: DataFrame, incoming: DataFrame) -> DataFrame:
     return not_in(incoming, "registry_id", master, "registry_id")
 
 
-def pending_files(registry: DataFrame, limit: int = 10) -> DataFrame:
-    """Oldest pending files first; the id breaks ties."""
-    return registry.filter(F.col("processing_status") == "pending").orderBy("created_timestamp", "registry_id").limit(limit)
+def pending_files(registry: DataFrame, limit: int | None = 10) -> DataFrame:
+    """Oldest pending files first; the id breaks ties.  Without a limit all of them, in no order."""
+    waiting = registry.filter(F.col("processing_status") == "pending")
+    return waiting if limit is None else waiting.orderBy("created_timestamp", "registry_id").limit(limit)

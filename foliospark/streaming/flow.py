@@ -9,16 +9,19 @@ batch that runs again after a crash writes the same rows to the same place.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from typing import NamedTuple
-from urllib.parse import quote
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import paths
+from ..functions.jsontext import path_value
 from ..operators import chunking, classify, extract, routing, sheets, splitting, state
 from ..operators.provider import Provider
 from ..schemas import conform, extraction_prompts
@@ -83,14 +86,17 @@ class DocumentFlow:
         as_of = self.clock()
         captured = routing.first_per_path(routing.route_files(arrived)).persist()
         try:
-            if captured.isEmpty():
-                return
-            self._register(captured, batch, as_of)
-            self._parse(captured, batch, as_of)
+            empty = captured.isEmpty()
+            if not empty:
+                self._register(captured, batch, as_of)
+                self._parse(captured, batch, as_of)
+                self._measure(captured, batch, as_of)
         finally:
             captured.unpersist()
         if self.csv_base:
-            load_csv_batch(self.tables, self.csv_files(), self.csv_base, batch, as_of)
+            load_csv_batch(self.tables, self.csv_files(batch), self.csv_base, batch, as_of)
+        if empty:
+            return
         self._classify(batch, as_of)
         self._extract(batch, as_of)
         self._chunk(batch, as_of)
@@ -104,15 +110,20 @@ class DocumentFlow:
         return self.tables.read(table, only=batch)
 
     def _register(self, captured: DataFrame, batch: int, as_of: datetime) -> None:
-        parsed = self._before("parsed_documents", batch)
-        large = routing.register_large(captured, self._before("large_document_registry", batch), parsed, as_of)
-        self.tables.write("large_document_registry", large, batch)
         sheets = routing.register_spreadsheets(captured, self._before("excel_document_registry", batch), as_of)
         self.tables.write("excel_document_registry", sheets, batch)
         self.tables.write("csv_file_registry", routing.register_csv(captured, self._before("csv_file_registry", batch), as_of), batch)
         self.tables.write("rejected_files", routing.rejected_files(captured), batch)
-        metrics = state.run_summary(captured.withColumn("error_information", F.lit(None).cast("string")))
-        self.tables.write("run_metrics", metrics, batch)
+
+    def _measure(self, captured: DataFrame, batch: int, as_of: datetime) -> None:
+        """What is known after parsing: the split registry, with documents over the page limit, and the counts."""
+        known = self._before("large_document_registry", batch)
+        large = routing.register_large(captured, known, self._before("parsed_documents", batch), as_of)
+        error = path_value(F.col("parsed_content"), "$.errorInformation").alias("error_information")
+        failed = self._new("parsed_documents", batch).filter("status = 'parse_error'").select("file_path", "file_name", "file_size", error)
+        self.tables.write("large_document_registry", large.unionByName(routing.register_page_limit(failed, known, as_of)), batch)
+        rows = captured.select("relative_path", "route").join(failed.withColumnRenamed("file_path", "relative_path"), "relative_path", "left")
+        self.tables.write("run_metrics", state.run_summary(rows), batch)
 
     def _parse(self, captured: DataFrame, batch: int, as_of: datetime) -> None:
         parsed, large = self._before("parsed_documents", batch), self._before("large_document_registry", batch)
@@ -169,23 +180,24 @@ class DocumentFlow:
         self.tables.write("document_chunks", rows, batch)
 
     def _split(self, batch: int, as_of: datetime) -> None:
-        """Plan parts of newly registered large files; without page counts they wait.
+        """Plan parts of large files that wait, of whatever batch; without page counts they go on waiting.
 
         With pages at hand the part texts go to the feedback folder and come back
         as arrivals.
         """
-        pending = splitting.pending_splits(self._new("large_document_registry", batch))
+        waiting = splitting.pending_splits(self.large_documents(batch))
         if self.hooks.count_pages is None:
-            waiting = pending.select(
+            external = waiting.filter("split_status <> 'requires_external_processing'").select(
                 "registry_id", F.lit("requires_external_processing").alias("split_status"), F.lit(as_of).alias("event_time")
             )
-            self.tables.write("split_events", conform(waiting, "split_events"), batch)
+            self.tables.write("split_events", conform(external, "split_events"), batch)
             return
-        planned = splitting.plan_splits(self.hooks.count_pages(pending))
+        planned = splitting.plan_splits(self.hooks.count_pages(waiting))
         events = planned.select(
-            "registry_id", "split_status", "split_count", F.col("page_count").alias("estimated_pages"), F.lit(as_of).alias("event_time")
+            "registry_id", "split_status", "split_count", F.col("page_count").alias("estimated_pages"), F.lit(_after(as_of)).alias("event_time")
         )
-        self.tables.write("split_events", conform(events, "split_events"), batch)
+        begun = planned.select("registry_id", F.lit("splitting").alias("split_status"), F.lit(as_of).alias("event_time"))
+        self.tables.write("split_events", conform(begun, "split_events").unionByName(conform(events, "split_events")), batch)
         self.tables.write("document_split_parts", splitting.part_rows(planned, as_of), batch)
         if self.hooks.read_pages is not None and self.feedback:
             parts = self._new("document_split_parts", batch)
@@ -194,19 +206,20 @@ class DocumentFlow:
             self._feed(parts.join(texts, ["registry_id", "part_number"]), "part_stage_path", "part_text", f"parts-{batch}")
 
     def _convert(self, batch: int, as_of: datetime) -> None:
-        """Describe and render the sheets of newly registered spreadsheets, if their cells can be read."""
+        """Describe and render the sheets of spreadsheets that wait, of whatever batch, if their cells can be read."""
         if self.hooks.read_cells is None:
             return
-        pending = self._new("excel_document_registry", batch)
+        pending = self.spreadsheets(batch).filter("conversion_status = 'pending'")
         found, cells = self.hooks.read_cells(pending)
         self.tables.write("excel_sheet_metadata", sheets.sheet_metadata(found, cells, as_of), batch)
         metadata = self._new("excel_sheet_metadata", batch)
         counts = metadata.groupBy("registry_id").agg(F.count("*").alias("sheet_count"))
         rendered = sheets.workbook_texts(pending, sheets.sheet_previews(metadata, cells))
         events = rendered.join(counts, "registry_id").withColumns(
-            {"conversion_status": F.lit("converted"), "event_time": F.lit(as_of)}
+            {"conversion_status": F.lit("converted"), "event_time": F.lit(_after(as_of))}
         )
-        self.tables.write("conversion_events", conform(events, "conversion_events"), batch)
+        begun = events.select("registry_id", F.lit("converting").alias("conversion_status"), F.lit(as_of).alias("event_time"))
+        self.tables.write("conversion_events", conform(begun, "conversion_events").unionByName(conform(events, "conversion_events")), batch)
         if self.feedback:
             self._feed(rendered, "converted_pdf_path", "document_text", f"sheets-{batch}")
 
@@ -233,20 +246,21 @@ class DocumentFlow:
         """Parsed documents with their present status."""
         return state.mark_classified(self.tables.read("parsed_documents"), self.tables.read("document_classifications"))
 
-    def large_documents(self) -> DataFrame:
-        return state.apply_status_events(
-            self.tables.read("large_document_registry"), self.tables.read("split_events"), "registry_id", "split_status"
-        )
+    def _states(self, registry: str, events: str, status: str, batch: int | None) -> DataFrame:
+        """Registered files with their state; with ``batch``, as that batch finds them when it runs, or runs again."""
+        files = self.tables.read(registry)
+        if batch is not None:
+            files = self._before(registry, batch).unionByName(self._new(registry, batch))
+        return state.apply_status_events(files, self.tables.read(events, before=batch), "registry_id", status)
 
-    def csv_files(self) -> DataFrame:
-        return state.apply_status_events(
-            self.tables.read("csv_file_registry"), self.tables.read("csv_events"), "registry_id", "processing_status"
-        )
+    def large_documents(self, batch: int | None = None) -> DataFrame:
+        return self._states("large_document_registry", "split_events", "split_status", batch)
 
-    def spreadsheets(self) -> DataFrame:
-        return state.apply_status_events(
-            self.tables.read("excel_document_registry"), self.tables.read("conversion_events"), "registry_id", "conversion_status"
-        )
+    def csv_files(self, batch: int | None = None) -> DataFrame:
+        return self._states("csv_file_registry", "csv_events", "processing_status", batch)
+
+    def spreadsheets(self, batch: int | None = None) -> DataFrame:
+        return self._states("excel_document_registry", "conversion_events", "conversion_status", batch)
 
     def status(self, stream: DataFrame) -> DataFrame:
         from ..plans.reports import stage_status
@@ -274,67 +288,139 @@ def drain(arrived: DataFrame, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _uri_key(path: str) -> str:
-    """A path the way file URIs spell it, without scheme and leading slashes."""
-    return quote(path.split(":", 1)[-1].lstrip("/"), safe="/:@!$&'()*+,;=~-._")
+def _after(moment: datetime) -> datetime:
+    """The time of a final state, behind that of the running state."""
+    return moment + timedelta(milliseconds=1)
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and leading slashes."""
+    return re.sub("^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "", path)
+
 
+def _uri_key(uri: str) -> str:
+    """What ``_plain`` makes of the path that a file URI spells."""
+    return unquote(_plain(uri))
 
-def load_csv_batch(
-    tables: TableFolder, registry: DataFrame, base: str, batch: int, as_of: datetime, limit: int = 10
-) -> dict[str, int]:
-    """Load the oldest pending CSV files and report what happened.
 
-    Files with the same target table are read together.  A group that fails is
-    marked with its error while the others go on.  Rows, metadata and states are
-    written once per batch.
+class _CsvGroup:
+    """Files of one target table with the same columns, read together."""
+
+    def __init__(self, spark: SparkSession, members: list, names: list[str], multi_line: bool):
+        self.members, self.names = members, names
+        self.raw = csvfiles.read_csv(spark, [m["url"] for m in members], names, multi_line)
+        self.kinds = {(_uri_key(r["_file"]), r["column_order"]): r["kind"] for r in csvfiles.column_kinds(self.raw, names).collect()}
+
+    def kind(self, member, i: int) -> str:
+        return self.kinds.get((member["key"], i), "string")
+
+
+def load_csv_batch(tables: TableFolder, registry: DataFrame, base: str, batch: int, as_of: datetime, limit: int | None = None) -> dict[str, int]:
+    """Load all pending CSV files (or the oldest ``limit``) and report what happened.
+
+    One pass over the files finds headers and quoted line breaks.  Files of one
+    target table with equal headers are read together with their own names, and
+    columns meet in the table by name, whatever their order; a new column is
+    added.  A value that does not fit the table's type leaves out its row.  Files
+    that fail are marked with their error while the others go on.  Rows, columns
+    and states are written once per batch, so a batch that runs again replaces
+    its own.  The driver holds paths and headers, never rows.
     """
     spark = tables.spark
-    rows = csvfiles.pending_files(registry, limit).select(
-        "registry_id", "file_path", "file_name", paths.table_name(F.col("file_name")).alias("table")
-    ).collect()
-    groups: dict[str, list] = {}
-    for r in rows:
-        groups.setdefault(r["table"], []).append(r)
-    master = meta = events = None
-    done = failed = 0
+    chosen = csvfiles.pending_files(registry, limit).select("registry_id", "file_path", "file_name", paths.table_name(F.col("file_name")).alias("table"))
+    members = [r.asDict() for r in chosen.collect()]
+    errors: dict[str, str] = {}
+    groups: dict[tuple, list[dict]] = {}
+    for m in members:
+        m["url"] = f"{base.rstrip('/')}/{m['file_path']}"
+        m["key"] = _plain(m["url"])
+    facts = {_uri_key(r["_file"]): r for r in _each(lambda ms: csvfiles.file_facts(spark, [m["url"] for m in ms]).collect(), members, errors)}
+    for m in members:
+        names = csvfiles.header_names(facts[m["key"]]["header"] or "") if m["key"] in facts else []
+        if not names:
+            errors.setdefault(m["registry_id"], "no columns found in file")
+            continue
+        groups.setdefault((m["table"], tuple(names), facts[m["key"]]["multi_line"]), []).append(m)
+    read: dict[str, list[_CsvGroup]] = {}
+    for (table, names, multi_line), of in groups.items():
+        for group in _each(lambda ms: [_CsvGroup(spark, ms, list(names), multi_line)], of, errors):  # noqa: B023
+            read.setdefault(table, []).append(group)
+    master = meta = loaded = None
 
     def add(whole: DataFrame | None, part: DataFrame) -> DataFrame:
         return part if whole is None else whole.unionByName(part)
 
-    for table, members in groups.items():
-        files = {r["registry_id"]: f"{base.rstrip('/')}/{r['file_path']}" for r in members}
-        ids = spark.createDataFrame(
-            [(_uri_key(files[r["registry_id"]]), r["registry_id"], r["file_path"], r["file_name"], table) for r in members],
-            "_key string, registry_id string, file_path string, file_name string, target_table_name string",
-        )
-        try:
-            schema = csvfiles.infer_columns(spark, list(files.values()))
-            if not schema.fields:
-                raise ValueError("no columns found in file")
-            raw = csvfiles.read_csv(spark, list(files.values()), schema.fieldNames())
-            typed = csvfiles.accepted(csvfiles.typed_rows(raw, schema))
-            typed.drop("_file", "_block").write.mode("overwrite").parquet(f"{tables.root}/csv_tables/{table}/{BATCH}={batch}")
-            keyed = typed.withColumn("_key", F.regexp_replace("_file", "^[A-Za-z0-9]+:/*", ""))
-            sources = keyed.select("_file", "_key").distinct().join(F.broadcast(ids), "_key").drop("_key")
-            part = csvfiles.master_rows(typed, sources, schema.fieldNames(), as_of)
-            counts = part.groupBy("registry_id").agg(F.count("*").alias("row_count"))
-            columns = reduce(
-                DataFrame.unionByName, [csvfiles.column_metadata(spark, r["registry_id"], schema, as_of) for r in members]
-            )
-            loaded = ids.join(csvfiles.schema_json(columns), "registry_id").join(counts, "registry_id", "left")
-            event = loaded.withColumns(
-                {"processing_status": F.lit("completed"), "row_count": F.coalesce("row_count", F.lit(0)), "event_time": F.lit(as_of)}
-            )
-            master, meta = add(master, part), add(meta, conform(columns, "csv_column_metadata"))
-            events = add(events, conform(event, "csv_events"))
-            done += len(members)
-        except Exception as problem:
-            bad = ids.withColumns(
-                {"processing_status": F.lit("error"), "error_message": F.lit(str(problem)[:1900]), "event_time": F.lit(as_of)}
+    for table, parts in read.items():
+        schema = _table_schema(tables, table, batch, parts)
+        typed = None
+        for group in parts:
+            own = {f.name.lower(): f for f in schema.fields}
+            kinds = T.StructType([T.StructField(n, own[n.lower()].dataType) for n in group.names])
+            good = csvfiles.accepted(csvfiles.typed_rows(group.raw, kinds))
+            typed = add(typed, csvfiles.align(good.drop("_file", "_block"), schema))
+            ids = spark.createDataFrame([(m["key"], m["registry_id"], m["file_path"], m["file_name"]) for m in group.members], "_key string, registry_id string, file_path string, file_name string")
+            # A plus sign stands for itself in a path.
+            keyed = good.withColumn("_key", F.url_decode(F.replace(F.regexp_replace("_file", "^([A-Za-z][A-Za-z0-9+.-]*:)?/*", ""), F.lit("+"), F.lit("%2B"))))
+            sources = keyed.select("_file", "_key").distinct().join(ids, "_key").drop("_key")
+            master = add(master, csvfiles.master_rows(good, sources, group.names, as_of))
+            columns = [
+                (f"{m['registry_id']}_COL_{i}", m["registry_id"], n, group.kind(m, i), i, True, as_of) for m in group.members for i, n in enumerate(group.names)
+            ]
+            meta = add(meta, conform(spark.createDataFrame(columns, COLUMN_ROWS), "csv_column_metadata"))
+            loaded = add(loaded, spark.createDataFrame([(m["registry_id"], table) for m in group.members], "registry_id string, target_table_name string"))
+        typed.write.mode("overwrite").parquet(f"{tables.root}/csv_tables/{table}/{BATCH}={batch}")
+    started = [(m["registry_id"], "processing", None, as_of) for m in members]
+    ended = _after(as_of)
+    failed = [(i, "error", message[:1900], ended) for i, message in errors.items()]
+    if not members:
+        return {"processed": 0, "errors": 0}
+    events = conform(spark.createDataFrame(started + failed, "registry_id string, processing_status string, error_message string, event_time timestamp"), "csv_events")
+    if master is not None:
+        tables.write("csv_data_master", master, batch)
+        tables.write("csv_column_metadata", meta, batch)
+        counts = tables.read("csv_data_master", only=batch).groupBy("registry_id").agg(F.count("*").alias("row_count"))
+        done = loaded.join(csvfiles.schema_json(tables.read("csv_column_metadata", only=batch)), "registry_id").join(counts, "registry_id", "left")
+        done = done.withColumns({"processing_status": F.lit("completed"), "row_count": F.coalesce("row_count", F.lit(0)), "event_time": F.lit(ended)})
+        events = events.unionByName(conform(done, "csv_events"))
+    tables.write("csv_events", events, batch)
+    return {"processed": len(members) - len(errors), "errors": len(errors)}
+
+
+COLUMN_ROWS = """metadata_id string, registry_id string, column_name string, column_type string, column_order bigint,
+    nullable boolean, created_timestamp timestamp"""
+
+
+def _each(work: Callable[[list[dict]], list], members: list[dict], errors: dict[str, str]) -> list:
+    """``work`` on all files together; if that fails on halves, down to the files that are to blame."""
+    if not members:
+        return []
+    try:
+        return work(members)
+    except Exception as problem:
+        if len(members) == 1:
+            errors[members[0]["registry_id"]] = str(problem)
+            return []
+        half = len(members) // 2
+        return _each(work, members[:half], errors) + _each(work, members[half:], errors)
+
+
+def _table_schema(tables: TableFolder, table: str, batch: int, parts: list[_CsvGroup]) -> T.StructType:
+    """The columns that earlier batches gave the table, then new ones in the order of their files."""
+    fields: dict[str, T.StructField] = {}
+    try:
+        stored = tables.spark.read.option("mergeSchema", True).parquet(f"{tables.root}/csv_tables/{table}")
+        if not stored.filter(F.col(BATCH) < batch).isEmpty():
+            before = tables.spark.read.option("mergeSchema", True).option("basePath", f"{tables.root}/csv_tables/{table}").parquet(
+                *[f"{tables.root}/csv_tables/{table}/{BATCH}={r[0]}" for r in stored.filter(F.col(BATCH) < batch).select(BATCH).distinct().collect()]
             )
-            events = add(events, conform(bad, "csv_events"))
-            failed += len(members)
-    for name, df in (("csv_data_master", master), ("csv_column_metadata", meta), ("csv_events", events)):
-        if df is not None:
-            tables.write(name, df, batch)
-    return {"processed": done, "errors": failed}
+            fields = {f.name.lower(): f for f in before.schema.fields if f.name != BATCH}
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    new: dict[str, tuple[str, set[str]]] = {}
+    for group in parts:
+        for i, name in enumerate(group.names):
+            if name.lower() not in fields:
+                new.setdefault(name.lower(), (name, set()))[1].update(group.kind(m, i) for m in group.members)
+    added = [T.StructField(name, T._parse_datatype_string(csvfiles.common_kind(kinds))) for name, kinds in new.values()]
+    return T.StructType([*fields.values(), *added])

@@ -234,3 +234,84 @@ def test_hooks_and_feedback(spark, inbox, tmp_path):
     assert len(back) == 1
     assert back[0]["content_text"].startswith("Excel Document: book.xlsx\nTotal Sheets: 2\n\nSheet 1: S1\nRows: 3, Columns: 2\n | v1\n | v2\n | v3\n")
     assert "(Empty sheet)" in back[0]["content_text"]
+
+
+def csv_state(flow, tables):
+    """What the CSV stage has stored, without times."""
+    typed = flow.spark.read.option("mergeSchema", True).parquet(f"{tables.root}/csv_tables/CSV_SALES")
+    master = sorted((r["file_path"], r["row_number"], r["row_data"]) for r in tables.read("csv_data_master").collect())
+    states = sorted((r["file_path"], r["processing_status"], r["row_count"], r["inferred_schema"]) for r in flow.csv_files().collect())
+    return master, states, sorted(str(sorted(r.asDict().items(), key=str)) for r in typed.collect())
+
+
+def test_csv_by_name_whole_and_again(spark, tmp_path):
+    """Two header orders of one table, a quoted line break, a new column, more files than ten, and a replay."""
+    inbox = tmp_path / "in"
+    for name in ("x", "y", "z"):
+        (inbox / name).mkdir(parents=True)
+    (inbox / "x" / "sales.csv").write_text("id,name,amount\n1,ann,10\n2,bob,20\n")
+    (inbox / "y" / "sales.csv").write_text('amount,ID,Name,note\n30,3,"two\nlines",n1\n40.5,4,"say ""hi""",\n')
+    (inbox / "z" / "sales.csv").write_text("id,name,amount\nfive,eve,50\n6,fay,60\n")
+    for i in range(25):
+        (inbox / f"f+{i} é.csv").write_text(f"k,v\n{i},a\n{i},b\n")
+    (inbox / "none.csv").write_text("\n")
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    flow = DocumentFlow(tables, csv_base=str(inbox), clock=lambda: AS_OF)
+    arrived = listing.list_files(spark, str(inbox))
+    flow.run_batch(arrived, 0)
+    first = csv_state(flow, tables)
+    states = {path: (status, n) for path, status, n, _ in first[1]}
+    assert states["none.csv"][0] == "error" and len(states) == 29
+    assert all(v == ("completed", 2) for k, v in states.items() if k != "none.csv")
+    rows = {(p, n): r for p, n, r in first[0]}
+    assert rows["x/sales.csv", 2] == '{"id":"2","name":"bob","amount":20.0}'
+    assert rows["y/sales.csv", 1] == '{"amount":30.0,"ID":"3","Name":"two\\nlines","note":"n1"}'
+    assert rows["y/sales.csv", 2] == '{"amount":40.5,"ID":"4","Name":"say \\"hi\\""}'
+    assert len([p for p, _ in rows if p.startswith("f+")]) == 50
+    typed = spark.read.option("mergeSchema", True).parquet(f"{tables.root}/csv_tables/CSV_SALES").drop("_batch")
+    assert {c.lower() for c in typed.columns} >= {"id", "name", "amount", "note"} and typed.count() == 6
+
+    flow.run_batch(arrived, 0)
+    assert csv_state(flow, tables) == first
+    (inbox / "x2").mkdir()
+    (inbox / "x2" / "sales.csv").write_text("note,id\nlate,9\n")
+    flow.run_batch(listing.list_files(spark, str(inbox)), 1)
+    again = csv_state(flow, tables)
+    assert len(again[0]) == len(first[0]) + 1 and len(again[2]) == 7
+    events = tables.read("csv_events")
+    assert events.filter("processing_status = 'processing'").count() == 30 and events.count() == 60
+
+
+def test_waiting_files_are_taken_by_a_later_batch(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("k\n1\n")
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    arrived = listing.list_files(spark, str(inbox))
+    DocumentFlow(tables, clock=lambda: AS_OF).run_batch(arrived, 0)
+    flow = DocumentFlow(tables, csv_base=str(inbox), clock=lambda: AS_OF)
+    assert flow.csv_files().first()["processing_status"] == "pending"
+    flow.run_batch(arrived.limit(0), 1)
+    assert flow.csv_files().first()["processing_status"] == "completed"
+
+
+def test_page_limit_and_late_page_counts(spark, tmp_path):
+    """A decoder's page-limit error registers the document; a page counter that comes later splits it."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "big.pdf").write_bytes(b"x")
+
+    def decode(contents):
+        raise ValueError("Maximum number of 500 pages exceeded")
+
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    arrived = listing.list_files(spark, str(inbox))
+    DocumentFlow(tables, hooks=Hooks(decode=decode), clock=lambda: AS_OF).run_batch(arrived, 0)
+    flow = DocumentFlow(tables, hooks=Hooks(count_pages=lambda df: df.withColumn("page_count", F.lit(450).cast("bigint"))), clock=lambda: AS_OF)
+    assert tables.read("run_metrics").first()["failed_parse_count"] == 1
+    assert flow.large_documents().first()["split_status"] == "requires_external_processing"
+    (inbox / "note.txt").write_text("a short note about nothing in particular")
+    flow.run_batch(listing.list_files(spark, str(inbox)), 1)
+    assert (flow.large_documents().first()["split_status"], flow.large_documents().first()["split_count"]) == ("split_complete", 3)
+    moves = [r["split_status"] for r in tables.read("split_events").orderBy("event_time", "split_status").collect()]
+    assert sorted(moves) == ["requires_external_processing", "split_complete", "splitting"]
