@@ -206,7 +206,7 @@ def test_automaton_on_random_words():
 
 
 def test_sharding(spark, odd, empty):
-    rows = [(i, helpers.prose(i % 70, 20 + i % 90)) for i in range(3000)] + [(5000 + i, "copy of a hot text") for i in range(1500)]
+    rows = [(100 + i, helpers.prose(i % 70, 20 + i % 90)) for i in range(3000)] + [(5000 + i, "copy of a hot text") for i in range(1500)]
     docs = helpers.frame(spark, rows + helpers.odd_texts())
     found = sharding.assign_shards(docs, shards=6).collect()
     assert len(found) == len(rows) + len(helpers.odd_texts())
