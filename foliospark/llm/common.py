@@ -7,12 +7,13 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from foliospark.session import work_folder
 
-#: Rows handled at a time inside a task, so that Python holds few texts at once.
-SLICE = 512
+#: Rows, and about so many bytes of text, that are handled at a time inside a task.
+SLICE, SLICE_BYTES = 512, 4 << 20
 
 
 def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
@@ -32,9 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches that are bounded in rows and, by the column ``text``, in bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        starts = set(range(0, batch.num_rows, rows))
+        if "text" in batch.schema.names:
+            sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
+            starts.update((np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES, prepend=0))).tolist())
+        cuts = [*sorted(starts), batch.num_rows]
+        for at, end in zip(cuts, cuts[1:]):
+            yield batch.slice(at, end - at)
 
 
 def arrow_loop(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], rows: int = SLICE):
