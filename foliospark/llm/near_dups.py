@@ -10,12 +10,13 @@ Jaccard similarity of the sets reaches ``similarity``.
    In every bucket of classes with one band key, the smallest is the centre,
    and only edges between the centre and each other member are candidates.
    Every candidate is confirmed, or refuted, on the full sets.
-3. A star can hide a link between two members.  Where a member is far from its
-   centre (distance over a half), both are put into finer buckets, keyed by
-   pairs of bands, which unrelated documents hardly share; stars again.  For
-   the others, distances to the centre tell which pairs can be linked at all
-   (Jaccard distance obeys the triangle inequality); of these, those in
-   different components so far are confirmed as well.
+3. A star can hide a link of a member that is not linked with its centre.  All
+   members of such buckets go into finer ones, keyed by pairs of bands, which
+   only similar documents share; stars again.  Then each member that is still in
+   another component than its centre is compared with the members around that
+   centre, in blocks of bounded size that give out only pairs to confirm.
+   Distances to the centre rule pairs out (Jaccard distance obeys the triangle
+   inequality).
 4. Components of the links are found by joins.
 
 At a similarity of 0.75 a pair shares no band with a probability of about
@@ -30,6 +31,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +42,7 @@ from .components import components
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
 #: Distances between the two bands of a finer key.
-STEPS = (1, 2, 3, 5, 8)
+STEPS = (1, 2, 3, 5)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 _ODD = np.random.default_rng(5).integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -179,23 +181,82 @@ def stars(keyed: DataFrame) -> DataFrame:
     return keyed.join(centres, "key").where("node <> c").select("key", "c", F.col("node").alias("x"))
 
 
+def _apart(starred: DataFrame, found: DataFrame) -> DataFrame:
+    """``starred`` with the components of centre and member; a node without links is its own."""
+    for name in ("c", "x"):
+        at = found.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in"))
+        starred = starred.join(at, name, "left").withColumn(f"{name}_in", F.coalesce(f"{name}_in", name))
+    return starred
+
+
 class _Confirm:
     """Exact similarities of candidate pairs; sets of nodes are computed where they are first needed."""
 
     def __init__(self, docs: DataFrame, size: int):
-        self.docs, self.size = _narrow(docs), size
+        self.docs, self.size, self.sets = _narrow(docs), size, None
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """u, v, shared and total (sizes of intersection and union) of the distinct pairs."""
         pairs = stored(pairs.select("u", "v").distinct(), "near-dup-pairs")
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
         sets = stored(full_sets(self.docs.join(nodes, "doc_id", "left_semi"), self.size).dropDuplicates(["node"]), "near-dup-sets")
+        self.sets = sets if self.sets is None else self.sets.unionByName(sets)
         left = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
         both = left.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
         shared = F.size(F.array_intersect("a", "b"))
         return stored(both.select("u", "v", shared.alias("shared"), (F.size("a") + F.size("b") - shared).alias("total")), "near-dup-confirmed")
 
 
+#: Members of a block that look for partners, and members that are looked through.
+SEEKERS, SEEN = 128, 2048
+
+
+def _hidden(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """u and v of pairs around one centre that may be linked and are in different components.
+
+    ``placed``: c, x, d (distance), c_in and x_in (components).  Sets are cut to
+    31 bits here; two shingles more are allowed for, should some of a set coincide.
+    """
+    apart = F.col("x_in") != F.col("c_in")
+    counts = placed.groupBy("c").agg(F.count(F.when(apart, 1)).alias("seekers"), F.count("*").alias("n")).where("seekers > 0")
+    parts = counts.select("c", F.ceil(F.col("seekers") / SEEKERS).cast("int").alias("ns"), F.ceil(F.col("n") / SEEN).cast("int").alias("nm"))
+    short = sets.dropDuplicates(["node"]).select(F.col("node").alias("x"), F.transform("shingles", lambda s: s.bitwiseAND(0x7FFFFFFF).cast("int")).alias("set"))
+    rows = stored(placed.join(parts, "c").join(short, "x").select("c", "x", "d", "x_in", apart.alias("seeks"), "ns", "nm", "set"), "near-dup-around")
+    up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    block = lambda n: F.pmod(F.xxhash64("x"), F.col(n)).cast("int")
+    columns = ["c", "x", "d", "x_in", "set"]
+    seeking = rows.where("seeks").select(*columns, F.lit(True).alias("seeks"), block("ns").alias("s"), up_to("nm").alias("m"))
+    seen = rows.select(*columns, F.lit(False).alias("seeks"), up_to("ns").alias("s"), block("nm").alias("m"))
+    limit = 1 - similarity + 1e-9
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        a, b = group[group["seeks"]], group[~group["seeks"]]
+        out = []
+        if len(a) and len(b):
+            words = np.unique(np.concatenate(a["set"].to_list()))
+            size_a, size_b = (np.array([len(v) for v in x["set"]], float) for x in (a, b))
+            left = np.zeros((len(a), len(words)), np.float32)
+            for row, v in zip(left, a["set"]):
+                row[np.searchsorted(words, v)] = 1
+            close = np.abs(a["d"].to_numpy()[:, None] - b["d"].to_numpy()) <= limit
+            close &= np.minimum(a["d"].to_numpy()[:, None], b["d"].to_numpy()) <= 0.5
+            close &= a["x_in"].to_numpy()[:, None] != b["x_in"].to_numpy()
+            for at in range(0, len(b), 128):
+                some = b["set"].iloc[at : at + 128].to_list()
+                right = np.zeros((len(some), len(words)), np.float32)
+                for row, v in zip(right, some):
+                    place = np.minimum(np.searchsorted(words, v), len(words) - 1)
+                    row[place[words[place] == v]] = 1
+                shared = left @ right.T
+                total = size_a[:, None] + size_b[at : at + 128] - shared
+                i, j = np.nonzero((shared + 2 >= similarity * total) & close[:, at : at + 128])
+                out.append((a["x"].to_numpy()[i], b["x"].to_numpy()[at + j]))
+        u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*out) if out else ((), ())))
+        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+
+    return seeking.unionByName(seen).groupBy("c", "s", "m").applyInPandas(compare, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     percent = round(100 * similarity)
@@ -210,25 +271,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) ->
 
     first = stored(stars(classes.select(F.explode("bands").alias("key"), "node")), "near-dup-stars")
     known = confirm(as_pairs(first))
-    far = known.where(F.col("shared") * 2 < F.col("total"))
-    strangers = far.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    found = components(known.where(linked).select("u", "v"))
+
+    # What a star can hide is between a member that is not linked with its centre and any other of the bucket.
+    stray = _apart(first, found).where("x_in <> c_in").select("key").distinct()
+    crowd = first.join(stray, "key", "left_semi").select(F.explode(F.array("c", "x")).alias("node")).distinct()
     band = lambda i: F.element_at("bands", F.lit(i % BANDS + 1))
     fine_keys = F.array(*[F.xxhash64(F.lit(i * 100 + s), band(i), band(i + s)) for i in range(BANDS) for s in STEPS])
-    second = stored(stars(classes.join(strangers, "node", "left_semi").select(F.explode(fine_keys).alias("key"), "node")), "near-dup-fine-stars")
-    known = known.unionByName(confirm(as_pairs(second).join(known.select("u", "v"), ["u", "v"], "left_anti")))
+    second = stored(stars(classes.join(crowd, "node", "left_semi").select(F.explode(fine_keys).alias("key"), "node")), "near-dup-fine-stars")
+    known = known.unionByName(confirm(as_pairs(second).distinct().join(known.select("u", "v"), ["u", "v"], "left_anti")))
     links = known.where(linked).select("u", "v")
-
-    # Pairs that a star can hide: both near enough to the centre, and not yet in one component.
     found = components(links)
-    placed = first.unionByName(second).join(known.select(F.col("u").alias("c"), F.col("v").alias("x"), distance), ["c", "x"]).where("d <= 0.75")
-    part = lambda name: F.coalesce(F.col(name), F.col(name[0])).alias(name)
-    where = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in"))
-    placed = stored(placed.join(where("c"), "c", "left").join(where("x"), "x", "left").select("key", "x", "d", part("c_in"), part("x_in")), "near-dup-placed")
-    stray = placed.where("x_in <> c_in").select("key", F.col("x").alias("u"), F.col("d").alias("du"), F.col("x_in").alias("u_in"))
-    keys = stray.select("key").distinct()
-    near = placed.join(keys, "key", "left_semi").select("key", F.col("x").alias("v"), F.col("d").alias("dv"), F.col("x_in").alias("v_in"))
-    hidden = stray.join(near, "key").where((F.col("u_in") != F.col("v_in")) & (F.abs(F.col("du") - F.col("dv")) <= 1 - similarity + 1e-9) & (F.least("du", "dv") <= 0.5))
-    more = confirm(hidden.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
+
+    # Distances to a common centre tell which other pairs can be linked at all.
+    placed = _apart(known.select(F.col("u").alias("c"), F.col("v").alias("x"), distance).where("d <= 0.75"), found)
+    more = confirm(_hidden(placed, confirm.sets, similarity))
     found = components(links.unionByName(more.where(linked).select("u", "v")))
 
     named = classes.select("h1", "h2", "node").join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component_id"))
