@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
 
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from foliospark.session import work_folder
 
 #: Rows, and about so many bytes of text, that are handled at a time inside a task.
-SLICE, SLICE_BYTES = 512, 4 << 20
+SLICE, SLICE_BYTES = 512, 1 << 20
 
 
 def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
@@ -44,15 +47,31 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(at, end - at)
 
 
-def arrow_loop(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], rows: int = SLICE):
-    """A ``mapInArrow`` function: ``make()`` once per task, its result once per slice of rows."""
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Python workers outlive their tasks, and what one keeps is missing to the next.
+    """
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def arrow_loop(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], rows: int = SLICE, caches: bool = False):
+    """A ``mapInArrow`` function: ``make()`` once per task, its result once per slice of rows.
+
+    Without ``caches`` the strings that other tasks of this worker remember are dropped first.
+    """
 
     def run(batches):
+        if not caches:
+            Codes.forget()
         step = make()
         for piece in slices(batches, rows):
             out = step(piece)
             if out is not None and out.num_rows:
                 yield out
+        give_back()
 
     return run
 
@@ -80,8 +99,19 @@ class Codes:
     is full; so memory is bounded and common strings stay.
     """
 
+    alive: list[Codes] = []
+
     def __init__(self, compute: Callable[[list[str]], list], dtype, most: int = 450_000):
         self.compute, self.dtype, self.most = compute, dtype, most
+        Codes.alive.append(self)
+        self._empty()
+
+    @staticmethod
+    def forget() -> None:
+        for codes in Codes.alive:
+            codes._empty()
+
+    def _empty(self):
         self._renew()
         self.old = {}, self.starts, self.flat
 

@@ -100,7 +100,7 @@ class PieceModel:
         At equal times the merge further left comes first: the left token's own
         merge before one across the border, and that before the right token's own.
         """
-        if len(self.compatible) > 1_000_000:
+        if len(self.compatible) > 400_000:
             self.compatible.clear()
         self.compatible[left, right] = fine = self._apart(self.edge(left, 1), self.edge(right, 0))
         return fine
@@ -199,7 +199,7 @@ def encode_pieces(docs: DataFrame, path: str, end: bool = True) -> DataFrame:
         return step
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(arrow_loop(make), "doc_id long, ids array<int>")
+    return narrow.mapInArrow(arrow_loop(make, caches=True), "doc_id long, ids array<int>")
 
 
 def decode_pieces(rows: DataFrame, path: str) -> DataFrame:
@@ -216,4 +216,4 @@ def decode_pieces(rows: DataFrame, path: str) -> DataFrame:
 
         return step
 
-    return rows.select("doc_id", "ids").mapInArrow(arrow_loop(make), "doc_id long, ids array<int>, text string")
+    return rows.select("doc_id", "ids").mapInArrow(arrow_loop(make, caches=True), "doc_id long, ids array<int>, text string")

@@ -109,7 +109,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, en
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(),
         "parquet.writer.version": "v1" if encoding == "dictionary" else "v2",
     }
-    ordered.mapInArrow(arrow_loop(make), SCHEMA).write.options(**options).parquet(path)
+    ordered.mapInArrow(arrow_loop(make, caches=True), SCHEMA).write.options(**options).parquet(path)
 
 
 def _with_start(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
