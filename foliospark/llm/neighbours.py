@@ -118,27 +118,31 @@ class Search:
             estimate = (self.turned[part] @ signs.T) / np.float32(np.sqrt(d)) / corrections.astype(np.float32)
             bound = (np.sqrt(np.maximum(0, 1 - corrections**2)) / corrections * self.epsilon + 1e-5).astype(np.float32)
             size = norms.astype(np.float32)
-            own = self.ids[part][:, None] == ids[None, :]
+            upper = (estimate + bound) * size * self.lengths[part, None].astype(np.float32)
             # Before there are k exact values, the best estimates give some.
             fresh = np.flatnonzero(np.isinf(self.least[part]))
             if len(fresh):
-                ranked = np.where(own[fresh], -np.inf, estimate[fresh] * size)
+                ranked = np.where(self.ids[a + fresh][:, None] == ids, -np.inf, estimate[fresh] * size)
                 take = min(2 * self.k, len(ids))
                 best = np.argpartition(-ranked, take - 1, axis=1)[:, :take]
                 q, r = np.repeat(fresh, take), best.ravel()
-                good = ~own[q, r]
-                q, r = q[good], r[good]
-                exact = products(x[r], self.queries[a + q])
-                done = np.zeros_like(own)
-                done[q, r] = True
-                self.merge(block, a + q, ids[r], exact)
-                own |= done
-            upper = (estimate + bound) * size * self.lengths[part, None].astype(np.float32)
-            slack = 1e-6 * np.abs(self.least[part])
-            q, r = np.nonzero((upper >= np.where(np.isinf(self.least[part]), -np.inf, self.least[part] - slack)[:, None]) & ~own)
-            for at in range(0, len(q), 200_000):
-                qs, rs = q[at : at + 200_000], r[at : at + 200_000]
-                self.merge(block, a + qs, ids[rs], products(x[rs], self.queries[a + qs]))
+                upper[q, r] = -np.inf
+                others = self.ids[a + q] != ids[r]
+                q, r = q[others], r[others]
+                self.merge(block, a + q, ids[r], products(x[r], self.queries[a + q]))
+            least = self.least[part] - 1e-6 * np.abs(self.least[part])
+            rerank = upper >= least[:, None]
+            rerank &= upper > -np.inf
+            found = []
+            for i in np.flatnonzero(rerank.any(axis=1)).tolist():
+                r = np.flatnonzero(rerank[i])
+                # A product by matrices first; only what can enter the list is added up in order.
+                r = r[(x[r] @ self.queries[a + i] >= least[i]) & (ids[r] != self.ids[a + i])]
+                if len(r):
+                    found.append((np.full(len(r), a + i), r))
+            if found:
+                q, r = (np.concatenate(c) for c in zip(*found))
+                self.merge(block, q, ids[r], products(x[r], self.queries[q]))
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         for q, ids, scores in self.near:
