@@ -190,7 +190,11 @@ def _apart(starred: DataFrame, found: DataFrame) -> DataFrame:
 
 
 class _Confirm:
-    """Exact similarities of candidate pairs; sets of nodes are computed where they are first needed."""
+    """Exact similarities of candidate pairs.
+
+    The first pairs hold all nodes that any later pair can have, so texts move
+    once, and only for documents that have a candidate.
+    """
 
     def __init__(self, docs: DataFrame, size: int):
         self.docs, self.size, self.sets = _narrow(docs), size, None
@@ -198,17 +202,31 @@ class _Confirm:
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """u, v, shared and total (sizes of intersection and union) of the distinct pairs."""
         pairs = stored(pairs.select("u", "v").distinct(), "near-dup-pairs")
-        nodes = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-        sets = stored(full_sets(self.docs.join(nodes, "doc_id", "left_semi"), self.size).dropDuplicates(["node"]), "near-dup-sets")
-        self.sets = sets if self.sets is None else self.sets.unionByName(sets)
+        if self.sets is None:
+            nodes = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+            # One text of each id; which one matters only if an id has several texts.
+            found = full_sets(self.docs.join(nodes, "doc_id", "left_semi"), self.size)
+            self.sets = stored(found.dropDuplicates(["node"]), "near-dup-sets")
+        sets = self.sets
         left = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
         both = left.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
         shared = F.size(F.array_intersect("a", "b"))
         return stored(both.select("u", "v", shared.alias("shared"), (F.size("a") + F.size("b") - shared).alias("total")), "near-dup-confirmed")
 
 
+def _present(sets: list[np.ndarray], words: np.ndarray) -> np.ndarray:
+    """For each set, which of the sorted ``words`` it has."""
+    out = np.zeros((len(sets), len(words)), np.float32)
+    for row, values in zip(out, sets):
+        place = np.minimum(np.searchsorted(words, values), len(words) - 1)
+        row[place[words[place] == values]] = 1
+    return out
+
+
 #: Members of a block that look for partners, and members that are looked through.
-SEEKERS, SEEN = 128, 2048
+SEEKERS, SEEN = 128, 1024
+#: Shingles of the seekers that are compared at a time.
+CHUNK = 1 << 16
 
 
 def _hidden(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -220,7 +238,7 @@ def _hidden(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     apart = F.col("x_in") != F.col("c_in")
     counts = placed.groupBy("c").agg(F.count(F.when(apart, 1)).alias("seekers"), F.count("*").alias("n")).where("seekers > 0")
     parts = counts.select("c", F.ceil(F.col("seekers") / SEEKERS).cast("int").alias("ns"), F.ceil(F.col("n") / SEEN).cast("int").alias("nm"))
-    short = sets.dropDuplicates(["node"]).select(F.col("node").alias("x"), F.transform("shingles", lambda s: s.bitwiseAND(0x7FFFFFFF).cast("int")).alias("set"))
+    short = sets.select(F.col("node").alias("x"), F.transform("shingles", lambda s: s.bitwiseAND(0x7FFFFFFF).cast("int")).alias("set"))
     rows = stored(placed.join(parts, "c").join(short, "x").select("c", "x", "d", "x_in", apart.alias("seeks"), "ns", "nm", "set"), "near-dup-around")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     block = lambda n: F.pmod(F.xxhash64("x"), F.col(n)).cast("int")
@@ -235,19 +253,15 @@ def _hidden(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         if len(a) and len(b):
             words = np.unique(np.concatenate(a["set"].to_list()))
             size_a, size_b = (np.array([len(v) for v in x["set"]], float) for x in (a, b))
-            left = np.zeros((len(a), len(words)), np.float32)
-            for row, v in zip(left, a["set"]):
-                row[np.searchsorted(words, v)] = 1
             close = np.abs(a["d"].to_numpy()[:, None] - b["d"].to_numpy()) <= limit
             close &= np.minimum(a["d"].to_numpy()[:, None], b["d"].to_numpy()) <= 0.5
             close &= a["x_in"].to_numpy()[:, None] != b["x_in"].to_numpy()
             for at in range(0, len(b), 128):
                 some = b["set"].iloc[at : at + 128].to_list()
-                right = np.zeros((len(some), len(words)), np.float32)
-                for row, v in zip(right, some):
-                    place = np.minimum(np.searchsorted(words, v), len(words) - 1)
-                    row[place[words[place] == v]] = 1
-                shared = left @ right.T
+                shared = np.zeros((len(a), len(some)))
+                for low in range(0, len(words), CHUNK):
+                    chunk = words[low : low + CHUNK]
+                    shared += _present(a["set"].to_list(), chunk) @ _present(some, chunk).T
                 total = size_a[:, None] + size_b[at : at + 128] - shared
                 i, j = np.nonzero((shared + 2 >= similarity * total) & close[:, at : at + 128])
                 out.append((a["x"].to_numpy()[i], b["x"].to_numpy()[at + j]))
