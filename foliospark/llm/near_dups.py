@@ -254,7 +254,6 @@ def _hidden(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             words = np.unique(np.concatenate(a["set"].to_list()))
             size_a, size_b = (np.array([len(v) for v in x["set"]], float) for x in (a, b))
             close = np.abs(a["d"].to_numpy()[:, None] - b["d"].to_numpy()) <= limit
-            close &= np.minimum(a["d"].to_numpy()[:, None], b["d"].to_numpy()) <= 0.5
             close &= a["x_in"].to_numpy()[:, None] != b["x_in"].to_numpy()
             for at in range(0, len(b), 128):
                 some = b["set"].iloc[at : at + 128].to_list()

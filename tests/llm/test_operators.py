@@ -98,6 +98,28 @@ def test_near_duplicates_of_a_family(spark):
     assert found == helpers.groups(rows)
 
 
+def one_bucket(monkeypatch):
+    """All documents share all bands, so the smallest id is the centre of every bucket, finer ones too."""
+    real = near_dups.sketches
+    bands = F.array(*[F.lit(k).cast("long") for k in range(near_dups.BANDS)])
+    monkeypatch.setattr(near_dups, "sketches", lambda docs, size: real(docs, size).withColumn("bands", bands))
+
+
+def test_near_copies_that_are_both_far_from_their_centre(spark, monkeypatch):
+    """Pairs of near copies share 0.3 to 0.5 with the document of smaller id that all their buckets have."""
+    one_bucket(monkeypatch)
+    hub = helpers.prose(400, 100).split(" ")
+    rows = [(1, " ".join(hub))]
+    for i in range(12):
+        ws = hub[: 50 + i] + helpers.prose(410 + i, 36).split(" ")
+        rows += [(10 + 2 * i, " ".join(ws)), (11 + 2 * i, " ".join([*ws[:-6], *helpers.prose(430 + i, 6).split(" ")]))]
+    sets = {i: helpers.shingles(t) for i, t in rows}
+    assert all(0.3 < len(s & sets[1]) / len(s | sets[1]) < 0.5 for i, s in sets.items() if i > 1)
+    expected = helpers.groups(rows)
+    assert len(set(expected.values())) == 13
+    assert {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(helpers.frame(spark, rows)).collect()} == expected
+
+
 def test_densified_bins_agree_as_often_as_sets():
     values = near_dups.mix(np.arange(400, dtype=np.uint64))
     a, b = np.sort(values[:300]), np.sort(values[60:360])
