@@ -12,15 +12,17 @@ Jaccard similarity of the sets reaches ``similarity``.
    Every candidate is confirmed, or refuted, on the full sets.
 3. A star can hide a link of a member that is not linked with its centre.  All
    members of such buckets go into finer ones, keyed by pairs of bands, which
-   only similar documents share; stars again.  Then each member that is still in
-   another component than its centre is compared with the members around that
-   centre, in blocks of bounded size that give out only pairs to confirm.
-   Distances to the centre rule pairs out (Jaccard distance obeys the triangle
-   inequality).
+   only similar documents share; stars again.  These only save work: every pair
+   with a common band is settled after them.  Members near a common centre
+   (``AROUND``) are compared around it if they are in different components.  Of a
+   bucket with members farther from its centre, those are compared with all
+   that the centre does not rule out.  Both happen in blocks of bounded size that
+   give out only pairs to confirm.  Distances to the centre rule pairs out
+   (Jaccard distance obeys the triangle inequality).
 4. Components of the links are found by joins.
 
-At a similarity of 0.75 a pair shares no band with a probability of about
-5 in a million.  A null text or one without words is the empty set and linked
+So a link is missed only if its pair shares no band, at a similarity of 0.75 with
+a probability of about 5 in a million.  A null text or one without words is the empty set and linked
 with nothing.  Rows with one id are one document in the graph, and rows with a
 null id are kept and take the component of documents equal to them.  An empty
 table gives no rows; other columns are ignored.
@@ -41,6 +43,8 @@ from .components import components
 
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
+#: Up to this distance from a centre members are compared around it, else by bucket.
+AROUND = 0.75
 #: Distances between the two bands of a finer key.
 STEPS = (1, 2, 3, 5)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
@@ -229,26 +233,27 @@ SEEKERS, SEEN = 128, 1024
 CHUNK = 1 << 16
 
 
-def _hidden(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """u and v of pairs around one centre that may be linked and are in different components.
+def _hidden(grouped: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """u and v of pairs in one group that may be linked and are in different components.
 
-    ``placed``: c, x, d (distance), c_in and x_in (components).  Sets are cut to
-    31 bits here; two shingles more are allowed for, should some of a set coincide.
+    ``grouped``: kind and g (the group), x, d (distance to the group's centre), x_in
+    (component) and seeks; in every pair one member seeks.  Sets are cut to 31 bits
+    here; two shingles more are allowed for, should some of a set coincide.
     """
-    apart = F.col("x_in") != F.col("c_in")
-    counts = placed.groupBy("c").agg(F.count(F.when(apart, 1)).alias("seekers"), F.count("*").alias("n")).where("seekers > 0")
-    parts = counts.select("c", F.ceil(F.col("seekers") / SEEKERS).cast("int").alias("ns"), F.ceil(F.col("n") / SEEN).cast("int").alias("nm"))
+    group = ["kind", "g"]
+    counts = grouped.groupBy(group).agg(F.count(F.when(F.col("seeks"), 1)).alias("seekers"), F.count("*").alias("n"), F.min("x_in").alias("low"), F.max("x_in").alias("high"))
+    parts = counts.where("seekers > 0 AND low < high").select(*group, F.ceil(F.col("seekers") / SEEKERS).cast("int").alias("ns"), F.ceil(F.col("n") / SEEN).cast("int").alias("nm"))
     short = sets.select(F.col("node").alias("x"), F.transform("shingles", lambda s: s.bitwiseAND(0x7FFFFFFF).cast("int")).alias("set"))
-    rows = stored(placed.join(parts, "c").join(short, "x").select("c", "x", "d", "x_in", apart.alias("seeks"), "ns", "nm", "set"), "near-dup-around")
+    rows = stored(grouped.join(parts, group).join(short, "x").select(*group, "x", "d", "x_in", "seeks", "ns", "nm", "set"), "near-dup-around")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    block = lambda n: F.pmod(F.xxhash64("x"), F.col(n)).cast("int")
-    columns = ["c", "x", "d", "x_in", "set"]
-    seeking = rows.where("seeks").select(*columns, F.lit(True).alias("seeks"), block("ns").alias("s"), up_to("nm").alias("m"))
-    seen = rows.select(*columns, F.lit(False).alias("seeks"), up_to("ns").alias("s"), block("nm").alias("m"))
+    part = lambda n: F.pmod(F.xxhash64("x"), F.col(n)).cast("int")
+    columns = [*group, "x", "d", "x_in", "set"]
+    seeking = rows.where("seeks").select(*columns, F.lit(True).alias("seeks"), part("ns").alias("s"), up_to("nm").alias("m"))
+    seen = rows.select(*columns, F.lit(False).alias("seeks"), up_to("ns").alias("s"), part("nm").alias("m"))
     limit = 1 - similarity + 1e-9
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        a, b = group[group["seeks"]], group[~group["seeks"]]
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        a, b = block[block["seeks"]], block[~block["seeks"]]
         out = []
         if len(a) and len(b):
             words = np.unique(np.concatenate(a["set"].to_list()))
@@ -267,7 +272,7 @@ def _hidden(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*out) if out else ((), ())))
         return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
 
-    return seeking.unionByName(seen).groupBy("c", "s", "m").applyInPandas(compare, "u long, v long")
+    return seeking.unionByName(seen).groupBy(*group, "s", "m").applyInPandas(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) -> DataFrame:
@@ -288,7 +293,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) ->
 
     # What a star can hide is between a member that is not linked with its centre and any other of the bucket.
     stray = _apart(first, found).where("x_in <> c_in").select("key").distinct()
-    crowd = first.join(stray, "key", "left_semi").select(F.explode(F.array("c", "x")).alias("node")).distinct()
+    crowded = stored(first.join(stray, "key", "left_semi"), "near-dup-crowded")
+    crowd = crowded.select(F.explode(F.array("c", "x")).alias("node")).distinct()
     band = lambda i: F.element_at("bands", F.lit(i % BANDS + 1))
     fine_keys = F.array(*[F.xxhash64(F.lit(i * 100 + s), band(i), band(i + s)) for i in range(BANDS) for s in STEPS])
     second = stored(stars(classes.join(crowd, "node", "left_semi").select(F.explode(fine_keys).alias("key"), "node")), "near-dup-fine-stars")
@@ -296,9 +302,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) ->
     links = known.where(linked).select("u", "v")
     found = components(links)
 
-    # Distances to a common centre tell which other pairs can be linked at all.
-    placed = _apart(known.select(F.col("u").alias("c"), F.col("v").alias("x"), distance).where("d <= 0.75"), found)
-    more = confirm(_hidden(placed, confirm.sets, similarity))
+    # A pair near a common centre is hidden there if its members are in different components.
+    edges = known.select(F.col("u").alias("c"), F.col("v").alias("x"), distance)
+    placed = _apart(edges.where(F.col("d") <= AROUND), found).select(F.lit(0).alias("kind"), F.col("c").alias("g"), "x", "d", "x_in", (F.col("x_in") != F.col("c_in")).alias("seeks"))
+    # Any other one has a member farther away, and the second at most 1 - similarity nearer than that.
+    far = F.col("d") > AROUND
+    loose = crowded.join(edges.where(F.col("d") > AROUND - (1 - similarity) - 1e-9), ["c", "x"])
+    buckets = loose.groupBy("key").agg(F.max("d").alias("d"), F.count("*").alias("n")).where(far & (F.col("n") > 1)).select("key")
+    by_bucket = _apart(loose.join(buckets, "key"), found).select(F.lit(1).alias("kind"), F.col("key").alias("g"), "x", "d", "x_in", far.alias("seeks"))
+    more = confirm(_hidden(placed.unionByName(by_bucket), confirm.sets, similarity))
     found = components(links.unionByName(more.where(linked).select("u", "v")))
 
     named = classes.select("h1", "h2", "node").join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component_id"))

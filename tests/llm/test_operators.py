@@ -120,6 +120,27 @@ def test_near_copies_that_are_both_far_from_their_centre(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(helpers.frame(spark, rows)).collect()} == expected
 
 
+def test_near_copies_whose_centre_is_a_stranger(spark, monkeypatch):
+    """Near copies that share hardly anything, or nothing, with the centre of all their buckets."""
+    one_bucket(monkeypatch)
+    hub = helpers.prose(500, 100).split(" ")
+    rows = [(1, " ".join(hub))]
+    for i in range(12):
+        ws = hub[: 3 * i] + helpers.prose(510 + i, 100 - 3 * i).split(" ")
+        rows += [(10 + 2 * i, " ".join(ws)), (11 + 2 * i, " ".join([*ws[:-6], *helpers.prose(530 + i, 6).split(" ")]))]
+    sets = {i: helpers.shingles(t) for i, t in rows}
+    apart = {i: 1 - len(s & sets[1]) / len(s | sets[1]) for i, s in sets.items()}
+    assert all(d > 0.75 for i, d in apart.items() if i > 1)
+    # The nearer one of a pair may lie within the limit, and the other beyond it.
+    rows.append((50, " ".join(hub[:48] + helpers.prose(550, 52).split(" "))))
+    rows.append((51, " ".join(hub[:42] + helpers.prose(551, 6).split(" ") + helpers.prose(550, 52).split(" "))))
+    sets = {i: helpers.shingles(t) for i, t in rows}
+    assert [1 - len(sets[i] & sets[1]) / len(sets[i] | sets[1]) > 0.75 for i in (50, 51)] == [False, True]
+    expected = helpers.groups(rows)
+    assert expected[51] == 50 and len(set(expected.values())) == 14
+    assert {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(helpers.frame(spark, rows)).collect()} == expected
+
+
 def test_densified_bins_agree_as_often_as_sets():
     values = near_dups.mix(np.arange(400, dtype=np.uint64))
     a, b = np.sort(values[:300]), np.sort(values[60:360])
