@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.paths import CONVERTED_FOLDER, member_id, strip_extension
 from ..functions.text import clip_cell
@@ -14,6 +14,8 @@ from ..schemas import conform
 MAX_ROWS = 500
 MAX_COLUMNS = 15
 CELL_LENGTH = 100
+# About so many bytes make a part of a workbook's whole text.
+PART_BYTES = 1 << 20
 
 
 def sheet_metadata(sheets: DataFrame, cells: DataFrame, as_of: datetime) -> DataFrame:
@@ -91,16 +93,72 @@ def sheet_previews(
     return df.select("registry_id", "sheet_index", text.alias("preview"))
 
 
-def workbook_texts(registry: DataFrame, previews: DataFrame) -> DataFrame:
-    """One text per spreadsheet: a heading and its sheets in order, with the path it is stored under."""
-    ordered = F.array_sort(F.collect_list(F.struct("sheet_index", "preview")))
-    texts = previews.groupBy("registry_id").agg(F.count("*").alias("_n"), F.transform(ordered, lambda s: s["preview"]).alias("_sheets"))
+def sheet_chunks(metadata: DataFrame, cells: DataFrame, rows: int = MAX_ROWS, size: int = PART_BYTES) -> DataFrame:
+    """The whole text of each sheet by row range: ``registry_id, sheet_index, first_row, chunk``.
+
+    Every cell is there with all of its text.  A chunk holds at most ``rows`` rows
+    and ends behind the row that takes it to ``size`` bytes, so no group is as
+    large as its sheet.  Rows without any cell take a line inside their range;
+    a range without any is left out.
+    """
+    known = metadata.select("registry_id", "sheet_index", "sheet_name", "row_count", "column_count", "has_data")
+    one = cells.groupBy("registry_id", "sheet_index", "row", "col").agg(F.coalesce(F.max("value"), F.lit("")).alias("value"))
+    lines = one.groupBy("registry_id", "sheet_index", "row").agg(F.array_sort(F.collect_list(F.struct("col", "value"))).alias("_cells"))
+    shown = F.least(F.col("column_count"), F.lit(MAX_COLUMNS)).cast("int")
+    separators = lambda n: F.repeat(F.lit(" | "), n.cast("int"))
+    before = lambda i: F.when(i == 0, F.lit(1)).otherwise(F.element_at("_cells", F.greatest(i, F.lit(1)))["col"])
+    line = F.array_join(F.transform("_cells", lambda c, i: F.concat(separators(c["col"] - before(i)), c["value"])), "")
+    # Narrow sheets keep their empty last columns, as in a preview.
+    line = F.concat(line, separators(shown - F.element_at("_cells", -1)["col"]), F.lit("\n"))
+    block = F.floor((F.col("row") - 1) / F.lit(rows)).cast("bigint")
+    lines = lines.join(known, ["registry_id", "sheet_index"]).withColumns({"_block": block, "_line": line})
+    in_block = Window.partitionBy("registry_id", "sheet_index", "_block").orderBy("row")
+    gap = F.col("row") - 1 - F.coalesce(F.lag("row").over(in_block), F.col("_block") * rows)
+    blank = F.concat(separators(shown - 1), F.lit("\n"))
+    lines = lines.withColumn("_line", F.concat(F.repeat(blank, gap.cast("int")), "_line"))
+    so_far = F.sum(F.octet_length("_line")).over(in_block.rowsBetween(Window.unboundedPreceding, -1))
+    lines = lines.withColumn("_sub", F.floor(F.coalesce(so_far, F.lit(0)) / F.lit(size)))
+    ordered = F.array_sort(F.collect_list(F.struct("row", "_line")))
+    bodies = lines.groupBy("registry_id", "sheet_index", "_block", "_sub").agg(
+        F.min("row").alias("first_row"), F.array_join(F.transform(ordered, lambda r: r["_line"]), "").alias("_body")
+    )
+    title = F.concat(F.lit("Sheet "), F.col("sheet_index").cast("string"), F.lit(": "), "sheet_name")
+    extent = F.concat(F.lit("\nRows: "), F.col("row_count").cast("string"), F.lit(", Columns: "), F.col("column_count").cast("string"), F.lit("\n"))
+    begins = F.row_number().over(Window.partitionBy("registry_id", "sheet_index").orderBy("first_row")) == 1
+    going_on = F.concat(F.lit(" (from row "), F.col("first_row").cast("string"), F.lit(")\n"))
+    # Only sheets without cells have no body.
+    filled = bodies.join(known, ["registry_id", "sheet_index"]).withColumn("_begins", begins).select(
+        "registry_id", "sheet_index", "first_row", F.concat(title, F.when(F.col("_begins"), extent).otherwise(going_on), "_body").alias("chunk")
+    )
+    empty = known.filter(~F.col("has_data")).select(
+        "registry_id", "sheet_index", F.lit(0).cast("bigint").alias("first_row"), F.concat(title, extent, F.lit("(Empty sheet)\n")).alias("chunk")
+    )
+    return filled.unionByName(empty)
+
+
+def workbook_parts(registry: DataFrame, metadata: DataFrame, cells: DataFrame, rows: int = MAX_ROWS, size: int = PART_BYTES) -> DataFrame:
+    """The whole text of each spreadsheet in ordered parts, with the path each is stored under.
+
+    The first part has the path of the workbook; a part ends behind the chunk that
+    takes it to ``size`` bytes.
+    """
+    in_book = Window.partitionBy("registry_id").orderBy("sheet_index", "first_row")
+    so_far = F.sum(F.octet_length("chunk")).over(in_book.rowsBetween(Window.unboundedPreceding, -1))
+    placed = sheet_chunks(metadata, cells, rows, size).withColumn("_at", F.floor(F.coalesce(so_far, F.lit(0)) / F.lit(size)))
+    placed = placed.withColumn("part_number", F.dense_rank().over(Window.partitionBy("registry_id").orderBy("_at")))
+    ordered = F.array_sort(F.collect_list(F.struct("sheet_index", "first_row", "chunk")))
+    parts = placed.groupBy("registry_id", "part_number").agg(F.array_join(F.transform(ordered, lambda c: c["chunk"]), "\n").alias("_text"))
+    counts = metadata.groupBy("registry_id").agg(F.count("*").alias("_n"))
     name = F.col("original_file_name")
-    head = F.concat(F.lit("Excel Document: "), name, F.lit("\nTotal Sheets: "), F.col("_n").cast("string"), F.lit("\n\n"))
-    return registry.join(texts, "registry_id").select(
+    first = F.col("part_number") == 1
+    number = F.col("part_number").cast("string")
+    below = F.when(first, F.concat(F.lit("\nTotal Sheets: "), F.col("_n").cast("string"))).otherwise(F.concat(F.lit("\nPart: "), number))
+    suffix = F.when(first, F.lit("_converted.pdf")).otherwise(F.concat(F.lit("_converted_part_"), number, F.lit(".pdf")))
+    return registry.join(parts, "registry_id").join(counts, "registry_id").select(
         "registry_id",
-        F.concat(F.lit(CONVERTED_FOLDER), strip_extension(name), F.lit("_converted.pdf")).alias("converted_pdf_path"),
-        F.concat(head, F.array_join("_sheets", "\n")).alias("document_text"),
+        "part_number",
+        F.concat(F.lit(CONVERTED_FOLDER), strip_extension(name), suffix).alias("converted_pdf_path"),
+        F.concat(F.lit("Excel Document: "), name, below, F.lit("\n\n"), "_text").alias("document_text"),
     )
 
 

@@ -206,7 +206,10 @@ class DocumentFlow:
             self._feed(parts.join(texts, ["registry_id", "part_number"]), "part_stage_path", "part_text", f"parts-{batch}")
 
     def _convert(self, batch: int, as_of: datetime) -> None:
-        """Describe and render the sheets of spreadsheets that wait, of whatever batch, if their cells can be read."""
+        """Describe the sheets of spreadsheets that wait, of whatever batch, if their cells can be read.
+
+        The whole text of a workbook goes to the feedback folder, in parts by row range.
+        """
         if self.hooks.read_cells is None:
             return
         pending = self.spreadsheets(batch).filter("conversion_status = 'pending'")
@@ -214,8 +217,8 @@ class DocumentFlow:
         self.tables.write("excel_sheet_metadata", sheets.sheet_metadata(found, cells, as_of), batch)
         metadata = self._new("excel_sheet_metadata", batch)
         counts = metadata.groupBy("registry_id").agg(F.count("*").alias("sheet_count"))
-        rendered = sheets.workbook_texts(pending, sheets.sheet_previews(metadata, cells))
-        events = rendered.join(counts, "registry_id").withColumns(
+        rendered = sheets.workbook_parts(pending, metadata, cells)
+        events = rendered.filter("part_number = 1").join(counts, "registry_id").withColumns(
             {"conversion_status": F.lit("converted"), "event_time": F.lit(_after(as_of))}
         )
         begun = events.select("registry_id", F.lit("converting").alias("conversion_status"), F.lit(as_of).alias("event_time"))

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.operators import state
+from foliospark.operators import sheets, state
 from foliospark.seeds import EXTRACT_RULES
 from foliospark.sources import listing
 from foliospark.sources.tables import TableFolder
@@ -236,6 +236,44 @@ def test_hooks_and_feedback(spark, inbox, tmp_path):
     assert "(Empty sheet)" in back[0]["content_text"]
 
 
+def test_whole_sheets_come_back(spark, tmp_path):
+    """Cells beyond 500 rows, 15 columns and 100 characters are in the documents of a workbook."""
+    rows, columns, long = 1203, 18, "long " * 60
+
+    def read_cells(pending):
+        ids = pending.select("registry_id")
+        sheets = ids.select("registry_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)).cast("array<bigint>")).alias("sheet_index")).withColumn("sheet_name", F.concat(F.lit("S"), "sheet_index"))
+        cells = ids.crossJoin(spark.range(1, rows + 1).withColumnRenamed("id", "row")).crossJoin(spark.range(1, columns + 1).withColumnRenamed("id", "col"))
+        cells = cells.filter("row NOT BETWEEN 501 AND 1000 OR row = 700").filter("col NOT IN (2, 17)")
+        value = F.concat(F.lit("r"), "row", F.lit("c"), "col", F.when((F.col("row") == 1201) & (F.col("col") == 16), F.lit(long)).otherwise(F.lit("")), F.lit("e"))
+        filled = cells.withColumn("value", value).withColumn("sheet_index", F.lit(1).cast("bigint"))
+        more = ids.select("registry_id", F.lit(9000).cast("bigint").alias("row"), F.lit(40).cast("bigint").alias("col"), F.lit("alone").alias("value"), F.lit(3).cast("bigint").alias("sheet_index"))
+        return sheets, filled.unionByName(more)
+
+    feedback = str(tmp_path / "feedback")
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    flow = DocumentFlow(tables, hooks=Hooks(read_cells=read_cells), feedback=feedback, clock=lambda: AS_OF)
+    arrived = spark.createDataFrame([("in/book.xlsx", 10, "in/book.xlsx", None)], ARRIVALS)
+    flow.run_batch(arrived, 0)
+    book = flow.spreadsheets().collect()[0]
+    assert (book["conversion_status"], book["sheet_count"], book["converted_pdf_path"]) == ("converted", 3, "converted_excel/book_converted.pdf")
+    flow.run_batch(spark.read.schema(ARRIVALS).option("recursiveFileLookup", True).parquet(feedback), 1)
+    text = "".join(r["content_text"] for r in tables.read("parsed_documents").collect())
+    for r in range(1, rows + 1):
+        for c in range(1, columns + 1):
+            there = (not 501 <= r <= 1000 or r == 700) and c not in (2, 17)
+            value = f"r{r}c{c}{long if (r, c) == (1201, 16) else ''}e"
+            assert text.count(value) == there, value
+    assert "alone" in text and "(Empty sheet)" in text and "r1c1e |  | r1c3e" in text
+    # Small parts: the same cells, in order, each part under its own path.
+    found, cells = read_cells(flow.spreadsheets())
+    parts = sheets.workbook_parts(flow.spreadsheets(), tables.read("excel_sheet_metadata"), cells, size=20_000).orderBy("part_number").collect()
+    assert len(parts) > 5 and len({p["converted_pdf_path"] for p in parts}) == len(parts) and [p["part_number"] for p in parts] == list(range(1, len(parts) + 1))
+    assert all(len(p["document_text"]) < 45_000 for p in parts)
+    places = ["".join(p["document_text"] for p in parts).index(f"r{r}c18e") for r in range(1, rows + 1) if not 501 <= r <= 1000 or r == 700]
+    assert places == sorted(places)
+
+
 def csv_state(flow, tables):
     """What the CSV stage has stored, without times."""
     typed = flow.spark.read.option("mergeSchema", True).parquet(f"{tables.root}/csv_tables/CSV_SALES")
