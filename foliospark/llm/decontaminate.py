@@ -12,9 +12,8 @@ that follow each other in no item, where the longest match is one word at most.
 
 Items go out in slices of bounded size (``slice_bytes``); more items mean more
 passes.  Items without words, or with a null id, match nothing.  A null or empty
-text has no words.  Documents with repeated ids are marked row by row as long as
-the items fit one slice, and count as one document otherwise.  Empty tables are
-fine on both sides; other columns are ignored.
+text has no words.  Documents with repeated or null ids are marked row by row.
+Empty tables are fine on both sides; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,14 +23,14 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_loop, stored, texts
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(rb"[^ ]+")
-MARKED = "doc_id long, n_words long, spans array<struct<start:bigint,length:bigint>>, items array<string>"
+MARKED = "doc_id long, key string, n_words long, spans array<struct<start:bigint,length:bigint>>, items array<string>"
 
 
 def words(text: str) -> list[bytes]:
@@ -185,9 +184,19 @@ def _item_slices(items: DataFrame, slice_bytes: int) -> list[list[tuple[str, lis
 
 
 def mark(docs: DataFrame, items: DataFrame, window: int = 10, slice_bytes: int = 512 << 10) -> DataFrame:
-    """doc_id, n_words, spans of hit words (start, length) and items (sorted ids) for every document."""
+    """doc_id, n_words, spans of hit words (start, length) and items (sorted ids) for every row of ``docs``."""
+    return _marks(docs, items, window, slice_bytes).drop("key")
+
+
+def _key(text) -> Column:
+    """What tells texts of one id, or of none, apart; null for a null text."""
+    return F.sha2(text.cast("string"), 256)
+
+
+def _marks(docs: DataFrame, items: DataFrame, window: int, slice_bytes: int = 512 << 10) -> DataFrame:
+    """What ``mark`` gives, and the key of each row's text."""
     spark = docs.sparkSession
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _key(F.col("text")).alias("key"))
     passes = []
     for part in _item_slices(items, slice_bytes):
         sent = spark.sparkContext.broadcast(Automaton(part, window))
@@ -200,11 +209,12 @@ def mark(docs: DataFrame, items: DataFrame, window: int = 10, slice_bytes: int =
                 marks = automaton.mark(found)
                 columns = [
                     batch.column("doc_id"),
+                    batch.column("key"),
                     pa.array([len(ws) for ws in found], pa.int64()),
                     pa.array([_spans(m[0]) if m else [] for m in marks], pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
                     pa.array([sorted(m[1]) if m else [] for m in marks], pa.list_(pa.string())),
                 ]
-                return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "spans", "items"])
+                return pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_words", "spans", "items"])
 
             return step
 
@@ -214,7 +224,7 @@ def mark(docs: DataFrame, items: DataFrame, window: int = 10, slice_bytes: int =
     every = passes[0]
     for p in passes[1:]:
         every = every.unionByName(p)
-    return every.groupBy("doc_id").agg(
+    return every.groupBy("doc_id", "key").agg(
         F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     ).withColumn("spans", _joined("spans"))
 
@@ -247,17 +257,18 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 def remove(docs: DataFrame, items: DataFrame, window: int = 10, most_coverage: float = 0.5) -> DataFrame:
     """``docs`` without hit spans; documents with more than ``most_coverage`` of their words hit are left out.
 
-    The columns of ``docs`` stay; ``doc_id`` must be unique.  Only texts with
+    The columns of ``docs`` stay; ids may be null or repeated.  Only texts with
     hits are read again in Python.
     """
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
-    hits = mark(docs, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), "spans", (hit > F.lit(most_coverage) * F.col("n_words")).alias("_drop"))
-    hits = stored(hits, "decontaminate-hits").dropDuplicates(["_id"])
+    hits = _marks(docs, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "spans", (hit > F.lit(most_coverage) * F.col("n_words")).alias("_drop"))
+    hits = stored(hits, "decontaminate-hits").dropDuplicates(["_id", "_key"])
 
     @F.pandas_udf("string")
     def without(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut(t, [(int(s["start"]), int(s["length"])) for s in ss]) for t, ss in zip(text, spans)], dtype=object)
 
-    clean = docs.join(hits, docs["doc_id"] == hits["_id"], "left_anti")
-    touched = docs.join(hits.where(~F.col("_drop")), docs["doc_id"] == hits["_id"])
+    same = docs["doc_id"].cast("long").eqNullSafe(hits["_id"]) & (_key(docs["text"]) == hits["_key"])
+    clean = docs.join(hits, same, "left_anti")
+    touched = docs.join(hits.where(~F.col("_drop")), same)
     return clean.unionByName(touched.select(*[without(docs["text"], "spans").alias("text") if c == "text" else docs[c] for c in docs.columns]))

@@ -145,6 +145,11 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    """Two numbers for each set, 128 bits of a digest."""
+    return np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8") for s in sets]).reshape(-1, 2)
+
+
 def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
     """doc_id, n_shingles, a 128-bit digest of the set (h1, h2) and the band keys."""
 
@@ -153,7 +158,7 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
 
         def step(batch):
             sets = shingle_sets(texts(batch.column("text")), size)
-            digest = np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8") for s in sets]).reshape(-1, 2)
+            digest = _digests(sets)
             keys = band_keys(signatures(sets, orders))
             sizes = np.array([len(s) for s in sets], np.int64)
             keys_each = np.where(sizes > 0, BANDS, 0)
@@ -277,6 +282,25 @@ def _hidden(grouped: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    return _grouped(docs, size, similarity).drop("h1", "h2")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.75) -> DataFrame:
+    """The rows of ``docs`` that are kept; rows with a null id are told by their sets."""
+    gone = stored(_grouped(docs, size, similarity).where(~F.col("kept")).select("doc_id", "h1", "h2"), "near-dup-gone")
+
+    @F.pandas_udf("h1 long, h2 long")
+    def digest(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(_digests(shingle_sets([t or "" for t in text], size)), columns=["h1", "h2"])
+
+    named = docs.join(gone.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_anti").where("doc_id IS NOT NULL")
+    other = docs.where("doc_id IS NULL").withColumn("_set", digest(F.col("text").cast("string")))
+    sets = gone.where("doc_id IS NULL").select(F.struct("h1", "h2").alias("_set")).distinct()
+    return named.select(docs.columns).unionByName(other.join(sets, "_set", "left_anti").select(docs.columns))
+
+
+def _grouped(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """What ``near_duplicates`` gives, and the digest of each row's set (h1, h2)."""
     percent = round(100 * similarity)
     linked = F.col("shared") * 100 >= F.col("total") * percent
     distance = (1 - F.col("shared") / F.col("total")).alias("d")
@@ -317,4 +341,4 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) ->
     empty = F.col("n_shingles") == 0
     joined = rows.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    return joined.select("doc_id", "n_shingles", "h1", "h2", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

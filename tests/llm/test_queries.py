@@ -50,6 +50,21 @@ def test_whole_table(spark, name):
     assert Counter(r["doc_id"] for r in QUERIES[name](spark, SMALL).select("doc_id").collect()) == Counter(i for i, _ in documents(spark))
 
 
+def test_null_and_repeated_ids_in_stages(spark, tmp_path):
+    """Copies with a null id go, and passages are cut from rows with null and repeated ids."""
+    one, two, item = helpers.prose(600, 50), helpers.prose(601, 50), helpers.prose(602, 15)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema)
+    rows = [(1, one), (None, one), (None, two), (None, None), (4, None), (5, one), (6, helpers.prose(603, 50))]
+    left = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, frame(rows), "").collect())
+    assert left == Counter([rows[0], rows[2], rows[3], rows[4], rows[6]])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, one + " " + item), (None, item + " a"), (None, two), (7, two + " " + item), (7, "b " + item), (7, two)]
+    clean = corpus_pipeline.without_benchmarks(spark, frame(rows), str(tmp_path)).collect()
+    assert len(clean) == 4 and Counter(r["doc_id"] for r in clean) == Counter({None: 2, 7: 2})
+    assert not any(helpers.hits(r["text"], [(1, item)])[0] for r in clean)
+
+
 def test_pipeline(spark, tmp_path):
     from sentencepiece import SentencePieceProcessor
 
