@@ -224,9 +224,11 @@ def _marks(docs: DataFrame, items: DataFrame, window: int, slice_bytes: int = 51
     every = passes[0]
     for p in passes[1:]:
         every = every.unionByName(p)
+    # Rows with one id and text are alike in every pass; as many as there were come out.
     return every.groupBy("doc_id", "key").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    ).withColumn("spans", _joined("spans"))
+        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), (F.count("*") / len(passes)).cast("int").alias("rows"),
+    ).withColumn("spans", _joined("spans")).withColumn("rows", F.explode(F.array_repeat(F.lit(0), F.col("rows")))).drop("rows")
 
 
 def _joined(spans: str):

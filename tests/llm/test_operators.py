@@ -237,6 +237,22 @@ def test_decontamination_removes_spans(spark, odd, empty):
     assert decontaminate.remove(empty, items).count() == 0 and decontaminate.remove(odd, items.limit(0)).count() == odd.count()
 
 
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 200])
+def test_decontamination_of_repeated_and_null_ids(spark, slice_bytes):
+    """Every row is marked, and cut, by its own text."""
+    passage = helpers.prose(2, 40)
+    rows = [(1, "a b " + passage), (1, helpers.prose(3, 60) + " " + passage), (1, "short"), (1, "short"), (None, passage), (None, helpers.prose(4, 70) + " " + passage), (None, "x y"), (None, None), (2, None)]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontaminate.mark(helpers.frame(spark, rows).repartition(3), items, slice_bytes=slice_bytes).collect()
+    got = Counter((r["doc_id"], r["n_words"], sum(s["length"] for s in r["spans"]), tuple(r["items"])) for r in found)
+    expected = [(i, t, *helpers.hits(t, ITEMS)) for i, t in rows]
+    assert got == Counter((i, len(helpers.words(t)), len(places), tuple(sorted(names))) for i, t, places, names in expected)
+    if slice_bytes > 200:
+        kept = Counter((r["doc_id"], r["text"]) for r in decontaminate.remove(helpers.frame(spark, rows), items).collect())
+        cut = lambda t: decontaminate.cut(t, [(len(helpers.words(t)) - len(helpers.words(passage)), len(helpers.words(passage)))])
+        assert kept == Counter([(1, cut(rows[1][1])), (1, "short"), (1, "short"), (None, cut(rows[5][1])), (None, "x y"), (None, None), (2, None)])
+
+
 def test_automaton_on_random_words():
     draw = random.Random(8)
     word = lambda n: " ".join(draw.choice("abc") for _ in range(n))
