@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
 
-from . import chat, decontaminate, language_id, near_dups, neighbours, pieces, quality, repeats, sharding, token_files
+from . import chat, decontaminate, language_id, licenses, near_dups, neighbours, pieces, quality, repeats, sharding, token_files
 from .common import stored, table
 
 
@@ -132,8 +132,44 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+_LICENSE_ROWS = ", ".join(
+    f"({n}, '{label}', {base}, '{text}')"
+    for n, (text, label, base) in enumerate([*((t, b, True) for t, b in licenses.BASE.items()), *((t, b, False) for t, b in licenses.NOTICES.items())])
+)
+_LICENSE_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
+OP11_SQL = f"""
+WITH t AS (SELECT template, label, base, {_LICENSE_WORDS} AS w FROM (VALUES {_LICENSE_ROWS}) AS v(template, label, base, text)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_LICENSE_WORDS} AS w FROM documents),
+tg AS (SELECT template, label, base, n, k, i AS place, array_to_string(w[i + 1:i + k], ' ') AS g
+  FROM (SELECT *, unnest(range(n - k + 1)) AS i FROM (SELECT *, len(w) AS n, least(4, len(w)) AS k FROM t))),
+dg AS (SELECT r, k, i AS p, array_to_string(w[i + 1:i + k], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM tg) WHERE len(w) >= k)),
+v AS (SELECT r, template, label, base, n, k, p, place, p - place AS diagonal FROM dg JOIN tg USING (k, g)),
+apart AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > CASE WHEN base THEN 0 ELSE least(8, n // 4) END, true) AS a
+  FROM (SELECT DISTINCT r, template, base, n, diagonal FROM v)),
+parts AS (SELECT r, template, diagonal, sum(a::INT) OVER (PARTITION BY r, template ORDER BY diagonal) AS part FROM apart),
+hits AS (SELECT r, template, label, base, n, part, min(p) AS s, max(p + k) - 1 AS e, count(DISTINCT place + j) AS template_hit, count(DISTINCT p + j) AS text_hit
+  FROM (SELECT *, unnest(range(k)) AS j FROM v JOIN parts USING (r, template, diagonal)) GROUP BY ALL),
+spans AS (SELECT *, template_hit::DOUBLE / n AS covered FROM hits
+  WHERE template_hit::DOUBLE / n >= CASE WHEN base THEN 1.0 ELSE {licenses.COVERAGE} END AND text_hit >= {licenses.DENSITY} * (e - s + 1)),
+chains AS (SELECT *, sum(f) OVER (PARTITION BY r, base ORDER BY s, e, template ROWS UNBOUNDED PRECEDING) AS chain FROM (SELECT *,
+  coalesce(s > max(e) OVER (PARTITION BY r, base ORDER BY s, e, template ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)::INT AS f FROM spans)),
+kept AS (SELECT * FROM chains QUALIFY base OR covered = max(covered) OVER (PARTITION BY r, base, chain)),
+found AS (SELECT r, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(covered) AS score
+  FROM kept GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN found USING (r)
+"""
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op8_repeats, op9_chat_format, op10_sentencepiece)
+    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op8_repeats, op9_chat_format, op10_sentencepiece, op11_license_scan)
 }
-SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL}
+SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_license_scan": OP11_SQL}
