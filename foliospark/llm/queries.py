@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
 
-from . import chat, decontaminate, language_id, licenses, near_dups, neighbours, pieces, quality, repeats, sharding, token_files
+from . import chat, decontaminate, filter_audit, language_id, licenses, near_dups, neighbours, pieces, quality, repeats, sharding, token_files
 from .common import stored, table
 
 
@@ -168,8 +168,42 @@ FROM d LEFT JOIN found USING (r)
 """
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.flags(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS q, max((toxic = 1)::INT) AS t FROM labels GROUP BY 1),
+m AS (SELECT part, coalesce(q, 0) AS q, coalesce(t, 0) AS t, (CASE WHEN len(words) < 200 THEN 1 ELSE 0 END)
+    | (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END)
+    | (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END)
+    | (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+    | (CASE WHEN doc_id > first_id THEN 16 ELSE 0 END) AS mask
+  FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(q) AS good, sum(t) AS toxic FROM m GROUP BY ALL),
+f AS (SELECT chr((65 + i)::INT) AS f, (1 << i)::INT AS bit FROM range(5) AS r(i)),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s AS (SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[:step - 1]), 0)::INT AS before FROM o, range(1, 6) AS r(step)),
+x AS (SELECT part, filter_order, step, bit,
+    sum(n) FILTER (mask & (before | bit) = 0) AS kept,
+    sum(n) FILTER (mask & before = 0 AND mask & bit <> 0) AS removed,
+    sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0) AS redundant,
+    sum(n) FILTER (mask = bit) AS unique_fails,
+    sum(good) FILTER (mask & before = 0 AND mask & bit <> 0) AS good_lost,
+    sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM x
+"""
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op8_repeats, op9_chat_format, op10_sentencepiece, op11_license_scan)
+    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op8_repeats, op9_chat_format, op10_sentencepiece, op11_license_scan, op13_filter_audit)
 }
-SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_license_scan": OP11_SQL}
+SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_license_scan": OP11_SQL, "op13_filter_audit": OP13_SQL}
