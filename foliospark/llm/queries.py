@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
 
-from . import chat, decontaminate, filter_audit, language_id, licenses, near_dups, neighbours, pieces, quality, repeats, sharding, token_files
+from . import alignment, chat, decontaminate, filter_audit, language_id, licenses, near_dups, neighbours, pieces, quality, repeats, sharding, token_files
 from .common import stored, table
 
 
@@ -168,6 +168,10 @@ FROM d LEFT JOIN found USING (r)
 """
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.flags(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
@@ -204,6 +208,6 @@ FROM x
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op8_repeats, op9_chat_format, op10_sentencepiece, op11_license_scan, op13_filter_audit)
+    for f in (op1_token_files, op2_near_dups, op3_language_id, op4_quality, op5_nearest, op6_decontaminate, op7_sharding, op8_repeats, op9_chat_format, op10_sentencepiece, op11_license_scan, op12_alignment, op13_filter_audit)
 }
 SQL = {"op5_nearest": OP5_SQL, "op6_decontaminate": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_license_scan": OP11_SQL, "op13_filter_audit": OP13_SQL}
