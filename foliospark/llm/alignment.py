@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, list_array, offsets, slices, stored, texts
+from .common import distinct, give_back, list_array, offsets, slices, stored, texts
 
 #: Bytes of text in a block, characters of parts that a worker remembers, and salts of a text's rows.
-BLOCK_BYTES, REMEMBERED, SALTS = 4 << 20, 8 << 20, 60
+BLOCK_BYTES, REMEMBERED, SALTS = 2 << 20, 5 << 19, 60
 CUT = re.compile(r"(?<=[!-~À-ÖØ-öø-ÿ]) (?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ](?s:.*)(?<=[!-~À-ÖØ-öø-ÿ])\Z")
+#: Parts that are tokenised at a time.
+TOGETHER = 512
 #: An id of A and one of B as one number.
 SHIFT = 1 << 20
 
@@ -73,21 +77,23 @@ class Aligner:
         return list(map(self.index.__getitem__, parts))
 
     def _add(self, new: list[str]):
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)]
-        ids_b = self.b.encode(new, num_threads=1)
-        good = np.ones(len(new), bool)
-        for i, p in enumerate(new):
-            raw = b" " + p.encode()
-            good[i] = p != "" and b"".join([self.bytes_a[t] for t in ids_a[i]]) == raw and b"".join([self.bytes_b[t] for t in ids_b[i]]) == raw
-        ids_a = [x if g else [] for x, g in zip(ids_a, good)]
-        ids_b = [x if g else [] for x, g in zip(ids_b, good)]
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.array([t for x in ids for t in x], np.int64) for ids in (ids_a, ids_b))
+        # Parts that may follow each other in a text are tokenised as one, which ends a token after each of them.
+        plain = [p for p in new if PLAIN.match(p)]
+        new = plain + [p for p in new if not PLAIN.match(p)]
+        raw = [b" " + p.encode() for p in new]
+        found, good = [], np.ones(len(new), bool)
+        for i in range(0, len(plain), TOGETHER):
+            stop = min(i + TOGETHER, len(plain))
+            one = self._tokens(" ".join(plain[i:stop]), b"".join(raw[i:stop]))
+            found += [one] if one else [self._one(j, new, raw, good) for j in range(i, stop)]
+        found += [self._one(j, new, raw, good) for j in range(len(plain), len(new))]
+        ends_of = np.cumsum([len(r) if g else 0 for r, g in zip(raw, good)])
+        a, b = (np.array(list(chain.from_iterable(side)), np.int64) for side in zip(*found))
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        ends = np.intersect1d(end_a, end_b)
+        ends = np.intersect1d(end_a, end_b, assume_unique=True)
         group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
-        part_of_group = np.zeros(len(ends), np.int64)
-        part_of_group[group_a] = np.repeat(np.arange(len(new)), n_a)
+        part_of_group = np.searchsorted(ends_of, ends)
+        n_a, n_b = (np.bincount(np.searchsorted(ends_of, end), minlength=len(new)) for end in (end_a, end_b))
         in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
         n_groups = np.bincount(part_of_group, minlength=len(new))
         n_links = np.bincount(part_of_group, weights=in_a * in_b, minlength=len(new)).astype(np.int64)
@@ -114,6 +120,18 @@ class Aligner:
         self.pairs = np.concatenate([self.pairs, pairs])
         self.times = np.concatenate([self.times, times_a[of_a] * times_b[of_b]])
 
+    def _tokens(self, text: str, raw: bytes):
+        """Ids of both tokenizers; none if they do not spell ``raw``."""
+        a = self.a.encode(" " + text, add_special_tokens=False).ids
+        b = self.b.encode(text)
+        if b"".join([self.bytes_a[t] for t in a]) == raw and b"".join([self.bytes_b[t] for t in b]) == raw:
+            return a, b
+
+    def _one(self, at: int, new: list[str], raw: list[bytes], good: np.ndarray):
+        found = self._tokens(new[at], raw[at]) if new[at] else None
+        good[at] = found is not None
+        return found or ([], [])
+
     def links(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs of the parts ``codes`` in order, how often each is linked in its part, and the number for each part."""
         sizes = self.starts[codes + 1] - self.starts[codes]
@@ -160,10 +178,10 @@ _BLOCKS = (
 )
 
 
-def blocks(distinct: DataFrame, path_a: str, path_b: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def blocks(unique: DataFrame, path_a: str, path_b: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Texts with their measures, and for each block one row more (without text_key) with its pairs.
 
-    ``distinct``: text, text_key, rows (that hold it) and salts (bits).  A text row has
+    ``unique``: text, text_key, rows (that hold it) and salts (bits).  A text row has
     its distinct parts (numbers within the block) and how often each occurs; a block row
     has the pairs of its texts with their weights, and the links of each part (``sizes``:
     how many, ``places``: which pair, ``links``: how often).
@@ -176,19 +194,21 @@ def blocks(distinct: DataFrame, path_a: str, path_b: str, block_bytes: int = BLO
         held: list = []
         size = 0
         for piece in slices(batches):
-            for text, key, rows, salts in zip(texts(piece.column("text")), *(piece.column(c).to_pylist() for c in ("text_key", "rows", "salts"))):
-                held.append((key, rows, salts, np.array(aligner.codes(CUT.split(text)), np.int64)))
-                size += len(text)
-                if size >= block_bytes:
-                    yield from _block(aligner, base + number, held, schema)
-                    number, held, size = number + 1, [], 0
-                    if aligner.characters > REMEMBERED:
-                        aligner.forget()
+            parts = [CUT.split(t) for t in texts(piece.column("text"))]
+            codes = np.array(aligner.codes(list(chain.from_iterable(parts))), np.int64)
+            each = np.split(codes, np.cumsum([len(p) for p in parts])[:-1])
+            held += zip(*(piece.column(c).to_pylist() for c in ("text_key", "rows", "salts")), each)
+            size += piece.column("text").nbytes
+            if size >= block_bytes:
+                yield from _block(aligner, base + number, held, schema)
+                number, held, size = number + 1, [], 0
+                if aligner.characters > REMEMBERED:
+                    aligner.forget()
         if held:
             yield from _block(aligner, base + number, held, schema)
         give_back()
 
-    return distinct.select("text", "text_key", "rows", "salts").mapInArrow(run, _BLOCKS)
+    return unique.select("text", "text_key", "rows", "salts").mapInArrow(run, _BLOCKS)
 
 
 def _block(aligner: Aligner, block: int, held: list, schema: pa.Schema):
@@ -200,7 +220,10 @@ def _block(aligner: Aligner, block: int, held: list, schema: pa.Schema):
     rows = np.array(rows, np.int64)
     length = np.array([len(c) for c in codes], np.int64)
     text, flat = np.repeat(np.arange(len(held)), length), np.concatenate(codes)
-    used, flat = np.unique(flat, return_inverse=True)
+    used = np.flatnonzero(np.bincount(flat))
+    place = np.zeros(len(aligner.good), np.int64)
+    place[used] = np.arange(len(used))
+    flat = place[flat]
     totals = np.stack([np.bincount(text, weights=aligner.counts[used[flat], i], minlength=len(held)) for i in range(4)]).astype(np.int64)
     shas = [hashlib.sha256(";".join([aligner.groups[i] for i in c]).encode()).hexdigest() for c in map(np.ndarray.tolist, codes)]
     seen, times = np.unique(text * len(used) + flat, return_counts=True)
@@ -216,7 +239,7 @@ def _block(aligner: Aligner, block: int, held: list, schema: pa.Schema):
     for a, b in zip(cuts, cuts[1:]):
         many = sizes[part[a:b]]
         take = np.arange(int(many.sum())) + np.repeat(starts[part[a:b]] - (np.cumsum(many) - many), many)
-        once = np.unique(np.repeat(of_text[a:b], many) * len(known) + place[take])
+        once = distinct(np.repeat(of_text[a:b], many) * len(known) + place[take])
         if len(once):
             weights += np.bincount(once % len(known), weights=rows[once // len(known)], minlength=len(known)).astype(np.int64)
 
@@ -274,9 +297,9 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("salt", salt)
     full = rows.where("text IS NOT NULL AND text <> ''")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))
-    distinct = full.groupBy("text").agg(F.count("*").alias("rows"), F.bit_or(bit).alias("salts"))
+    unique = full.groupBy("text").agg(F.count("*").alias("rows"), F.bit_or(bit).alias("salts"))
     key = F.unhex(F.sha2("text", 256)).alias("text_key")
-    found = stored(blocks(distinct.select("text", key, "rows", "salts"), path_a, path_b), "alignment-blocks")
+    found = stored(blocks(unique.select("text", key, "rows", "salts"), path_a, path_b), "alignment-blocks")
     of_block = found.where("text_key IS NULL").select(F.col("block").alias("in_block"), F.explode("pairs").alias("pair"))
     counted = of_block.join(pair_counts(found), "pair").select("in_block", "pair", "n", "best")
     measures = stored(found.drop("weights").groupBy("block").cogroup(counted.groupBy("in_block")).applyInArrow(_measure, _MEASURES), "alignment-measures")

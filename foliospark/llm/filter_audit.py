@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_loop, stored
+from .common import arrow_loop, distinct, stored
 
 NAMES = "ABCDE"
 #: Orders grow with the factorial of the number of filters.
@@ -66,12 +66,12 @@ def _masks(batch: pa.RecordBatch) -> pa.RecordBatch:
     rows = rows[real]
     n = len(text)
     count = np.bincount(rows, minlength=n)
-    pairs = np.unique(rows * (int(codes.max()) + 1 if len(codes) else 1) + codes)
-    distinct = np.bincount(pairs // (int(codes.max()) + 1 if len(codes) else 1), minlength=n)
+    most = int(codes.max(initial=0)) + 1
+    different = np.bincount(distinct(rows * most + codes) // most, minlength=n)
     capitals = np.asarray(pc.count_substring_regex(text, "[A-Z]"), np.int64)
     points = np.asarray(pc.utf8_length(text), np.int64)
     symbol = np.asarray(pc.match_substring_regex(text, SYMBOLS))
-    failed = (count < LEAST_WORDS, 100 * distinct < DISTINCT_PERCENT * count, 100 * capitals > CAPITAL_PERCENT * points, symbol)
+    failed = (count < LEAST_WORDS, 100 * different < DISTINCT_PERCENT * count, 100 * capitals > CAPITAL_PERCENT * points, symbol)
     mask = sum((f.astype(np.int64) << i for i, f in enumerate(failed)), np.zeros(n, np.int64))
     names = ["doc_id", "part", "text_key"]
     return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(mask, pa.int32())], [*names, "mask"])
