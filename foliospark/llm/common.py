@@ -11,7 +11,8 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
 
@@ -29,6 +30,46 @@ def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that go when the block ends, but for those that are kept.
+
+    What is kept must not depend on the others: keep only stored tables.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = work_folder(self.spark, purpose)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path, out
+        return out
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.paths.pop(id(df))
+        return df
+
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[0])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.drop(*[df for _, df in self.paths.values()])
+        # Shuffle files go when the driver has collected the plans that made them.
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+
+def text_key(text: Column) -> Column:
+    """What tells the texts of one id, or of none, apart; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Texts can be long: fewer rows than the default go to Python at a time.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

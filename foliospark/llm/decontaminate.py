@@ -263,14 +263,17 @@ def remove(docs: DataFrame, items: DataFrame, window: int = 10, most_coverage: f
     hits are read again in Python.
     """
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
-    hits = _marks(docs, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "spans", (hit > F.lit(most_coverage) * F.col("n_words")).alias("_drop"))
-    hits = stored(hits, "decontaminate-hits").dropDuplicates(["_id", "_key"])
+    hits = _marks(docs, items, window).where(F.size("spans") > 0).select(F.struct("doc_id", "key").alias("hit"), "spans", (hit > F.lit(most_coverage) * F.col("n_words")).alias("drop"))
+    hits = stored(hits, "decontaminate-hits").dropDuplicates(["hit"])
 
     @F.pandas_udf("string")
     def without(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut(t, [(int(s["start"]), int(s["length"])) for s in ss]) for t, ss in zip(text, spans)], dtype=object)
 
-    same = docs["doc_id"].cast("long").eqNullSafe(hits["_id"]) & (_key(docs["text"]) == hits["_key"])
-    clean = docs.join(hits, same, "left_anti")
-    touched = docs.join(hits.where(~F.col("_drop")), same)
-    return clean.unionByName(touched.select(*[without(docs["text"], "spans").alias("text") if c == "text" else docs[c] for c in docs.columns]))
+    # Whole rows travel as one column, so no name of theirs can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), _key(F.col("text")).alias("key")).alias("hit"))
+    own = lambda c: F.col(f"row.`{c}`")
+    clean = keyed.join(hits.select("hit"), "hit", "left_anti").select(*[own(c) for c in docs.columns])
+    touched = keyed.join(hits.where(~F.col("drop")), "hit")
+    return clean.unionByName(touched.select(*[without(own("text").cast("string"), "spans").alias("text") if c == "text" else own(c) for c in docs.columns]))

@@ -26,10 +26,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_loop, list_array, texts
+from .common import arrow_loop, list_array, text_key, texts
 
 #: Words of a gram, and of a piece of a long text.
 GRAM, PIECE = 4, 1 << 14
@@ -103,11 +103,6 @@ def rolling(words: np.ndarray, size: int) -> np.ndarray:
     return (out * _ODD[size % 60]).view(np.int64)
 
 
-def text_key(text: Column) -> Column:
-    """What tells the texts of one id apart."""
-    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
-
-
 def pieces(docs: DataFrame, sizes: list[int]) -> DataFrame:
     """doc_id, text_key, base (words before), words and for each size the hashes of all grams that start in the piece.
 

@@ -6,10 +6,11 @@ Jaccard similarity of the sets reaches ``similarity``.
 1. One hash of every shingle fills ``BINS`` bins with their smallest values; an
    empty bin copies the first filled one in a fixed random order of its own.
    Each ``ROWS`` neighbouring bins make a band key.
-2. Documents with equal sets are one class, represented by its smallest id.
+2. Documents with equal sets are one class, a node with a number of its own.
    In every bucket of classes with one band key, the smallest is the centre,
    and only edges between the centre and each other member are candidates.
-   Every candidate is confirmed, or refuted, on the full sets.
+   Candidates are confirmed, or refuted, on the full sets: first each member with
+   its smallest centre, then only edges between what is still apart.
 3. A star can hide a link of a member that is not linked with its centre.  All
    members of such buckets go into finer ones, keyed by pairs of bands, which
    only similar documents share; stars again.  These only save work: every pair
@@ -23,9 +24,11 @@ Jaccard similarity of the sets reaches ``similarity``.
 
 So a link is missed only if its pair shares no band, at a similarity of 0.75 with
 a probability of about 5 in a million.  A null text or one without words is the empty set and linked
-with nothing.  Rows with one id are one document in the graph, and rows with a
-null id are kept and take the component of documents equal to them.  An empty
-table gives no rows; other columns are ignored.
+with nothing.  Rows are told apart by id and text, so texts of one id are nodes of
+their own, and rows with a null id take part; a component is named by its smallest
+id, or null if no row of it has one.  ``one_of_each`` keeps one row of each
+component, of repeated rows too.  An empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_loop, list_array, stored, texts
+from .common import Scratch, arrow_loop, distinct, list_array, stored, text_key, texts
 from .components import components
 
 BINS, ROWS = 128, 4
@@ -94,7 +97,7 @@ def shingle_sets(batch: list[str], size: int) -> list[np.ndarray]:
     out, at = [], 0
     for count in counts.tolist():
         if count >= size:
-            out.append(np.unique(joined[at : at + count - size + 1]))
+            out.append(distinct(joined[at : at + count - size + 1]))
         elif count:
             out.append(mix(np.array([np.sum(words[at : at + count] * _ODD[32 : 32 + count]) + np.uint64(count)], np.uint64)))
         else:
@@ -142,7 +145,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
 
 
 def _digests(sets: list[np.ndarray]) -> np.ndarray:
@@ -151,7 +154,7 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set (h1, h2) and the band keys."""
+    """doc_id, text_key, n_shingles, a 128-bit digest of the set (h1, h2) and the band keys."""
 
     def make():
         orders = _orders()
@@ -162,26 +165,26 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
             keys = band_keys(signatures(sets, orders))
             sizes = np.array([len(s) for s in sets], np.int64)
             keys_each = np.where(sizes > 0, BANDS, 0)
-            columns = [batch.column("doc_id"), pa.array(sizes), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), list_array(keys[sizes > 0].ravel(), keys_each, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "bands"])
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), list_array(keys[sizes > 0].ravel(), keys_each, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "h1", "h2", "bands"])
 
         return step
 
-    return _narrow(docs).mapInArrow(arrow_loop(make), "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>")
+    return _narrow(docs).mapInArrow(arrow_loop(make), "doc_id long, text_key binary, n_shingles long, h1 long, h2 long, bands array<long>")
 
 
-def full_sets(docs: DataFrame, size: int = 5) -> DataFrame:
-    """node (doc_id) and its set of shingle hashes."""
+def full_sets(texts_of: DataFrame, size: int = 5) -> DataFrame:
+    """node and its set of shingle hashes, from node and text."""
 
     def make():
         def step(batch):
             sets = shingle_sets(texts(batch.column("text")), size)
             values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), list_array(values, np.array([len(s) for s in sets], np.int64), pa.int64())], ["node", "shingles"])
+            return pa.RecordBatch.from_arrays([batch.column("node"), list_array(values, np.array([len(s) for s in sets], np.int64), pa.int64())], ["node", "shingles"])
 
         return step
 
-    return _narrow(docs).mapInArrow(arrow_loop(make), "node long, shingles array<long>")
+    return texts_of.mapInArrow(arrow_loop(make), "node long, shingles array<long>")
 
 
 def stars(keyed: DataFrame) -> DataFrame:
@@ -199,28 +202,23 @@ def _apart(starred: DataFrame, found: DataFrame) -> DataFrame:
 
 
 class _Confirm:
-    """Exact similarities of candidate pairs.
+    """Exact similarities of candidate pairs; texts move once, and only for ``nodes``."""
 
-    The first pairs hold all nodes that any later pair can have, so texts move
-    once, and only for documents that have a candidate.
-    """
-
-    def __init__(self, docs: DataFrame, size: int):
-        self.docs, self.size, self.sets = _narrow(docs), size, None
+    def __init__(self, docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int, scratch: Scratch):
+        one = classes.join(nodes, "node", "left_semi").select("node", F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key"))
+        rows = _narrow(docs)
+        same = rows["doc_id"].eqNullSafe(one["_id"]) & (rows["text_key"] == one["_key"])
+        found = full_sets(rows.join(one, same).select("node", "text"), size)
+        # Rows with one id and one text are alike.
+        self.sets, self.scratch = scratch.stored(found.dropDuplicates(["node"]), "near-dup-sets"), scratch
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """u, v, shared and total (sizes of intersection and union) of the distinct pairs."""
-        pairs = stored(pairs.select("u", "v").distinct(), "near-dup-pairs")
-        if self.sets is None:
-            nodes = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-            # One text of each id; which one matters only if an id has several texts.
-            found = full_sets(self.docs.join(nodes, "doc_id", "left_semi"), self.size)
-            self.sets = stored(found.dropDuplicates(["node"]), "near-dup-sets")
         sets = self.sets
-        left = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+        left = pairs.select("u", "v").distinct().join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
         both = left.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
         shared = F.size(F.array_intersect("a", "b"))
-        return stored(both.select("u", "v", shared.alias("shared"), (F.size("a") + F.size("b") - shared).alias("total")), "near-dup-confirmed")
+        return self.scratch.stored(both.select("u", "v", shared.alias("shared"), (F.size("a") + F.size("b") - shared).alias("total")), "near-dup-confirmed")
 
 
 def _present(sets: list[np.ndarray], words: np.ndarray) -> np.ndarray:
@@ -238,18 +236,18 @@ SEEKERS, SEEN = 128, 1024
 CHUNK = 1 << 16
 
 
-def _hidden(grouped: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _hidden(grouped: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """u and v of pairs in one group that may be linked and are in different components.
 
     ``grouped``: kind and g (the group), x, d (distance to the group's centre), x_in
     (component) and seeks; in every pair one member seeks.  Sets are cut to 31 bits
-    here; two shingles more are allowed for, should some of a set coincide.
+    here; as many shingles more are allowed for as coincide in the smaller loss of both.
     """
     group = ["kind", "g"]
     counts = grouped.groupBy(group).agg(F.count(F.when(F.col("seeks"), 1)).alias("seekers"), F.count("*").alias("n"), F.min("x_in").alias("low"), F.max("x_in").alias("high"))
     parts = counts.where("seekers > 0 AND low < high").select(*group, F.ceil(F.col("seekers") / SEEKERS).cast("int").alias("ns"), F.ceil(F.col("n") / SEEN).cast("int").alias("nm"))
     short = sets.select(F.col("node").alias("x"), F.transform("shingles", lambda s: s.bitwiseAND(0x7FFFFFFF).cast("int")).alias("set"))
-    rows = stored(grouped.join(parts, group).join(short, "x").select(*group, "x", "d", "x_in", "seeks", "ns", "nm", "set"), "near-dup-around")
+    rows = scratch.stored(grouped.join(parts, group).join(short, "x").select(*group, "x", "d", "x_in", "seeks", "ns", "nm", "set"), "near-dup-around")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     part = lambda n: F.pmod(F.xxhash64("x"), F.col(n)).cast("int")
     columns = [*group, "x", "d", "x_in", "set"]
@@ -263,6 +261,7 @@ def _hidden(grouped: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         if len(a) and len(b):
             words = np.unique(np.concatenate(a["set"].to_list()))
             size_a, size_b = (np.array([len(v) for v in x["set"]], float) for x in (a, b))
+            lost_a, lost_b = (size - [len(distinct(v)) for v in x["set"]] for size, x in ((size_a, a), (size_b, b)))
             close = np.abs(a["d"].to_numpy()[:, None] - b["d"].to_numpy()) <= limit
             close &= a["x_in"].to_numpy()[:, None] != b["x_in"].to_numpy()
             for at in range(0, len(b), 128):
@@ -271,8 +270,9 @@ def _hidden(grouped: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
                 for low in range(0, len(words), CHUNK):
                     chunk = words[low : low + CHUNK]
                     shared += _present(a["set"].to_list(), chunk) @ _present(some, chunk).T
+                shared += np.minimum(lost_a[:, None], lost_b[at : at + 128])
                 total = size_a[:, None] + size_b[at : at + 128] - shared
-                i, j = np.nonzero((shared + 2 >= similarity * total) & close[:, at : at + 128])
+                i, j = np.nonzero((shared >= similarity * total - 1e-6) & close[:, at : at + 128])
                 out.append((a["x"].to_numpy()[i], b["x"].to_numpy()[at + j]))
         u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*out) if out else ((), ())))
         return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
@@ -282,63 +282,73 @@ def _hidden(grouped: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    return _grouped(docs, size, similarity).drop("h1", "h2")
+    rows, named = _grouped(docs, size, similarity)
+    joined = rows.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("row.doc_id"))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.75) -> DataFrame:
-    """The rows of ``docs`` that are kept; rows with a null id are told by their sets."""
-    gone = stored(_grouped(docs, size, similarity).where(~F.col("kept")).select("doc_id", "h1", "h2"), "near-dup-gone")
-
-    @F.pandas_udf("h1 long, h2 long")
-    def digest(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(_digests(shingle_sets([t or "" for t in text], size)), columns=["h1", "h2"])
-
-    named = docs.join(gone.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_anti").where("doc_id IS NOT NULL")
-    other = docs.where("doc_id IS NULL").withColumn("_set", digest(F.col("text").cast("string")))
-    sets = gone.where("doc_id IS NULL").select(F.struct("h1", "h2").alias("_set")).distinct()
-    return named.select(docs.columns).unionByName(other.join(sets, "_set", "left_anti").select(docs.columns))
-
-
-def _grouped(docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """What ``near_duplicates`` gives, and the digest of each row's set (h1, h2)."""
+    """The rows of ``docs`` that are kept: of each component the one with the smallest id, then text digest."""
+    rows, named = _grouped(docs, size, similarity)
+    each = rows.where("n_shingles > 0").groupBy("doc_id", "text_key", "h1", "h2").agg(F.count("*").alias("n")).join(named, ["h1", "h2"])
+    this = F.col("doc_id").eqNullSafe(F.col("row.doc_id")) & (F.col("text_key") == F.col("row.text_key"))
+    marks = each.where(~this | (F.col("n") > 1)).select(F.struct("doc_id", "text_key").alias("key"), this.alias("one"))
+    marks = stored(marks, "near-dup-marks")
+    # Whole rows travel as one column, so no name of theirs can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key")).alias("key"))
+    named_row = [F.col(f"row.`{c}`") for c in docs.columns]
+    left = keyed.join(marks.select("key"), "key", "left_anti")
+    repeated = keyed.join(marks.where("one").select("key"), "key").dropDuplicates(["key"])
+    return left.select(*named_row).unionByName(repeated.select(*named_row))
+
+
+def _grouped(docs: DataFrame, size: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows, and for each set (h1, h2) the first row (doc_id, text_key) of its component."""
+    spark = docs.sparkSession
     percent = round(100 * similarity)
     linked = F.col("shared") * 100 >= F.col("total") * percent
     distance = (1 - F.col("shared") / F.col("total")).alias("d")
-    rows = stored(sketches(docs, size), "near-dup-sketches")
-    classes = stored(
-        rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "near-dup-classes"
-    )
-    confirm = _Confirm(docs, size)
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("row")
     as_pairs = lambda s: s.select(F.col("c").alias("u"), F.col("x").alias("v"))
-
-    first = stored(stars(classes.select(F.explode("bands").alias("key"), "node")), "near-dup-stars")
-    known = confirm(as_pairs(first))
-    found = components(known.where(linked).select("u", "v"))
-
-    # What a star can hide is between a member that is not linked with its centre and any other of the bucket.
-    stray = _apart(first, found).where("x_in <> c_in").select("key").distinct()
-    crowded = stored(first.join(stray, "key", "left_semi"), "near-dup-crowded")
-    crowd = crowded.select(F.explode(F.array("c", "x")).alias("node")).distinct()
-    band = lambda i: F.element_at("bands", F.lit(i % BANDS + 1))
-    fine_keys = F.array(*[F.xxhash64(F.lit(i * 100 + s), band(i), band(i + s)) for i in range(BANDS) for s in STEPS])
-    second = stored(stars(classes.join(crowd, "node", "left_semi").select(F.explode(fine_keys).alias("key"), "node")), "near-dup-fine-stars")
-    known = known.unionByName(confirm(as_pairs(second).distinct().join(known.select("u", "v"), ["u", "v"], "left_anti")))
-    links = known.where(linked).select("u", "v")
-    found = components(links)
-
-    # A pair near a common centre is hidden there if its members are in different components.
-    edges = known.select(F.col("u").alias("c"), F.col("v").alias("x"), distance)
-    placed = _apart(edges.where(F.col("d") <= AROUND), found).select(F.lit(0).alias("kind"), F.col("c").alias("g"), "x", "d", "x_in", (F.col("x_in") != F.col("c_in")).alias("seeks"))
-    # Any other one has a member farther away, and the second at most 1 - similarity nearer than that.
-    far = F.col("d") > AROUND
-    loose = crowded.join(edges.where(F.col("d") > AROUND - (1 - similarity) - 1e-9), ["c", "x"])
-    buckets = loose.groupBy("key").agg(F.max("d").alias("d"), F.count("*").alias("n")).where(far & (F.col("n") > 1)).select("key")
-    by_bucket = _apart(loose.join(buckets, "key"), found).select(F.lit(1).alias("kind"), F.col("key").alias("g"), "x", "d", "x_in", far.alias("seeks"))
-    more = confirm(_hidden(placed.unionByName(by_bucket), confirm.sets, similarity))
-    found = components(links.unionByName(more.where(linked).select("u", "v")))
-
-    named = classes.select("h1", "h2", "node").join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component_id"))
-    empty = F.col("n_shingles") == 0
-    joined = rows.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
-    component = F.when(empty, F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", "h1", "h2", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    with Scratch(spark) as scratch:
+        rows = scratch.keep(scratch.stored(sketches(docs, size), "near-dup-sketches"))
+        sets = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(first_row, F.first("bands").alias("bands"))
+        classes = scratch.stored(sets.withColumn("node", F.monotonically_increasing_id()), "near-dup-classes")
+
+        first = scratch.stored(stars(classes.select(F.explode("bands").alias("key"), "node")), "near-dup-stars")
+        confirm = _Confirm(docs, classes, first.select(F.explode(F.array("c", "x")).alias("node")).distinct(), size, scratch)
+        known = confirm(first.groupBy(F.col("x").alias("v")).agg(F.min("c").alias("u")))
+        found = components(known.where(linked).select("u", "v"), scratch)
+        known = known.unionByName(confirm(as_pairs(_apart(first, found).where("x_in <> c_in")).distinct().join(known.select("u", "v"), ["u", "v"], "left_anti")))
+        found = components(known.where(linked).select("u", "v"), scratch)
+
+        # What a star can hide is between a member that is not linked with its centre and any other of the bucket.
+        stray = _apart(first, found).where("x_in <> c_in").select("key").distinct()
+        crowded = scratch.stored(first.join(stray, "key", "left_semi"), "near-dup-crowded")
+        crowd = crowded.select(F.explode(F.array("c", "x")).alias("node")).distinct()
+        band = lambda i: F.element_at("bands", F.lit(i % BANDS + 1))
+        fine_keys = F.array(*[F.xxhash64(F.lit(i * 100 + s), band(i), band(i + s)) for i in range(BANDS) for s in STEPS])
+        second = stars(classes.join(crowd, "node", "left_semi").select(F.explode(fine_keys).alias("key"), "node")).select("c", "x").distinct()
+        # Distances to the centres are needed in these buckets, of members that are linked with them by others too.
+        wanted = as_pairs(_apart(second, found).where("x_in <> c_in")).unionByName(as_pairs(crowded)).distinct()
+        known = known.unionByName(confirm(wanted.join(known.select("u", "v"), ["u", "v"], "left_anti")))
+        links = known.where(linked).select("u", "v")
+        found = components(links, scratch)
+
+        # A pair near a common centre is hidden there if its members are in different components.
+        edges = known.select(F.col("u").alias("c"), F.col("v").alias("x"), distance)
+        placed = _apart(edges.where(F.col("d") <= AROUND), found).select(F.lit(0).alias("kind"), F.col("c").alias("g"), "x", "d", "x_in", (F.col("x_in") != F.col("c_in")).alias("seeks"))
+        # Any other one has a member farther away, and the second at most 1 - similarity nearer than that.
+        far = F.col("d") > AROUND
+        loose = crowded.join(edges.where(F.col("d") > AROUND - (1 - similarity) - 1e-9), ["c", "x"])
+        buckets = loose.groupBy("key").agg(F.max("d").alias("d"), F.count("*").alias("n")).where(far & (F.col("n") > 1)).select("key")
+        by_bucket = _apart(loose.join(buckets, "key"), found).select(F.lit(1).alias("kind"), F.col("key").alias("g"), "x", "d", "x_in", far.alias("seeks"))
+        more = confirm(_hidden(placed.unionByName(by_bucket), confirm.sets, similarity, scratch))
+        found = components(links.unionByName(more.where(linked).select("u", "v")), scratch)
+
+        placed = classes.select("h1", "h2", "row", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        firsts = placed.groupBy("component").agg(F.min("row").alias("row"))
+        named = scratch.keep(scratch.stored(placed.select("h1", "h2", "component").join(firsts, "component").select("h1", "h2", "row"), "near-dup-components"))
+    return rows, named

@@ -5,11 +5,13 @@ import re
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
 import public_tokenizers
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from foliospark.llm import alignment, filter_audit, licenses
+from foliospark.llm import alignment, decontaminate, filter_audit, licenses, near_dups
+from foliospark.llm.common import Scratch
 from foliospark.llm.queries import QUERIES
 
 from . import helpers
@@ -155,3 +157,53 @@ def test_path_counts():
 def test_empty_tables(spark):
     docs, labels = helpers.frame(spark, []), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert licenses.scan(docs).collect() == alignment.align(docs, A, B).collect() == filter_audit.audit(filter_audit.flags(docs), labels).collect() == []
+
+
+ANY = "doc_id long, text string, spans string, _set int, row string, key string"
+
+
+def any_frame(spark, rows):
+    return spark.createDataFrame([(i, t, "s", 1, "r", "k") for i, t in rows], ANY)
+
+
+def test_one_of_each_with_repeated_ids_and_clashing_columns(spark):
+    """No text goes but for a copy that stays, whatever its id; of repeated rows one stays."""
+    a, b, c, d = (helpers.prose(700 + k, 60) for k in range(4))
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, d), (None, d), (None, b), (9, None), (9, None), (8, "")]
+    left = near_dups.one_of_each(any_frame(spark, rows)).collect()
+    same([r[:2] for r in left], [(1, a), (5, b), (7, c), (None, d), (9, None), (9, None), (8, "")])
+    found = near_dups.near_duplicates(any_frame(spark, rows)).select("doc_id", "component_id", "kept").collect()
+    same(found, [(1, 1, True), (5, 1, False), (5, 5, True), (7, 7, True), (7, 7, True), (None, None, True), (None, None, True), (None, 5, False), (9, 9, True), (9, 9, True), (8, 8, True)])
+
+
+def test_links_of_very_long_sets_at_the_limit(spark):
+    """300,000 shingles lose some values when they are cut; a pair at the limit is linked, one below is not."""
+    n = 300_000
+    ws = [f"w{k}" for k in range(n + 4)]
+    shared = 3 * n // 4
+    near = " ".join([*ws[: shared + 4], *(f"x{k}" for k in range(shared, n))])
+    assert len(helpers.shingles(near)) == n
+    inside, outside = " ".join(ws[: shared + 4]), " ".join(ws[: shared + 3])
+    rows = [(1, " ".join(ws)), (2, inside), (11, " ".join(w + "y" for w in ws)), (12, " ".join(w + "y" for w in outside.split(" ")))]
+    found = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(helpers.frame(spark, rows)).collect()}
+    assert found == {1: 1, 2: 1, 11: 11, 12: 12}
+
+
+def test_hidden_pairs_of_long_sets(spark):
+    """The block comparison allows for shingles that coincide when they are cut."""
+    n = 200_000
+    values = np.random.default_rng(1).integers(0, 1 << 62, n)
+    a, b = values, values[: 3 * n // 4]
+    sets = spark.createDataFrame([(1, a.tolist()), (2, b.tolist())], "node long, shingles array<long>")
+    grouped = spark.createDataFrame([(0, 9, 1, 0.5, 1, True), (0, 9, 2, 0.5, 2, True)], "kind int, g long, x long, d double, x_in long, seeks boolean")
+    with Scratch(spark) as scratch:
+        assert {tuple(r) for r in near_dups._hidden(grouped, sets, 0.75, scratch).collect()} == {(1, 2)}
+
+
+def test_decontamination_with_clashing_columns(spark):
+    item = helpers.prose(5, 15)
+    rows = [(1, helpers.prose(6, 50) + " " + item), (2, item), (3, helpers.prose(7, 50)), (None, None)]
+    clean = decontaminate.remove(any_frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert clean.columns == ["doc_id", "text", "spans", "_set", "row", "key"]
+    found = {r["doc_id"]: r for r in clean.collect()}
+    assert found.keys() == {1, 3, None} and item not in found[1]["text"] and found[1]["spans"] == "s"
