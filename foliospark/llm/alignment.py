@@ -267,26 +267,28 @@ def pair_counts(stored_blocks: DataFrame) -> DataFrame:
 _MEASURES = "text_key binary, salts long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of neighbouring values, ``sizes`` at a time, in whole numbers."""
+    total = offsets(values)
+    ends = np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
+
+
 def _measure(left: pa.Table, right: pa.Table) -> pa.Table:
     """Sums over the links of each text of a block (left), from the counts of its pairs (right)."""
     whole = pc.is_null(left.column("text_key"))
-    block = left.filter(whole).to_pylist()[0]
+    block = left.filter(whole).slice(0, 1).combine_chunks()
     rows = left.filter(pc.invert(whole)).combine_chunks()
     right = right.sort_by("pair")
-    known = np.array(block["pairs"], np.int64)
-    slot = np.searchsorted(np.asarray(right.column("pair")), known)
-    links, place, sizes = (np.array(block[c], np.int64) for c in ("links", "places", "sizes"))
-    part = np.repeat(np.arange(len(sizes)), sizes)
-    parts, times = rows.column("parts").combine_chunks(), rows.column("times").combine_chunks()
-    text, part_of, often = np.asarray(pc.list_parent_indices(parts)), np.asarray(parts.flatten()), np.asarray(times.flatten(), np.int64)
+    flat = lambda table, c: np.asarray(pc.list_flatten(table.column(c).combine_chunks()), np.int64)
+    links, place, sizes, parts, times = flat(block, "links"), flat(block, "places"), flat(block, "sizes"), flat(rows, "parts"), flat(rows, "times")
+    slot = np.searchsorted(np.asarray(right.column("pair")), flat(block, "pairs"))
+    each = np.asarray(pc.list_value_length(rows.column("parts").combine_chunks()), np.int64)
     out = []
     for name in ("best", "n"):
         value = np.asarray(right.column(name).cast(pa.int64()))[slot]
-        by_part = np.zeros(len(sizes), np.int64)
-        np.add.at(by_part, part, value[place] * links)
-        total = np.zeros(rows.num_rows, np.int64)
-        np.add.at(total, text, by_part[part_of] * often)
-        out.append(pa.array(total))
+        by_part = _sums(value[place] * links, sizes)
+        out.append(pa.array(_sums(by_part[parts] * times, each)))
     keep = [rows.column(c).combine_chunks() for c in ("text_key", "salts", "n_a", "n_b", "n_groups", "n_links")]
     return pa.Table.from_arrays([*keep, *out, rows.column("groups_sha256").combine_chunks()], names=[c.split(" ")[0] for c in _MEASURES.split(", ")])
 

@@ -320,7 +320,8 @@ def _grouped(docs: DataFrame, size: int, similarity: float) -> tuple[DataFrame,
         first = scratch.stored(stars(classes.select(F.explode("bands").alias("key"), "node")), "near-dup-stars")
         confirm = _Confirm(docs, classes, first.select(F.explode(F.array("c", "x")).alias("node")).distinct(), size, scratch)
         known = confirm(first.groupBy(F.col("x").alias("v")).agg(F.min("c").alias("u")))
-        found = components(known.where(linked).select("u", "v"), scratch)
+        # A linked member is in its centre's component, which is all that is needed of it here.
+        found = known.where(linked).select(F.col("v").alias("node"), F.col("u").alias("component"))
         known = known.unionByName(confirm(as_pairs(_apart(first, found).where("x_in <> c_in")).distinct().join(known.select("u", "v"), ["u", "v"], "left_anti")))
         found = components(known.where(linked).select("u", "v"), scratch)
 
