@@ -1,4 +1,4 @@
-"""Search over chunks: index tables, BM25, vectors, fusion and prompts."""
+"""Search over chunks: question terms, vectors, fusion and prompts; see search_index for BM25."""
 
 from __future__ import annotations
 
@@ -15,9 +15,7 @@ from .topk import BestRows
 K1 = 1.2
 B = 0.75
 DEFAULT_K = 5
-MAX_K = 20
-# Bounds of what a search sends to every task; larger query sets take the other way.
-MAX_QUERY_TERMS = 8_000
+# Bound of what a vector search sends to every task at a time.
 MAX_QUERY_VECTORS = 4_096
 ROWS_PER_STEP = 256
 
@@ -29,39 +27,6 @@ def index_source(chunks: DataFrame) -> DataFrame:
     return chunks.select(*INDEX_COLUMNS)
 
 
-def checked_k(k: int) -> int:
-    if not 1 <= k <= MAX_K:
-        raise ValueError(f"k must be between 1 and {MAX_K}")
-    return k
-
-
-# --- index tables ---------------------------------------------------------
-
-
-def postings(chunks: DataFrame) -> DataFrame:
-    """(term, chunk_id, tf, chunk_len) for every distinct term of every chunk."""
-    words = chunks.select("chunk_id", tokens(F.col("chunk_text")).alias("_t")).select(
-        "chunk_id", F.size("_t").alias("chunk_len"), F.explode("_t").alias("term")
-    )
-    return words.groupBy("term", "chunk_id", "chunk_len").agg(F.count("*").alias("tf"))
-
-
-def term_statistics(chunks: DataFrame) -> DataFrame:
-    """Per term: number of chunks holding it and number of occurrences."""
-    words = chunks.select(tokens(F.col("chunk_text")).alias("_t"))
-    zero, one = F.lit(0), F.lit(1)
-    seen = F.transform(F.array_distinct("_t"), lambda t: F.struct(t.alias("term"), one.alias("chunk"), zero.alias("use")))
-    used = F.transform("_t", lambda t: F.struct(t.alias("term"), zero.alias("chunk"), one.alias("use")))
-    return words.select(F.inline(F.concat(seen, used))).groupBy("term").agg(
-        F.sum("chunk").alias("chunk_count"), F.sum("use").alias("occurrences")
-    )
-
-
-def corpus_statistics(chunks: DataFrame) -> DataFrame:
-    length = F.size(tokens(F.col("chunk_text")))
-    return chunks.select(length.alias("n")).agg(F.count("*").alias("chunks"), F.avg("n").alias("avg_len"))
-
-
 # --- BM25 -----------------------------------------------------------------
 
 
@@ -71,121 +36,12 @@ def query_terms(questions: DataFrame, query_id: str, query_text: str) -> DataFra
     )
 
 
-def bm25_search(
-    chunks: DataFrame,
-    questions: DataFrame,
-    k: int = DEFAULT_K,
-    document_class: str | None = None,
-    query_id: str = "query_id",
-    query_text: str = "query_text",
-) -> DataFrame:
-    """Best k chunks per question: ``query_id, rank, score`` and the index columns.
-
-    The terms of the questions go to every task if they stay below a checked
-    bound; each task then scores its own chunks and keeps k per question.  A
-    larger set of questions is joined with the postings instead.
-    """
-    corpus = chunks if document_class is None else chunks.filter(F.col("document_class") == document_class)
-    wanted = query_terms(questions, query_id, query_text)
-    pairs = wanted.limit(MAX_QUERY_TERMS + 1).collect()
-    if len(pairs) > MAX_QUERY_TERMS:
-        ranked = bm25_from_postings(postings(corpus), wanted, corpus_statistics(corpus), checked_k(k))
-    else:
-        # At most k rows per question of a bounded set.
-        ranked = F.broadcast(_bm25_scan(corpus, [(r["query_id"], r["term"]) for r in pairs], wanted, checked_k(k)))
-    return ranked.join(index_source(corpus), "chunk_id").select(
-        "query_id", "rank", "score", *INDEX_COLUMNS
-    )
-
-
-def search_text(chunks: DataFrame, text: str, k: int = DEFAULT_K, document_class: str | None = None) -> DataFrame:
-    """Best k chunks for one question."""
-    question = chunks.sparkSession.range(1).select(F.col("id").alias("query_id"), F.lit(text).alias("query_text"))
-    return bm25_search(chunks, question, k, document_class).drop("query_id")
-
-
-def bm25_from_postings(index: DataFrame, wanted: DataFrame, stats: DataFrame, k: int) -> DataFrame:
-    """Ranking by joining question terms with a stored postings table."""
-    df = index.join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-    # Frequencies go to the question terms first, so the postings are joined only
-    # once; being an inner join, a term with very many postings can be split.
-    hits = index.join(wanted.join(df, "term"), "term")
-    total = stats.select("chunks").scalar()
-    average = stats.select("avg_len").scalar()
-    idf = F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("chunk_len") / average))
-    scored = (
-        hits.select("query_id", "chunk_id", (idf * weight).alias("part"))
-        .groupBy("query_id", "chunk_id")
-        .agg(F.round(F.sum("part"), 4).alias("score"))
-    )
-    return top_ranked(scored, "query_id", "chunk_id", k)
-
-
 def top_ranked(scored: DataFrame, query_id: str, row_id: str, k: int) -> DataFrame:
     """First k rows per query by score, ties by row id; limited before the shuffle."""
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), row_id)
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _bm25_scan(corpus: DataFrame, pairs: list[tuple], wanted: DataFrame, k: int) -> DataFrame:
-    terms = sorted({t for _, t in pairs})
-    position = {t: i for i, t in enumerate(terms)}
-    queries = sorted({q for q, _ in pairs})
-    of_query = {q: [] for q in queries}
-    for q, t in pairs:
-        of_query[q].append(position[t])
-    groups = [np.array(of_query[q]) for q in queries]
-
-    words = corpus.select("chunk_id", tokens(F.col("chunk_text")).alias("tokens"))
-    # One pass for document frequencies and, under the empty term, the corpus size.
-    keys = wanted.select("term").unionAll(wanted.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
-    seen = words.select(F.size("tokens").alias("n"), F.explode(F.concat(F.array(F.lit("")), F.array_distinct("tokens"))).alias("term"))
-    counted = seen.join(F.broadcast(keys), "term", "left_semi").groupBy("term").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
-    df, total, average = np.zeros(len(terms)), 0, 1.0
-    # Bounded by the number of distinct question terms.
-    for r in counted.collect():
-        if r["term"] == "":
-            total, average = r["c"], (r["n"] / r["c"]) or 1.0
-        else:
-            df[position[r["term"]]] = r["c"]
-    idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
-    term_set = pa.array(terms, pa.string())
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = BestRows(k, len(groups))
-        for whole in batches:
-            for start in range(0, whole.num_rows, ROWS_PER_STEP):
-                batch = whole.slice(start, ROWS_PER_STEP)
-                column = batch.column("tokens")
-                n = batch.num_rows
-                found = pc.index_in(column.flatten(), value_set=term_set)
-                rows = pc.list_parent_indices(column)
-                hit = pc.is_valid(found)
-                cell = rows.filter(hit).to_numpy().astype(np.int64) * len(terms) + found.filter(hit).to_numpy()
-                tf = np.bincount(cell, minlength=n * len(terms)).reshape(n, len(terms))
-                size = pc.list_value_length(column).to_numpy(zero_copy_only=False)[:, None]
-                part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / average))
-                scores = np.column_stack([part[:, g].sum(axis=1) for g in groups])
-                best.add(np.round(scores, 4), np.asarray(batch.column("chunk_id").to_pylist(), dtype=object), scores > 0)
-        rows = best.best
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([queries[i] for i in rows["query"]], query_type),
-                pa.array(rows["id"].tolist(), pa.string()),
-                pa.array(rows["score"].to_numpy(), pa.float64()),
-            ],
-            names=["query_id", "chunk_id", "score"],
-        )
-
-    kind = wanted.schema["query_id"].dataType.simpleString()
-    query_type = _arrow_type(kind)
-    found = words.mapInArrow(scan, f"query_id {kind}, chunk_id string, score double") if groups else None
-    if found is None:
-        found = corpus.sparkSession.createDataFrame([], f"query_id {kind}, chunk_id string, score double")
-    return top_ranked(found, "query_id", "chunk_id", k)
-
-
 def _arrow_type(kind: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
@@ -211,7 +67,7 @@ def vector_search(
     wanted = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
     found = None
     for part in _bounded_slices(wanted, "query_id", MAX_QUERY_VECTORS):
-        scored = _vector_scan(vectors, part, checked_k(k), row_id, row_vector, wanted.schema["query_id"].dataType.simpleString())
+        scored = _vector_scan(vectors, part, k, row_id, row_vector, wanted.schema["query_id"].dataType.simpleString())
         found = scored if found is None else found.unionAll(scored)
     if found is None:
         raise ValueError("no query vectors")

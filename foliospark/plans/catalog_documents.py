@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..functions import jsontext
-from ..operators import chunking, classify, extract, judge, routing, search, sheets, splitting
+from ..operators import chunking, classify, extract, judge, routing, search, search_index, sheets, splitting
 from ..operators.provider import apply_provider
 from ..schemas import empty, extraction_prompts
 from ..seeds import ClassWord, ExtractRule
@@ -216,12 +216,33 @@ def chunk_table(d: Data):
     return d.stored(chunking.chunk_documents(texts, d.classified, empty(d.spark, "document_chunks"), AS_OF), "chunks")
 
 
+#: The class of a chunk's document, from a stored class ``k``.
+CHUNK_CLASS = "coalesce(CASE WHEN json_valid(k.document_class) THEN json_extract_string(k.document_class, '$.labels[0]') ELSE k.document_class END, 'unclassified')"
+
+
+#: Indexes of this session's tables.
+_INDEXES: dict[tuple[str, str], search_index.SearchIndex] = {}
+
+
+def stored_index(d: Data) -> search_index.SearchIndex:
+    """The search index of all chunks: made by the first query that needs it, then read."""
+    key = d.spark.sparkContext.applicationId, d.sf_dir
+    if key not in _INDEXES:
+        _INDEXES[key] = search_index.index_of(chunk_table(d))
+    return _INDEXES[key]
+
+
 # --- index and search -------------------------------------------------------
 
 
-@query("d7_index_source", CHUNKS + """ SELECT c.chunk_id, c.document_id, p.file_name, p.file_path, c.chunk_index, c.chunk_text FROM chunks c JOIN parsed p ON c.document_id = p.document_id""", "parsed")
+@query(
+    "d7_index_source",
+    CHUNKS + """ SELECT c.chunk_id, c.document_id, p.file_name, p.file_path, """ + CHUNK_CLASS + """ AS document_class, c.chunk_index, c.chunk_text
+      FROM chunks c JOIN parsed p ON c.document_id = p.document_id LEFT JOIN classified k ON k.document_id = c.document_id""",
+    "classified",
+)
 def _(d: Data):
-    return search.index_source(chunk_table(d)).drop("document_class")
+    return search.index_source(chunk_table(d))
 
 
 TOKENS = r""", tk AS (SELECT chunk_id, regexp_extract_all(lower(chunk_text), '[\p{L}\p{N}]+') AS t FROM chunks),
@@ -230,7 +251,7 @@ TOKENS = r""", tk AS (SELECT chunk_id, regexp_extract_all(lower(chunk_text), '[\
 
 @query("d7_term_statistics", CHUNKS + TOKENS + " SELECT term, count(*) AS chunk_count, CAST(sum(tf) AS BIGINT) AS occurrences FROM post GROUP BY term", "parsed")
 def _(d: Data):
-    return search.term_statistics(chunk_table(d))
+    return stored_index(d).term_statistics()
 
 
 BM25 = CHUNKS + TOKENS + r""", df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
@@ -243,14 +264,12 @@ BM25 = CHUNKS + TOKENS + r""", df AS (SELECT term, count(*) AS df FROM post GROU
 
 @query("d8_bm25_search", BM25 + " SELECT r.query_id, r.rank, r.score, r.chunk_id, c.chunk_text FROM ranked r JOIN chunks c ON r.chunk_id = c.chunk_id WHERE rank <= 5", "parsed")
 def _(d: Data):
-    return search.bm25_search(chunk_table(d), d.questions).select("query_id", "rank", "score", "chunk_id", "chunk_text")
+    return stored_index(d).search(d.questions, 5).select("query_id", "rank", "score", "chunk_id", "chunk_text")
 
 
 @query("d8_bm25_postings", BM25 + " SELECT query_id, chunk_id, score, rank FROM ranked WHERE rank <= 5", "parsed")
 def _(d: Data):
-    chunks = chunk_table(d)
-    wanted = search.query_terms(d.questions, "query_id", "query_text")
-    return search.bm25_from_postings(search.postings(chunks), wanted, search.corpus_statistics(chunks), 5)
+    return stored_index(d).rank(d.questions, 5).select("query_id", "chunk_id", "score", "rank")
 
 
 MEANS = """, cells AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings),
@@ -282,39 +301,41 @@ def _(d: Data):
     return search.fuse_rankings([vector_hits(d, 20), by_id], "query_id", "vec_id", 5)
 
 
-HITS = BM25 + ", hits AS (SELECT r.query_id, r.rank, p.file_name, c.chunk_text FROM ranked r JOIN chunks c ON r.chunk_id = c.chunk_id JOIN parsed p ON p.document_id = c.document_id WHERE rank <= 5)"
+HITS = (
+    BM25 + ", hits AS (SELECT r.query_id, r.rank, k.file_name, c.chunk_text, " + CHUNK_CLASS + """ AS document_class
+      FROM ranked r JOIN chunks c ON r.chunk_id = c.chunk_id JOIN classified k ON k.document_id = c.document_id WHERE rank <= 5)"""
+)
 
 
 @query(
     "d10_matched_documents",
     HITS + """, names AS (SELECT query_id, list(DISTINCT file_name ORDER BY file_name) AS n FROM hits GROUP BY query_id)
       SELECT query_id, concat(array_to_string(n[1:3], ', '), CASE WHEN len(n) > 3 THEN '...' ELSE '' END) AS document_names FROM names""",
-    "parsed",
+    "classified",
 )
 def _(d: Data):
-    return search.matched_documents(search.bm25_search(chunk_table(d), d.questions))
+    return search.matched_documents(stored_index(d).search(d.questions, 5))
 
 
 def _prompt_sql() -> str:
     head, rest = search.PROMPT.split("{question}")
     middle, tail = rest.split("{context}")
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    return HITS + f""", ctx AS (SELECT query_id, count(*) AS n, string_agg(concat('Document: ', file_name, ' (Class: unclassified)', chr(10), 'Content: ', chunk_text), concat(chr(10), chr(10)) ORDER BY rank) AS c
+    return HITS + f""", ctx AS (SELECT query_id, count(*) AS n, string_agg(concat('Document: ', file_name, ' (Class: ', document_class, ')', chr(10), 'Content: ', chunk_text), concat(chr(10), chr(10)) ORDER BY rank) AS c
           FROM hits GROUP BY query_id)
         SELECT item_id AS query_id, CAST(coalesce(n, 0) AS INTEGER) AS chunks_used,
           CASE WHEN c IS NULL THEN {quote(search.NOTHING_FOUND)} ELSE concat({quote(head)}, text, {quote(middle)}, c, {quote(tail)}) END AS prompt
         FROM benchmark LEFT JOIN ctx ON item_id = query_id"""
 
 
-@query("d11_build_prompts", _prompt_sql(), "parsed")
+@query("d11_build_prompts", _prompt_sql(), "classified")
 def _(d: Data):
-    chunks = chunk_table(d).withColumn("document_class", F.lit("unclassified"))
-    return search.build_prompts(d.questions, search.bm25_search(chunks, d.questions))
+    return search.build_prompts(d.questions, stored_index(d).search(d.questions, 5))
 
 
 @query("l6_retrieval_top_k", BM25 + " SELECT query_id, chunk_id, score, rank FROM ranked WHERE rank <= 20", "parsed")
 def _(d: Data):
-    return search.bm25_search(chunk_table(d), d.questions, k=20).select("query_id", "chunk_id", "score", "rank")
+    return stored_index(d).rank(d.questions, 20).select("query_id", "chunk_id", "score", "rank")
 
 
 @query(
@@ -324,7 +345,7 @@ def _(d: Data):
     "classified",
 )
 def _(d: Data):
-    return search.bm25_search(chunk_table(d), d.questions, 3, document_class="w2").select("query_id", "chunk_id", "score", "rank")
+    return search_index.bm25_search(chunk_table(d), d.questions, 3, document_class="w2").select("query_id", "chunk_id", "score", "rank")
 
 
 @query(
@@ -495,7 +516,7 @@ def _(d: Data):
     "parsed",
 )
 def _(d: Data):
-    return search.search_text(chunk_table(d), "The Apache license", 7).select("rank", "score", "chunk_id")
+    return stored_index(d).search_text("The Apache license", 7).select("rank", "score", "chunk_id")
 
 
 @query(

@@ -24,6 +24,7 @@ from ..functions import paths
 from ..functions.jsontext import path_value
 from ..operators import chunking, classify, extract, routing, sheets, splitting, state
 from ..operators.provider import Provider
+from ..operators.search_index import SearchIndex
 from ..schemas import conform, extraction_prompts
 from ..seeds import CLASS_WORDS, EXTRACT_RULES, ClassWord, ExtractRule
 from ..sources import csvfiles, documents, listing
@@ -69,6 +70,7 @@ class DocumentFlow:
         feedback: str | None = None,
         csv_base: str | None = None,
         clock: Callable[[], datetime] | None = None,
+        index: SearchIndex | None = None,
     ):
         self.tables = tables
         self.spark = tables.spark
@@ -78,6 +80,7 @@ class DocumentFlow:
         self.hooks = hooks
         self.feedback = feedback
         self.csv_base = csv_base
+        self.index = index
         self.clock = clock or (lambda: datetime.now(timezone.utc).replace(tzinfo=None))
 
     # --- one micro-batch ---------------------------------------------------
@@ -178,6 +181,10 @@ class DocumentFlow:
             self.chunk_mode,
         )
         self.tables.write("document_chunks", rows, batch)
+        if self.index is not None:
+            # One segment a batch; full tiers of segments are merged, so their number stays small.
+            self.index.add_batch(self._new("document_chunks", batch), batch)
+            self.index.compact()
 
     def _split(self, batch: int, as_of: datetime) -> None:
         """Plan parts of large files that wait, of whatever batch; without page counts they go on waiting.
