@@ -99,6 +99,18 @@ def evaluate(
     )
 
 
+# Fixed value: the table that keeps the scores of every document.
+RESULT_TABLE = "OCR_ACCURACY"
+
+
+def exact_mean(score: str, weight: str | None = None):
+    """Mean to three digits; the sum is an exact decimal, so the order of rows does not decide how it is rounded."""
+    exact = F.col(score).cast("decimal(27,18)")
+    n = F.count(score) if weight is None else F.sum(weight)
+    total = F.sum(exact if weight is None else exact * F.col(weight).cast("decimal(10,0)"))
+    return F.round(total / n, 3).cast("double")
+
+
 def metric_summary(results: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Mean, median, minimum, maximum and sample deviation of each metric.
 
@@ -108,13 +120,12 @@ def metric_summary(results: DataFrame, metrics: tuple[str, ...] = METRICS) -> Da
     long = results.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in metrics])).alias("e"))
     counted = long.select("e.metric", F.col("e.score").alias("score")).filter("score is not null").groupBy("metric", "score").agg(F.count("*").alias("n"))
     n = F.sum("n")
-    mean = F.sum(F.col("score") * F.col("n")) / n
-    means = counted.groupBy("metric").agg(mean.alias("mean"))
-    off = F.col("score") - F.col("mean")
+    centre = counted.groupBy("metric").agg((F.sum(F.col("score") * F.col("n")) / n).alias("centre"))
+    off = F.col("score") - F.col("centre")
     deviation = F.when(n > 1, F.sqrt(F.sum(off * off * F.col("n")) / (n - 1)))
-    return counted.join(means, "metric").groupBy("metric").agg(
+    return counted.join(centre, "metric").groupBy("metric").agg(
         n.alias("records"),
-        F.round(F.first("mean"), 3).alias("mean"),
+        exact_mean("score", "n").alias("mean"),
         F.round(F.percentile("score", 0.5, F.col("n")), 3).alias("median"),
         F.min("score").alias("min"),
         F.max("score").alias("max"),
@@ -127,7 +138,7 @@ def summary_json(results: DataFrame) -> DataFrame:
     metrics = F.struct(
         *[
             F.struct(
-                F.round(F.avg(F.col(m)), 3).alias("mean"), F.round(F.median(m), 3).alias("median"), F.min(m).alias("min"), F.max(m).alias("max"), F.round(F.stddev(m), 3).alias("std")
+                exact_mean(m).alias("mean"), F.round(F.median(m), 3).alias("median"), F.min(m).alias("min"), F.max(m).alias("max"), F.round(F.stddev(m), 3).alias("std")
             ).alias(m)
             for m in METRICS
         ]
@@ -139,7 +150,8 @@ def summary_json(results: DataFrame) -> DataFrame:
         "run_name",
         F.to_json(
             F.struct(
-                F.lit("success").alias("status"), "run_name", "app_name", "app_version", "source_table", "records_evaluated", "metrics"
+                F.lit("success").alias("status"), "run_name", "app_name", "app_version", "source_table", "records_evaluated", F.lit(RESULT_TABLE).alias("results_table"),
+                F.concat(F.lit(f"SELECT * FROM {RESULT_TABLE} WHERE run_name = '"), F.col("run_name"), F.lit("'")).alias("query_instructions"), "metrics"
             )
         ).alias("summary"),
     )

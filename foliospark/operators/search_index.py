@@ -207,6 +207,10 @@ class SearchIndex:
         lists = mine("postings").select("term", "bucket", "origin", "block", "entries", "max_tf", "min_len")
         hits = lists.join(weighted, ["term", "bucket"])
         bounds = hits.groupBy(*block).agg(F.sum(part(F.col("max_tf"), F.col("min_len"))).alias("most"))
+        # Read twice below, and narrow: a number for each question and block.
+        path = work_folder(self.spark, "search-bounds")
+        bounds.write.parquet(path)
+        bounds = self.spark.read.schema(bounds.schema).parquet(path)
 
         def scored(blocks: DataFrame) -> DataFrame:
             seen = hits.join(blocks.select(*block), block, "left_semi").select(*block, "idf", F.inline("entries"))

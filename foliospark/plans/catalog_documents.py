@@ -396,20 +396,21 @@ def _(d: Data):
 
 @query(
     "d14_evaluation_run",
-    SCORES + """ SELECT 'ocr_eval_v1_1709251200' AS run_name, 'OCR_EVL' AS app_name, 'parsed_documents' AS source_table, count(*) AS records_evaluated,
-       round(avg(a), 3) AS mean_accuracy, round(median(a), 3) AS median_accuracy, min(a) AS min_accuracy, max(a) AS max_accuracy, round(stddev(a), 3) AS std_accuracy,
-       round(avg(c), 3) AS mean_completeness, round(median(c), 3) AS median_completeness, min(c) AS min_completeness, max(c) AS max_completeness, round(stddev(c), 3) AS std_completeness
+    SCORES + """ SELECT 'ocr_eval_v1_1709251200' AS run_name, 'OCR_EVL' AS app_name, 'parsed_documents' AS source_table, count(*) AS records_evaluated, 'OCR_ACCURACY' AS results_table,
+       'SELECT * FROM OCR_ACCURACY WHERE run_name = ''ocr_eval_v1_1709251200''' AS query_instructions,
+       ((2 * sum(CAST(round(a * 1000000) AS HUGEINT)) + 1000 * count(a)) // (2000 * count(a)))::DOUBLE / 1000 AS mean_accuracy, round(median(a), 3) AS median_accuracy, min(a) AS min_accuracy, max(a) AS max_accuracy, round(stddev(a), 3) AS std_accuracy,
+       ((2 * sum(CAST(round(c * 1000000) AS HUGEINT)) + 1000 * count(c)) // (2000 * count(c)))::DOUBLE / 1000 AS mean_completeness, round(median(c), 3) AS median_completeness, min(c) AS min_completeness, max(c) AS max_completeness, round(stddev(c), 3) AS std_completeness
        FROM s2""",
     "parsed",
 )
 def _(d: Data):
     rows = judge.evaluate(documents.evaluation_source(d.spread().parsed), "parsed_documents", as_of=AS_OF)
     numbers = "struct<mean: double, median: double, min: double, max: double, std: double>"
-    shape = f"""run_name string, app_name string, source_table string, records_evaluated bigint,
+    shape = f"""run_name string, app_name string, source_table string, records_evaluated bigint, results_table string, query_instructions string,
         metrics struct<ocr_accuracy_score: {numbers}, ocr_completeness_score: {numbers}>"""
     parsed = judge.summary_json(rows).select(F.from_json("summary", shape).alias("s"))
     return parsed.select(
-        "s.run_name", "s.app_name", "s.source_table", "s.records_evaluated",
+        "s.run_name", "s.app_name", "s.source_table", "s.records_evaluated", "s.results_table", "s.query_instructions",
         *[
             F.col(f"s.metrics.ocr_{metric}_score.{number}").alias(f"{number}_{metric}")
             for metric in ("accuracy", "completeness")
