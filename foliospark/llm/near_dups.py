@@ -201,6 +201,17 @@ def _apart(starred: DataFrame, found: DataFrame) -> DataFrame:
     return starred
 
 
+def _pointed(links: DataFrame) -> DataFrame:
+    """node and a smaller node of its component, two links away at most.
+
+    Less than components, which take many joins: nodes that it gives one number are
+    in one component, and others may be, which only means more comparisons.
+    """
+    one = links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component"))
+    two = one.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    return one.join(two, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
+
+
 class _Confirm:
     """Exact similarities of candidate pairs; texts move once, and only for ``nodes``."""
 
@@ -320,10 +331,9 @@ def _grouped(docs: DataFrame, size: int, similarity: float) -> tuple[DataFrame,
         first = scratch.stored(stars(classes.select(F.explode("bands").alias("key"), "node")), "near-dup-stars")
         confirm = _Confirm(docs, classes, first.select(F.explode(F.array("c", "x")).alias("node")).distinct(), size, scratch)
         known = confirm(first.groupBy(F.col("x").alias("v")).agg(F.min("c").alias("u")))
-        # A linked member is in its centre's component, which is all that is needed of it here.
-        found = known.where(linked).select(F.col("v").alias("node"), F.col("u").alias("component"))
+        found = _pointed(known.where(linked))
         known = known.unionByName(confirm(as_pairs(_apart(first, found).where("x_in <> c_in")).distinct().join(known.select("u", "v"), ["u", "v"], "left_anti")))
-        found = components(known.where(linked).select("u", "v"), scratch)
+        found = _pointed(known.where(linked))
 
         # What a star can hide is between a member that is not linked with its centre and any other of the bucket.
         stray = _apart(first, found).where("x_in <> c_in").select("key").distinct()
