@@ -288,17 +288,35 @@ def vector_hits(d: Data, k: int):
     return search.vector_search(d.embeddings, queries, k)
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_COUNTS = ", ".join(f"(length(l) - length(replace(l, '{c}', '')))::DOUBLE" for c in LETTERS)
+
+
+def letter_counts(text: str):
+    """Stand-in for an embedding that any engine computes alike: how often each letter occurs."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    return F.array(*[(F.length(lower) - F.length(F.replace(lower, F.lit(c), F.lit("")))).cast("double") for c in LETTERS])
+
+
 @query(
     "d9_fused_ranking",
-    MEANS + """, sizes AS (SELECT label AS query_id, vec_id, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) AS INTEGER) AS rank FROM embeddings),
-      parts AS (SELECT query_id, vec_id, 1.0 / (60 + rank) AS part FROM near WHERE rank <= 20 UNION ALL SELECT query_id, vec_id, 1.0 / (60 + rank) FROM sizes WHERE rank <= 20),
-      fused AS (SELECT query_id, vec_id, round(sum(part), 6) AS score FROM parts GROUP BY 1, 2)
-      SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM fused) r WHERE rank <= 5""",
-    "staged",
+    BM25 + f""", cv AS (SELECT chunk_id, [{_COUNTS}] AS v FROM (SELECT chunk_id, lower(chunk_text) AS l FROM chunks)),
+      qv AS (SELECT item_id AS query_id, [{_COUNTS}] AS v FROM (SELECT item_id, lower(coalesce(text, '')) AS l FROM benchmark)),
+      sims AS (SELECT query_id, chunk_id, round(list_cosine_similarity(cv.v, qv.v), 6) AS score FROM cv, qv WHERE list_sum(cv.v) > 0 AND list_sum(qv.v) > 0),
+      near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM sims),
+      parts AS (SELECT query_id, chunk_id, 1.0 / (60 + rank) AS part FROM near WHERE rank <= 20 UNION ALL SELECT query_id, chunk_id, 1.0 / (60 + rank) FROM ranked WHERE rank <= 20),
+      fused AS (SELECT query_id, chunk_id, round(sum(part), 6) AS score FROM parts GROUP BY 1, 2)
+      SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM fused) r WHERE rank <= 5""",
+    "parsed",
 )
 def _(d: Data):
-    by_id = search.top_ranked(d.embeddings.select(F.col("label").alias("query_id"), "vec_id", F.lit(0.0).alias("score")), "query_id", "vec_id", 20)
-    return search.fuse_rankings([vector_hits(d, 20), by_id], "query_id", "vec_id", 5)
+    """BM25 and vector ranks over the same chunks."""
+    index = stored_index(d)
+    some = F.exists("v", lambda n: n > 0)
+    vectors = index.live("chunks").select("chunk_id", letter_counts("chunk_text").alias("v")).where(some)
+    asked = d.questions.select("query_id", letter_counts("query_text").alias("v")).where(some)
+    near = search.vector_search(vectors, asked, 20, row_id="chunk_id", row_vector="v", query_vector="v")
+    return search.fuse_rankings([index.rank(d.questions, 20), near], "query_id", "chunk_id", 5)
 
 
 HITS = (
