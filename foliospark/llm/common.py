@@ -141,7 +141,7 @@ class Codes:
     """Strings seen so far with one integer array each, kept in one flat array.
 
     ``expand`` looks strings up at C speed and computes only those not seen
-    before.  Once ``most`` strings are held they become the older half, which
+    before (``compute`` gives a sequence for each, or all values and the sizes).  Once ``most`` strings are held they become the older half, which
     is asked only for strings that are not in the newer half, and goes when that
     is full; so memory is bounded and common strings stay.
     """
@@ -167,8 +167,11 @@ class Codes:
         self.starts = np.zeros(1, np.int64)
         self.flat = np.zeros(0, self.dtype)
 
-    def expand(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All values in order, and the number of values of each word."""
+    def expand(self, words: list[str], places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All values in order, and the number of values of each word.
+
+        With ``places`` the order is that of ``words[i]`` for every i in it.
+        """
         ids = np.array(list(map(self.index.get, words, repeat(-1))), np.int64)
         missing = np.flatnonzero(ids < 0).tolist()
         if missing:
@@ -179,22 +182,29 @@ class Codes:
                 new, missing = set(words), range(len(words))
             self._add(new)
             ids[missing] = [self.index[words[i]] for i in missing]
-        return _expanded(ids, self.starts, self.flat)
+        return expanded(ids if places is None else ids[places], self.starts, self.flat)
 
     def _add(self, new: set[str]):
         index, starts, flat = self.old
         kept = [w for w in new if w in index]
         fresh = [w for w in new if w not in index]
-        values, sizes = _expanded(np.array([index[w] for w in kept], np.int64), starts, flat)
-        found = self.compute(fresh) if fresh else []
-        more = np.fromiter(map(len, found), np.int64, len(found))
+        values, sizes = expanded(np.array([index[w] for w in kept], np.int64), starts, flat)
+        found, more = _flat(self.compute(fresh) if fresh else [], self.dtype)
         at = len(self.index)
         self.index.update(zip(chain(kept, fresh), range(at, at + len(new))))
-        self.flat = np.concatenate([self.flat, values, np.fromiter(chain.from_iterable(found), self.dtype, int(more.sum()))])
+        self.flat = np.concatenate([self.flat, values, found])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([sizes, more]))])
 
 
-def _expanded(ids: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _flat(found, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """What ``compute`` gave, a sequence for each string or already flat values and sizes, in the second form."""
+    if isinstance(found, tuple):
+        return found
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), dtype, int(sizes.sum())), sizes
+
+
+def expanded(ids: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first = starts[ids]
     sizes = starts[ids + 1] - first
     ends = np.cumsum(sizes)

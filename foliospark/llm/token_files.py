@@ -16,21 +16,23 @@ from __future__ import annotations
 
 import re
 import zlib
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Codes, arrow_loop, list_array, texts
+from .common import Codes, arrow_loop, expanded, list_array, offsets
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens int, tokens array<int>"
 
-#: A full stop or comma between a letter and white space is a token of its own; a blank before it changes nothing.
-MARK = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=[ \n]|$)")
 LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
+#: Texts whose ids must be those of their words.
+PROBES = ("One two,  three. Four's caf\u00e9, 5.0 x", " lead\n\nnext line \u4e2d\u6587 \u4e2d. end.", "a . b ,c d.e f.\ng", "\u00e9. \u00d7. A\u0301. B")
+
 _coders: dict[str, Codes] = {}
 
 
@@ -48,34 +50,65 @@ def word_coder(path: str) -> Codes:
         for token, i in library.get_vocab(with_added_tokens=True).items():
             ends[i] = token.endswith("</w>")
 
+        for probe in PROBES:
+            words = [w.rstrip(" \n") for w in cut_texts(pa.array([probe]))[0].to_pylist()]
+            apart = chain.from_iterable(e.ids for e in library.encode_batch_fast(words, add_special_tokens=False))
+            if library.encode(probe, add_special_tokens=False).ids != list(apart):
+                raise ValueError("a cut at white space changes the result of this tokenizer")
+
         def compute(words):
             # Words of letters are one pre-token each, so many can go through the library as one text.
-            plain, other = [], []
-            for i, w in enumerate(words):
-                (plain if LETTERS.fullmatch(w) else other).append(i)
-            out = [()] * len(words)
-            for i, e in zip(other, library.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
-                out[i] = e.ids
-            for at in range(0, len(plain), 1000):
-                part = plain[at : at + 1000]
-                ids = library.encode(" ".join([words[i] for i in part]), add_special_tokens=False).ids
-                cuts = (np.flatnonzero(ends[ids]) + 1).tolist()
-                if len(cuts) != len(part):
-                    raise ValueError("a word of letters is not one pre-token of this tokenizer")
-                for i, a, b in zip(part, [0, *cuts], cuts):
-                    out[i] = ids[a:b]
-            return out
+            plain = np.array([LETTERS.fullmatch(w) is not None for w in words], bool)
+            parts = [list(compress(words, plain)), list(compress(words, ~plain))]
+            joined = [" ".join(parts[0][at : at + 1000]) for at in range(0, len(parts[0]), 1000)]
+            ids = [e.ids for e in library.encode_batch_fast([*joined, *parts[1]], add_special_tokens=False)]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
+            cuts = np.flatnonzero(ends[flat[: int(lengths[: len(joined)].sum())]]) + 1
+            if len(cuts) != len(parts[0]):
+                raise ValueError("a word of letters is not one pre-token of this tokenizer")
+            sizes = np.concatenate([np.diff(cuts, prepend=0), lengths[len(joined) :]])
+            place = np.argsort(np.argsort(~plain, kind="stable"))
+            return expanded(place, offsets(sizes), flat)
 
         _coders[path] = Codes(compute, np.int32)
     return _coders[path]
 
 
-def encode_texts(path: str, end_id: int, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def cut_texts(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, each with the blank or line break that ends it, and the number of words of each text.
+
+    A full stop or comma between a letter and white space is a token of its own, so it is cut off as a word.
+    """
+    column = pc.fill_null(column, "").cast(pa.large_string())
+    _, places, data = column.buffers()
+    borders = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = pa.py_buffer(b"") if data is None else data.slice(int(borders[0]), int(borders[-1] - borders[0]))
+    borders = borders - borders[0]
+    text = np.frombuffer(data, np.uint8)
+    cut = np.zeros(len(text) + 1, bool)
+    cut[1:] = (text == ord(" ")) | (text == ord("\n"))
+    cut[borders] = True
+    # Where a word ends behind a mark, the mark is cut off if a letter of ASCII or Latin-1 stands before it.
+    marks = np.flatnonzero((text == ord(".")) | (text == ord(",")))
+    after = np.minimum(marks + 1, len(text) - 1)
+    marks = marks[(marks > 0) & (cut[marks + 1] | (text[after] == ord(" ")) | (text[after] == ord("\n")))]
+    last, lead = text[marks - 1], text[marks - 2]
+    ascii_letter = ((last | 32) >= ord("a")) & ((last | 32) <= ord("z"))
+    latin_letter = (lead == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7) & (marks > 1)
+    cut[marks[ascii_letter | latin_letter]] = True
+    starts = np.flatnonzero(cut)
+    words = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), data) if len(text) else pa.array([], pa.large_string())
+    return words, np.diff(np.searchsorted(starts, borders))
+
+
+def encode_texts(path: str, end_id: int, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by the end id, and the number of ids of each."""
-    words = [MARK.sub(r" \1", t).replace("\n", " ").split(" ") for t in batch]
-    ids, sizes = word_coder(path).expand(list(chain.from_iterable(words)))
-    at = np.concatenate([[0], np.cumsum(sizes)])
-    ends = at[np.cumsum([len(ws) for ws in words], dtype=np.int64)]
+    words, counts = cut_texts(batch)
+    coded = words.dictionary_encode()
+    distinct = pc.utf8_rtrim(coded.dictionary, " \n").to_numpy(zero_copy_only=False).tolist()
+    ids, sizes = word_coder(path).expand(distinct, coded.indices.to_numpy())
+    ends = offsets(sizes)[np.cumsum(counts)]
     lengths = np.diff(ends, prepend=0) + 1
     return np.insert(ids, ends, end_id).astype(np.int32), lengths
 
@@ -92,7 +125,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, en
 
         def step(rows):
             nonlocal seen
-            ids, lengths = encode_texts(tokenizer, end_id, texts(rows.column("text")))
+            ids, lengths = encode_texts(tokenizer, end_id, rows.column("text"))
             starts = seen + np.cumsum(lengths) - lengths
             seen += int(lengths.sum())
             columns = [rows.column("doc_id"), pa.array(np.full(len(lengths), part, np.int32)), pa.array(starts), pa.array(lengths.astype(np.int32)), list_array(ids, lengths, pa.int32())]

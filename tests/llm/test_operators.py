@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from foliospark.session import work_folder
 from . import helpers
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = []
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -32,7 +34,9 @@ def empty(spark):
 def library_ids(text):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [2]
+    if not LIBRARY:
+        LIBRARY.append(Tokenizer.from_file(WORDS))
+    return LIBRARY[0].encode(text or "", add_special_tokens=False).ids + [2]
 
 
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
@@ -64,8 +68,16 @@ def test_word_ids_are_the_library_s():
     draw = random.Random(3)
     alphabets = ["ab'sdtre.,! \n", "é́eßÄΣσς.,'x ", "0²½Ⅷ.a, ", "<|endoftext|> ab.", "中文。,a  \t"]
     batch = ["".join(draw.choice(a) for _ in range(draw.randint(0, 25))) for a in alphabets for _ in range(300)]
-    ids, lengths = token_files.encode_texts(WORDS, 2, batch)
-    assert ids.tolist() == [i for t in batch for i in library_ids(t)] and lengths.sum() == len(ids)
+    whole = pa.array([None, "not a part", *batch, None, "", "last."], pa.string())
+    for column in (whole, whole.slice(2), whole.slice(3, 700), whole.slice(0, 1), whole.slice(0, 0)):
+        ids, lengths = token_files.encode_texts(WORDS, 2, column)
+        expected = [library_ids(t) for t in column.to_pylist()]
+        assert ids.tolist() == [i for e in expected for i in e] and lengths.tolist() == list(map(len, expected))
+
+
+def test_tokenizers_that_white_space_changes_are_refused():
+    with pytest.raises(ValueError, match="white space"):
+        token_files.word_coder(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_near_duplicates(odd, empty):

@@ -1,7 +1,9 @@
 """The registered queries on the smallest tables, and the pipeline against brute force."""
 
+import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -45,7 +47,20 @@ def test_held_out_accuracy(spark):
     assert quality.agg(F.avg((F.col("quality") == F.col("predicted")).cast("int"))).first()[0] >= 0.85
 
 
-@pytest.mark.parametrize("name", ["op1_token_files", "op7_sharding", "op10_sentencepiece"])
+def test_token_files_query(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected, start = [], 0
+    for i, text in sorted(documents(spark)):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    found = QUERIES["op1_token_files"](spark, SMALL).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, found)) == expected
+
+
+@pytest.mark.parametrize("name", ["op7_sharding", "op10_sentencepiece"])
 def test_whole_table(spark, name):
     assert Counter(r["doc_id"] for r in QUERIES[name](spark, SMALL).select("doc_id").collect()) == Counter(i for i, _ in documents(spark))
 
