@@ -76,13 +76,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of the batches that are bounded in rows and, by the column ``text``, in bytes."""
     for batch in batches:
         starts = set(range(0, batch.num_rows, rows))
         if "text" in batch.schema.names:
             sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
-            starts.update((np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES, prepend=0))).tolist())
+            starts.update((np.flatnonzero(np.diff(np.cumsum(sizes) // size, prepend=0))).tolist())
         cuts = [*sorted(starts), batch.num_rows]
         for at, end in zip(cuts, cuts[1:]):
             yield batch.slice(at, end - at)
@@ -98,7 +98,7 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def arrow_loop(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], rows: int = SLICE, caches: bool = False):
+def arrow_loop(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], rows: int = SLICE, caches: bool = False, size: int = SLICE_BYTES):
     """A ``mapInArrow`` function: ``make()`` once per task, its result once per slice of rows.
 
     Without ``caches`` the strings that other tasks of this worker remember are dropped first.
@@ -108,7 +108,7 @@ def arrow_loop(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], r
         if not caches:
             Codes.forget()
         step = make()
-        for piece in slices(batches, rows):
+        for piece in slices(batches, rows, size):
             out = step(piece)
             if out is not None and out.num_rows:
                 yield out

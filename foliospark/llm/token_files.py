@@ -14,6 +14,7 @@ empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from itertools import chain, compress
@@ -45,6 +46,8 @@ def word_coder(path: str) -> Codes:
     if path not in _coders:
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of the library would take those of other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         library = Tokenizer.from_file(path)
         ends = np.zeros(library.get_vocab_size(with_added_tokens=True), bool)
         for token, i in library.get_vocab(with_added_tokens=True).items():
@@ -142,7 +145,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, en
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(),
         "parquet.writer.version": "v1" if encoding == "dictionary" else "v2",
     }
-    ordered.mapInArrow(arrow_loop(make, caches=True), SCHEMA).write.options(**options).parquet(path)
+    ordered.mapInArrow(arrow_loop(make, rows=2000, caches=True, size=4 << 20), SCHEMA).write.options(**options).parquet(path)
 
 
 def _with_start(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
