@@ -89,7 +89,7 @@ def format_blocks(conversations: DataFrame, template: Template = Template()) ->
 
 
 def render(blocks: DataFrame) -> DataFrame:
-    """conv_id, block, formatted and loss_spans of the rows of ``format_blocks``.
+    """conv_id, block, formatted, loss_spans and ends of the rows of ``format_blocks``.
 
     ``loss_spans`` are (start, length) in characters of the block's ``formatted``,
     one for each text that carries loss.
@@ -103,18 +103,23 @@ def render(blocks: DataFrame) -> DataFrame:
             F.when(s["loss"], F.concat(acc["spans"], F.array(F.struct(acc["at"].alias("start"), F.length(s["text"]).cast("long").alias("length"))))).otherwise(acc["spans"]).alias("spans"),
         ),
     )
-    return blocks.select("conv_id", "block", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), walked["spans"].alias("loss_spans"))
+    return blocks.select("conv_id", "block", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), walked["spans"].alias("loss_spans"), "ends")
+
+
+def accepted(blocks: Column, template: Template) -> Column:
+    """Whether the machine accepts, from the entries of ``ends`` of all blocks in order."""
+    state = F.aggregate(blocks, F.lit(template.start), lambda at, b: F.coalesce(F.try_element_at(F.map_from_entries(b["ends"]), at), F.lit(BROKEN)))
+    return state.isin(*template.accepting)
 
 
 def validity(blocks: DataFrame, template: Template = Template()) -> DataFrame:
     """conv_id and valid: whether the machine accepts the roles in order.  Only block ends are gathered."""
     gathered = blocks.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("block", F.map_entries("ends").alias("ends")))).alias("blocks"))
-    state = F.aggregate("blocks", F.lit(template.start), lambda at, b: F.coalesce(F.try_element_at(F.map_from_entries(b["ends"]), at), F.lit(BROKEN)))
-    return gathered.select("conv_id", state.isin(*template.accepting).alias("valid"))
+    return gathered.select("conv_id", accepted(F.col("blocks"), template).alias("valid"))
 
 
 def read_back(rendered: DataFrame, template: Template = Template()) -> DataFrame:
-    """conv_id, block, turns (role and text, in order) and loss_texts, from ``formatted`` and ``loss_spans`` alone."""
+    """conv_id, block, turns (role and text, in order) and loss_texts, from ``formatted`` and ``loss_spans`` alone; ``ends`` as it is."""
     pieces = F.filter(F.split("formatted", "\\Q" + template.closing + "\\E"), lambda p: p != "")
     head, tail = len(template.opening[0]), len(template.opening[1])
     opened = lambda p: F.substring_index(p, template.opening[1], 1)
@@ -123,16 +128,16 @@ def read_back(rendered: DataFrame, template: Template = Template()) -> DataFrame
         unescape(F.substr(p, F.length(opened(p)) + F.lit(tail + 1)), template).alias("text"),
     )
     lost = F.transform("loss_spans", lambda s: unescape(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int")), template))
-    return rendered.select("conv_id", "block", F.length("formatted").cast("long").alias("chars"), F.transform(pieces, turn).alias("turns"), lost.alias("loss_texts"))
+    return rendered.select("conv_id", "block", F.length("formatted").cast("long").alias("chars"), F.transform(pieces, turn).alias("turns"), lost.alias("loss_texts"), "ends")
 
 
-def digests(read: DataFrame) -> DataFrame:
-    """One row per conversation with counts and digests of what ``read_back`` found.
+def digests(read: DataFrame, template: Template = Template()) -> DataFrame:
+    """One row per conversation with counts and digests of what ``read_back`` found, and whether its turn order is valid.
 
     A digest needs its whole text; blocks are made strings before they meet.
     """
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    blocks = read.select("conv_id", "chars", F.size("turns").cast("long").alias("n"), F.struct("block", lines.alias("turns"), F.array_join("loss_texts", "").alias("loss")).alias("one"))
+    blocks = read.select("conv_id", "chars", F.size("turns").cast("long").alias("n"), F.struct("block", lines.alias("turns"), F.array_join("loss_texts", "").alias("loss"), F.map_entries("ends").alias("ends")).alias("one"))
     whole = blocks.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.sort_array(F.collect_list("one")).alias("blocks"))
     text = lambda name: F.array_join(F.transform("blocks", lambda b: b[name]), "")
     return whole.select(
@@ -142,4 +147,5 @@ def digests(read: DataFrame) -> DataFrame:
         F.length(text("loss")).cast("long").alias("loss_chars"),
         F.sha2(text("loss"), 256).alias("loss_sha256"),
         "formatted_chars",
+        accepted(F.col("blocks"), template).alias("valid"),
     )

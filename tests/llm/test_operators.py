@@ -333,6 +333,7 @@ def test_chat(spark):
         lines = "".join(f"{x[2] or ''}\n{x[3] or ''}\n" for x in turns)
         loss = "".join(x[3] or "" for x in turns if x[2] == "assistant")
         assert (r["n_turns"], r["turns_sha256"]) == (len(turns), hashlib.sha256(lines.encode()).hexdigest())
+        assert r["valid"] == valid[r["conv_id"]]
         assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert len(read) == 6 and chat.digests(chat.read_back(chat.render(chat.format_blocks(table.limit(0))))).count() == 0
     formatted = {r["conv_id"]: r["formatted"] for r in rendered.where("conv_id = 1").collect()}
