@@ -62,6 +62,20 @@ def _(d: Data):
     return clean.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "o_totalprice", "o_orderstatus", "o_orderpriority")
 
 
+@query(
+    "s6_quoted_lines",
+    """SELECT o_orderkey, concat('to "', trim(o_orderpriority), '",', chr(10), chr(10), o_custkey, ' ""', chr(13), chr(10), o_orderstatus) AS note, o_totalprice FROM orders""",
+)
+def _(d: Data):
+    """Orders with quotes, commas and line breaks inside a field, written as CSV and read back block by block."""
+    path = d.folder("orders_quoted")
+    note = F.concat(F.lit('to "'), F.trim("o_orderpriority"), F.lit('",\n\n'), "o_custkey", F.lit(' ""\r\n'), "o_orderstatus").alias("note")
+    d.orders.select("o_orderkey", note, "o_totalprice").repartitionByRange(4, "o_orderkey").write.options(header=True, quote='"', escape='"').csv(path)
+    rows = csvfiles.read_csv(d.spark, f"{path}/*.csv", ["o_orderkey", "note", "o_totalprice"], multi_line=True)
+    kept = csvfiles.accepted(csvfiles.typed_rows(rows, d.orders.select("o_orderkey", F.lit("").alias("note"), "o_totalprice").schema))
+    return kept.drop("_file", "_block", "_row_in_block")
+
+
 @query(
     "s7_infer_columns",
     """SELECT 'o_orderkey' AS column_name, 'int' AS column_type, 0 AS column_order UNION ALL SELECT 'o_custkey', 'int', 1 UNION ALL SELECT 'o_totalprice', 'double', 2

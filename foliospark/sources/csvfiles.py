@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
 from ..functions.jsontext import row_object
@@ -101,16 +103,115 @@ def common_kind(kinds: set[str]) -> str:
     return max(kinds, key=numbers.index) if kinds and kinds <= set(numbers) else "string"
 
 
+def _quote_ends(line: Column) -> tuple[Column, Column]:
+    """Whether a line ends inside a quoted field, if it begins outside of one, and if inside.
+
+    A quote opens at the beginning of a field only; a doubled quote never changes the state.
+    """
+    single = F.replace(line, F.lit('""'), F.lit(""))
+    ends_open = lambda text: F.regexp_replace(text, '(^|,)[ \\t]*"[^"]*"', "$1x").rlike('(^|,)[ \\t]*"[^"]*$')
+    closed_at = F.instr(single, '"')
+    rest = F.concat(F.lit("x"), F.substr(single, closed_at + 1))
+    return ends_open(single), F.when(closed_at == 0, True).otherwise(ends_open(rest))
+
+
+def _fold_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block, from its lines in order: how it ends from either state."""
+    at, ends = None, (False, True)
+    for batch in batches:
+        for file, block, *line in zip(*(c.to_pylist() for c in batch.columns)):
+            if (file, block) != at:
+                if at is not None:
+                    yield _one_row(at, ends)
+                at, ends = (file, block), (False, True)
+            ends = line[ends[0]], line[ends[1]]
+    if at is not None:
+        yield _one_row(at, ends)
+
+
+def _one_row(at, ends) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{"_file": at[0], "_block": at[1], "from_out": ends[0], "from_in": ends[1]}])
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of each block from its lines in order, when it is known whether the block begins inside a quoted field.
+
+    ``part`` is ``head`` for what belongs to a record of an earlier block, ``tail`` for one that goes on, else ``whole``.
+    """
+    schema = pa.schema([("_file", pa.string()), ("_block", pa.int64()), ("_row_in_block", pa.int64()), ("part", pa.string()), ("record", pa.string())])
+    at, held, part, row, inside = None, [], "whole", 0, False
+    for batch in batches:
+        out = []
+        for file, block, begins_in, from_out, from_in, line in zip(*(c.to_pylist() for c in batch.columns)):
+            if (file, block) != at:
+                if held:
+                    out.append((*at, row, part if part == "head" else "tail", "\n".join(held)))
+                at, held, row, inside = (file, block), [], 0, begins_in
+                part = "head" if inside else "whole"
+            if not inside and not line.strip():
+                continue
+            held.append(line)
+            inside = from_in if inside else from_out
+            if not inside:
+                out.append((file, block, row, part, "\n".join(held)))
+                row += part == "whole"
+                held, part = [], "whole"
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*at, row, part if part == "head" else "tail", "\n".join(held)), schema)], schema=schema)
+
+
+def quoted_records(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    """``_file, _block, _row_in_block, record``: records whose quoted fields may hold line breaks, every block of a file in its own task.
+
+    The first pass finds how each block ends if it begins outside or inside a
+    quoted field, a window over one row per block finds how it does begin, and
+    the second pass cuts the block.  Only records that cross blocks are shuffled.
+    What is sent to all tasks is at most one row per block of a file.  Lines end
+    with a line feed, with or without a carriage return; blank lines are left out.
+    """
+    raw = spark.read.option("lineSep", "\n").text(files)
+    from_out, from_in = _quote_ends(F.col("value"))
+    place = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+    lines = raw.select(*place, from_out.alias("from_out"), from_in.alias("from_in"), "value")
+    blocks = lines.drop("value").mapInArrow(_fold_blocks, "_file string, _block bigint, from_out boolean, from_in boolean")
+    # A block is constant, keeps the state or swaps it: the last constant before, and the swaps since, give the state.
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    fixed = F.col("from_out") == F.col("from_in")
+    swaps = blocks.withColumn("_s", F.coalesce(F.sum((F.col("from_out") & ~F.col("from_in")).cast("int")).over(before), F.lit(0)))
+    last = F.last(F.when(fixed, F.struct("from_out", "_s")), ignorenulls=True).over(before)
+    state = swaps.withColumn("_l", last).select("_file", "_block", ((F.coalesce(F.col("_l.from_out").cast("int"), F.lit(0)) + F.col("_s") - F.coalesce("_l._s", F.lit(0))) % 2 == 1).alias("_in"))
+    opened = F.broadcast(state.filter("_in"))
+    cut = lines.join(opened, ["_file", "_block"], "left").select("_file", "_block", F.coalesce("_in", F.lit(False)), "from_out", "from_in", "value")
+    found = cut.mapInArrow(_records, "_file string, _block bigint, _row_in_block bigint, part string, record string")
+    crossing = found.filter("part != 'whole'")
+    # A block's head comes before its tail; a tail begins a record.
+    order = Window.partitionBy("_file").orderBy("_block", "part")
+    joined = (
+        crossing.withColumn("_k", F.sum((F.col("part") == "tail").cast("int")).over(order))
+        .groupBy("_file", "_k")
+        .agg(F.min("_block").alias("_block"), F.max(F.when(F.col("part") == "tail", F.col("_row_in_block"))).alias("_row_in_block"), F.array_sort(F.collect_list(F.struct("_block", "part", "record"))).alias("_p"))
+        .select("_file", "_block", "_row_in_block", F.array_join(F.transform("_p", lambda p: p["record"]), "\n").alias("record"))
+    )
+    return found.filter("part = 'whole'").drop("part").unionByName(joined)
+
+
 def read_csv(spark: SparkSession, files: str | list[str], columns: list[str], multi_line: bool = False) -> DataFrame:
     """Rows as text plus their source file and block; with ``multi_line`` quoted fields may hold line breaks.
 
     Short rows are filled with nulls and surplus fields dropped, so a differing
-    number of fields is no error; only a value of the wrong type is.
+    number of fields is no error; only a value of the wrong type is.  With
+    ``multi_line`` the column ``_row_in_block`` is the place of a row in its block.
     """
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    if multi_line:
+        # The header is the first record.
+        data = quoted_records(spark, files).filter(~((F.col("_block") == 0) & (F.col("_row_in_block") == 0)))
+        options = {k: v for k, v in OPTIONS.items() if k not in ("header", "enforceSchema")}
+        fields = F.from_csv(F.regexp_replace("record", "\\r$", ""), ", ".join(f"`{c.replace('`', '``')}` string" for c in columns), {**options, "multiLine": "true"})
+        return data.select(fields.alias("_c"), "_file", "_block", "_row_in_block").select("_c.*", "_file", "_block", "_row_in_block")
     return (
         spark.read.options(**OPTIONS)
-        .option("multiLine", multi_line)
         .schema(text)
         .csv(files)
         .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
@@ -125,7 +226,7 @@ def typed_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
         bad = bad | (text.isNotNull() & text.try_cast(f.dataType).isNull())
     return raw.select(
         *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields],
-        *[c for c in ("_file", "_block") if c in raw.columns],
+        *[c for c in ("_file", "_block", "_row_in_block") if c in raw.columns],
         bad.alias(REJECTED),
     )
 
@@ -168,10 +269,19 @@ def number_rows(rows: DataFrame) -> DataFrame:
     A block of a file is read in order by one task, so the position inside the
     block needs no sort.  Only one row per block is gathered to find where each
     block begins; the data rows are not shuffled or sorted, whatever the size of
-    a single file.
+    a single file.  Rows with a column ``_row_in_block`` are ordered by it within their
+    block, since records that cross blocks are put together apart from the others.
     """
+    if "_row_in_block" in rows.columns:
+        inside = Window.partitionBy("_file", "_block").orderBy("_row_in_block")
+        rows = rows.withColumn("_n", F.row_number().over(inside)).drop("_row_in_block")
+        return _shifted(rows, F.lit(1))
     tagged = rows.withColumn("_n", F.monotonically_increasing_id())
-    blocks = tagged.groupBy("_file", "_block").agg(F.min("_n").alias("_first"), F.count("*").alias("_rows"))
+    return _shifted(tagged, F.min("_n"))
+
+
+def _shifted(tagged: DataFrame, first: Column) -> DataFrame:
+    blocks = tagged.groupBy("_file", "_block").agg(first.alias("_first"), F.count("*").alias("_rows"))
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
         "_file", "_block", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")

@@ -367,7 +367,7 @@ def load_csv_batch(tables: TableFolder, registry: DataFrame, base: str, batch: i
             own = {f.name.lower(): f for f in schema.fields}
             kinds = T.StructType([T.StructField(n, own[n.lower()].dataType) for n in group.names])
             good = csvfiles.accepted(csvfiles.typed_rows(group.raw, kinds))
-            typed = add(typed, csvfiles.align(good.drop("_file", "_block"), schema))
+            typed = add(typed, csvfiles.align(good.drop("_file", "_block", "_row_in_block"), schema))
             ids = spark.createDataFrame([(m["key"], m["registry_id"], m["file_path"], m["file_name"]) for m in group.members], "_key string, registry_id string, file_path string, file_name string")
             # A plus sign stands for itself in a path.
             keyed = good.withColumn("_key", F.url_decode(F.replace(F.regexp_replace("_file", "^([A-Za-z][A-Za-z0-9+.-]*:)?/*", ""), F.lit("+"), F.lit("%2B"))))
