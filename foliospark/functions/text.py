@@ -31,21 +31,37 @@ def size_in(size: Column, unit: int) -> Column:
     return F.round(size / F.lit(float(unit)), 2)
 
 
+# The entities that nearly all pages hold; they are told apart without a search in the map of all names.
+FREQUENT_ENTITIES = ("nbsp", "lt", "gt", "quot", "amp")
+
+
 def resolve_entities(text: Column) -> Column:
     """Named and numeric entities as characters, each read once; unknown ones stay as they are.
 
     The text is cut before every ampersand, and each part is looked at by itself.
+    Numbers and rare names cost more than the frequent names, so each way is taken
+    only for parts that need it.
     """
     names = F.from_json(F.lit(json.dumps(HTML_ENTITIES)), "map<string,string>")
 
-    def part(piece: Column) -> Column:
-        entity = F.regexp_extract(piece, r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+    def numeric(piece: Column) -> Column:
+        entity = F.regexp_extract(piece, r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});", 1)
         digits = F.when(entity.rlike("^#[xX]"), F.conv(F.substring(entity, 3, 8), 16, 10)).otherwise(F.substring(entity, 2, 8)).try_cast("int")
         # A code point as text, by way of its bytes in UTF-32.
         valid = digits.between(1, 0x10FFFF) & ~digits.between(0xD800, 0xDFFF)
         number = F.when(digits == 160, " ").when(valid, F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32"))
-        char = F.when(entity.startswith("#"), number).otherwise(F.try_element_at(names, entity))
-        return F.when((entity == "") | char.isNull(), piece).otherwise(F.concat(char, F.substr(piece, F.length(entity) + 3)))
+        return F.when((entity == "") | number.isNull(), piece).otherwise(F.concat(number, F.substr(piece, F.length(entity) + 3)))
+
+    def named(piece: Column) -> Column:
+        entity = F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);", 1)
+        char = F.when(entity != "", F.try_element_at(names, entity))
+        return F.when(char.isNull(), piece).otherwise(F.concat(char, F.substr(piece, F.length(entity) + 3)))
+
+    def part(piece: Column) -> Column:
+        out = F.when(~piece.startswith("&"), piece).when(piece.startswith("&#"), numeric(piece))
+        for name in FREQUENT_ENTITIES:
+            out = out.when(piece.startswith(f"&{name};"), F.concat(F.lit(HTML_ENTITIES[name]), F.substring(piece, len(name) + 3, 2**31 - 1)))
+        return out.otherwise(named(piece))
 
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "(?=&)"), part), "")).otherwise(text)
 

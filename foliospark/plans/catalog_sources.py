@@ -6,21 +6,35 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import class_key, unwrap_label
 from ..functions.paths import file_type
 from ..operators import judge, routing
 from ..schemas import conform, extraction_prompts
 from ..sources import csvfiles, documents, listing
 from ..sources.tables import TableFolder, export_csv, table_counts
 from . import reports
+from .catalog_relational import CLASS_KEY
 from .fixtures import Data
 from .registry import query
 
 AS_OF = datetime(2024, 3, 1)
 
 
-@query("s1_directory_listing")
+@query(
+    "s1_directory_listing",
+    """SELECT concat('part=', coalesce(lang, 'none'), '-', doc_id % 16) AS folder, 'txt' AS file_type, 1 AS files, 0 AS empty_files, CAST(sum(coalesce(strlen(text), 0) + 1) AS BIGINT) AS size
+       FROM documents GROUP BY 1 UNION ALL SELECT 'none', 'txt', 1, 1, 0""",
+)
 def _(d: Data):
-    return listing.list_files(d.spark, d.sf_dir).select("relative_path", "size", file_type(F.col("relative_path")).alias("file_type"))
+    """All texts as files, one for each folder, and a file without bytes beside them."""
+    path = d.folder("listed")
+    texts = d.documents.select("text", F.concat(F.coalesce("lang", F.lit("none")), F.lit("-"), F.col("doc_id") % 16).alias("part"))
+    texts.repartition("part").write.partitionBy("part").text(f"{path}")
+    texts.select("text").limit(0).write.text(f"{path}/none")
+    found = listing.list_files(d.spark, path)
+    folder = F.substring_index("relative_path", "/", 1).alias("folder")
+    per_folder = found.groupBy(folder, file_type(F.col("relative_path")).alias("file_type"))
+    return per_folder.agg(F.count("*").alias("files"), F.count_if(F.col("size") == 0).alias("empty_files"), F.sum("size").alias("size"))
 
 
 @query(
@@ -38,10 +52,12 @@ def _(d: Data):
 
 
 def orders_as_csv(d: Data) -> str:
-    """The orders as CSV files, in key order within each file, one folder per priority."""
+    """The orders as CSV files, in key order within each file, one folder with one file for each priority and last two bits of the key."""
     path = d.folder("orders_csv")
-    rows = d.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", F.col("o_orderpriority").alias("prio"), "o_orderpriority")
-    rows.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderpriority", "o_orderkey").write.partitionBy("prio").option("header", True).csv(path)
+    rows = d.orders.select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", F.col("o_orderpriority").alias("prio"), (F.col("o_orderkey") % 4).alias("part"), "o_orderpriority"
+    )
+    rows.repartition("prio", "part").sortWithinPartitions("prio", "part", "o_orderkey").write.partitionBy("prio", "part").option("header", True).csv(path)
     return path
 
 
@@ -50,7 +66,7 @@ ORDERS = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderprio
 
 def typed_orders(d: Data):
     path = orders_as_csv(d)
-    files = f"{path}/*/*.csv"
+    files = f"{path}/*/*/*.csv"
     schema = csvfiles.infer_columns(d.spark, files)
     return csvfiles.typed_rows(csvfiles.read_csv(d.spark, files, schema.fieldNames()), schema), schema
 
@@ -82,7 +98,7 @@ def _(d: Data):
        UNION ALL SELECT 'o_orderstatus', 'string', 3 UNION ALL SELECT 'o_orderpriority', 'string', 4""",
 )
 def _(d: Data):
-    schema = csvfiles.infer_columns(d.spark, f"{orders_as_csv(d)}/*/*.csv")
+    schema = csvfiles.infer_columns(d.spark, f"{orders_as_csv(d)}/*/*/*.csv")
     return csvfiles.column_metadata(d.spark, "CSV_orders", schema, AS_OF).select("column_name", "column_type", "column_order")
 
 
@@ -111,20 +127,26 @@ def _(d: Data):
 
 
 def order_master(d: Data):
+    """The long table of the orders; a file is registered under its folder, since Spark chooses its name."""
     rows, schema = typed_orders(d)
-    sources = rows.select("_file").distinct().select(
-        "_file", F.concat(F.lit("CSV_"), F.md5("_file")).alias("registry_id"), F.col("_file").alias("file_path"), F.substring_index("_file", "/", -1).alias("file_name")
-    )
+    folder = F.concat_ws("_", F.url_decode(F.regexp_extract("_file", "prio=([^/]*)", 1)), F.regexp_extract("_file", "part=([^/]*)", 1))
+    sources = rows.select("_file").distinct().select("_file", F.concat(F.lit("CSV_"), folder).alias("registry_id"), folder.alias("file_path"), F.lit("orders.csv").alias("file_name"))
     return csvfiles.master_rows(rows, sources, schema.fieldNames(), AS_OF)
 
 
+ORDER_ROWS = """WITH orders_rows AS (SELECT *, concat(o_orderpriority, '_', o_orderkey % 4) AS file_path,
+    CAST(row_number() OVER (PARTITION BY o_orderpriority, o_orderkey % 4 ORDER BY o_orderkey) AS BIGINT) AS row_number FROM orders)"""
+
+
 @query(
     "s10_master_rows",
-    """SELECT concat('{"o_orderkey":', o_orderkey, ',"o_custkey":', o_custkey, ',"o_orderstatus":"', o_orderstatus, '","o_orderpriority":"', o_orderpriority, '"}') AS row_data FROM orders""",
+    ORDER_ROWS
+    + """ SELECT concat('CSV_', file_path, '_ROW_', row_number) AS record_id, concat('CSV_', file_path) AS registry_id, file_path, 'orders.csv' AS file_name, row_number,
+       concat('{"o_orderkey":', o_orderkey, ',"o_custkey":', o_custkey, ',"o_totalprice":', CAST(o_totalprice AS DOUBLE), ',"o_orderstatus":"', o_orderstatus, '","o_orderpriority":"', o_orderpriority, '"}') AS row_data,
+       TIMESTAMP '2024-03-01 00:00:00' AS created_timestamp FROM orders_rows""",
 )
 def _(d: Data):
-    shape = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
-    return order_master(d).select(F.to_json(F.from_json("row_data", shape)).alias("row_data"))
+    return order_master(d)
 
 
 @query("w1_row_numbers", "SELECT o_orderpriority, count(*) AS row_count, true AS in_key_order, true AS without_gaps FROM orders GROUP BY o_orderpriority")
@@ -170,24 +192,35 @@ def _(d: Data):
     return tables.read("ocr_accuracy").select("document_id", "run_name", "source_table", F.length("ocr_text").alias("text_length"))
 
 
+# The seeded classes and how many questions each has.
+SEEDED = {
+    "vendor_contract": 10, "sales_report": 8, "marketing_report": 9, "hr_policy": 7, "corporate_policy": 8,
+    "financial_infographic": 10, "strategy_document": 8, "w2": 10, "case_study": 7, "other": 2,
+}
+
+
 @query(
     "s13_seed_questions",
-    """SELECT document_class, count(*) AS documents FROM classified WHERE document_class IN ('w2', 'case_study') GROUP BY document_class""",
+    ", seeded(document_class, questions) AS (VALUES " + ", ".join(f"('{c}', {n})" for c, n in SEEDED.items()) + ") "
+    + "SELECT s.document_class, s.questions, count(c.document_id) AS documents FROM seeded s LEFT JOIN classified c ON "
+    + f"{CLASS_KEY} = s.document_class GROUP BY ALL",
     "classified",
 )
 def _(d: Data):
-    seeded = extraction_prompts(d.spark).select("document_class").distinct()
-    return d.classified.join(seeded, "document_class", "left_semi").groupBy("document_class").agg(F.count("*").alias("documents"))
+    """Every seeded class with its questions and the documents they are asked of."""
+    asked = extraction_prompts(d.spark).groupBy("document_class").agg(F.count("*").cast("int").alias("questions"))
+    keyed = d.classified.groupBy(class_key(unwrap_label(F.col("document_class"))).alias("document_class")).agg(F.count("*").alias("documents"))
+    return asked.join(keyed, "document_class", "left").select("document_class", "questions", F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents"))
 
 
 @query(
     "s14_export_csv",
-    """SELECT document_id, file_name, attribute_name, attribute_value FROM extraction_state WHERE attribute_value IS NOT NULL""",
+    """SELECT document_id, file_name, attribute_name, attribute_value FROM extraction_state""",
     "extraction_state",
 )
 def _(d: Data):
     path = d.folder("export")
-    export_csv(d.extraction_state.select("document_id", "file_name", "attribute_name", "attribute_value").filter("attribute_value is not null"), path)
+    export_csv(d.extraction_state.select("document_id", "file_name", "attribute_name", "attribute_value"), path)
     return csvfiles.read_csv(d.spark, path, ["document_id", "file_name", "attribute_name", "attribute_value"]).drop("_file", "_block")
 
 
@@ -239,8 +272,12 @@ def _(d: Data):
 
 @query(
     "v7_csv_flattened",
-    """SELECT 'o_orderkey' AS column_name, CAST(o_orderkey AS VARCHAR) AS column_value FROM orders UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders
-       UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders""",
+    ORDER_ROWS
+    + r""", cells AS (SELECT file_path, row_number, unnest(['o_orderkey', 'o_custkey', 'o_totalprice', 'o_orderstatus', 'o_orderpriority']) AS column_name,
+         unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), regexp_replace(CAST(CAST(o_totalprice AS DOUBLE) AS VARCHAR), '\.0$', ''), o_orderstatus, o_orderpriority]) AS column_value FROM orders_rows)
+       SELECT concat('CSV_', file_path, '_ROW_', row_number) AS record_id, 'orders.csv' AS file_name, file_path, row_number, column_name, column_value,
+         TIMESTAMP '2024-03-01 00:00:00' AS created_timestamp FROM cells""",
 )
 def _(d: Data):
-    return reports.csv_flattened(order_master(d)).filter("column_name <> 'o_totalprice'").select("column_name", "column_value")
+    """Whole numbers come out of a JSON object without a fraction."""
+    return reports.csv_flattened(order_master(d))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.routing import not_in
+from .folder_source import FolderListing
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -25,15 +26,16 @@ def _listing(files: DataFrame, base: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """One row per file that is not empty.  File contents are not selected and so never read.
-
-    Spark's file sources leave out files of zero bytes.
-    """
-    return _listing(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base), base)
+    """One row per file, files of zero bytes included, listed by tasks below the upper folders.  No file is opened."""
+    spark.dataSource.register(FolderListing)
+    return spark.read.format(FolderListing.name()).load(base)
 
 
 def stream_files(spark: SparkSession, base: str, max_files: int = 10_000) -> DataFrame:
-    """New files as a stream of listing rows; each path is delivered once."""
+    """New files as a stream of listing rows; each path is delivered once.
+
+    Spark's file stream leaves out files of zero bytes.
+    """
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)

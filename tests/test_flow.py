@@ -39,6 +39,33 @@ def test_listing(spark, inbox):
     assert rows["docs/deal.txt"] == len(CONTRACT) and rows["tool.exe"] == 2 and len(rows) == 8
 
 
+def test_listing_by_folders(spark, tmp_path):
+    base = tmp_path / "in box"
+    for i in range(3):
+        for j in range(3):
+            folder = base / f"a{i}" / f"b={j}" / "c"
+            folder.mkdir(parents=True)
+            (folder / "x y.txt").write_bytes(b"." * i)
+            (folder.parent / "top.txt").write_bytes(b"ab")
+    (base / "none.txt").write_bytes(b"")
+    (base / ".hidden").write_bytes(b"h")
+    (base / "_tmp").mkdir()
+    (base / "_tmp" / "t.txt").write_bytes(b"t")
+    (base / "hollow").mkdir()
+    expected = {f"a{i}/b={j}/c/x y.txt": i for i in range(3) for j in range(3)} | {f"a{i}/b={j}/top.txt": 2 for i in range(3) for j in range(3)} | {"none.txt": 0}
+    listing.list_files(spark, str(base))
+    for folders in (1, 4, 9, 100):
+        # However deep the driver looks, every file is listed once.
+        found = spark.read.format("folder_listing").option("folders", folders).load(str(base)).collect()
+        assert len(found) == len(expected) and {r["relative_path"]: r["size"] for r in found} == expected
+        assert all(r["last_modified"] is not None for r in found)
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(base)).filter("length > 0")
+    assert {r["path"] for r in read.collect()} == {r["file_url"] for r in found if r["size"]}
+    with pytest.raises(Exception, match="no such folder"):
+        listing.list_files(spark, str(base / "gone")).collect()
+    assert listing.list_files(spark, str(base / "hollow")).collect() == []
+
+
 def test_flow_over_files(spark, inbox, tmp_path):
     tables = TableFolder(spark, str(tmp_path / "tables"))
     flow = DocumentFlow(tables, clock=lambda: AS_OF)
