@@ -145,6 +145,18 @@ def register_page_limit(parsed: DataFrame, registry: DataFrame, as_of: datetime)
     )
 
 
+def unparsed(routed: DataFrame, parsed: DataFrame, registry: DataFrame) -> DataFrame:
+    """Files on the parse route that neither table knows.
+
+    Only paths are compared with what is stored; the rows themselves, which may
+    carry texts, meet the batch's own fresh paths.
+    """
+    todo = routed.filter(F.col("route") == "parse")
+    fresh = not_in(todo.select("relative_path"), "relative_path", parsed, "file_path")
+    fresh = not_in(fresh, "relative_path", registry, "original_file_path")
+    return todo.join(fresh, "relative_path", "left_semi")
+
+
 def ingest_documents(routed: DataFrame, parsed: DataFrame, registry: DataFrame, as_of: datetime) -> DataFrame:
     """New rows of ``parsed_documents`` for the files on the parse route.
 
@@ -152,8 +164,11 @@ def ingest_documents(routed: DataFrame, parsed: DataFrame, registry: DataFrame,
     reader.  A listing names each file once, so the text rows are not shuffled
     for de-duplication; a bad file only marks its own row.
     """
-    fresh = not_in(routed.filter(F.col("route") == "parse"), "relative_path", parsed, "file_path")
-    fresh = not_in(fresh, "relative_path", registry, "original_file_path")
+    return parsed_rows(unparsed(routed, parsed, registry), as_of)
+
+
+def parsed_rows(fresh: DataFrame, as_of: datetime) -> DataFrame:
+    """Rows of ``parsed_documents`` for files that are known to be new."""
     path = F.col("relative_path")
     return conform(
         fresh.select(

@@ -86,8 +86,8 @@ def part_content(parsed_content):
     return path_value(parsed_content, "$.content")
 
 
-def merged_documents(parts: DataFrame, parsed: DataFrame, strict: bool = False) -> DataFrame:
-    """Part texts put together again in part order, without failed parts.
+def good_parts(parts: DataFrame, parsed: DataFrame, strict: bool = False) -> DataFrame:
+    """Parts with their text, one row each, without failed parts.
 
     A failed part has an ``errorInformation`` field; ``strict`` drops a part
     whenever that word occurs anywhere in the stored result.
@@ -97,11 +97,31 @@ def merged_documents(parts: DataFrame, parsed: DataFrame, strict: bool = False)
     else:
         good = path_value(F.col("parsed_content"), "$.errorInformation").isNull()
     texts = parsed.filter(good).select(
-        F.col("file_path").alias("part_stage_path"), part_content(F.col("parsed_content")).alias("_text")
+        F.col("file_path").alias("part_stage_path"), part_content(F.col("parsed_content")).alias("part_text")
     )
-    ordered = F.array_sort(F.collect_list(F.struct("part_number", F.col("_text").alias("text"))))
+    return parts.join(texts, "part_stage_path").select("original_file_path", "registry_id", "part_number", "part_text")
+
+
+def merged_parts(parts: DataFrame, parsed: DataFrame, strict: bool = False) -> DataFrame:
+    """The text of every document as ordered rows: ``part_number`` gives the order, ``total_parts`` the number of rows.
+
+    Only numbers are counted by document and joined back; no document is gathered,
+    however many parts it has.
+    """
+    good = good_parts(parts, parsed, strict)
+    keys = ["original_file_path", "registry_id"]
+    counts = good.groupBy(*keys).agg(F.count("*").alias("total_parts"))
+    return good.join(counts, keys)
+
+
+def merged_documents(parts: DataFrame, parsed: DataFrame, strict: bool = False) -> DataFrame:
+    """Part texts put together again in part order as one string a document, without failed parts.
+
+    A string must fit into one task; ``merged_parts`` has no such bound.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("part_number", F.col("part_text").alias("text"))))
     return (
-        parts.join(texts, "part_stage_path")
+        good_parts(parts, parsed, strict)
         .groupBy("original_file_path", "registry_id")
         .agg(F.count("*").alias("total_parts"), F.array_join(F.transform(ordered, lambda p: p["text"]), " ").alias("merged_content"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsontext
 from ..operators import chunking, classify, extract, judge, routing, search, search_index, sheets, splitting
+from ..operators.conversations import ConversationLog
 from ..operators.provider import apply_provider
 from ..schemas import empty, extraction_prompts
 from ..seeds import ClassWord, ExtractRule
@@ -374,6 +375,20 @@ def _(d: Data):
     return search.last_turns(d.conversations, 2).select("conv_id", "turn", "role", "text")
 
 
+@query("d12_conversation_log", "SELECT conv_id, turn, min(role) AS role, arg_min(text, (role, text)) AS text FROM conversations GROUP BY conv_id, turn")
+def _(d: Data):
+    """All turns through a stream in several batches; then the last batch again, and all turns once more as a later batch."""
+    source, path = d.folder("turns"), d.folder("log")
+    d.conversations.select("conv_id", "turn", "role", "text").repartition(3).write.parquet(source)
+    log = ConversationLog(d.spark, path, "conv_id bigint, turn bigint, role string, text string", buckets=16)
+    turns = d.spark.readStream.schema("conv_id bigint, turn bigint, role string, text string").option("maxFilesPerTrigger", 1).parquet(source)
+    log.start(turns, d.folder("log_checkpoint")).awaitTermination()
+    every = d.spark.read.parquet(source)
+    for batch in (3, 3, 4):
+        log.append(every, batch)
+    return log.read()
+
+
 # --- judge ------------------------------------------------------------------
 
 SCORES = r""", s AS (SELECT document_id, content_text, CASE WHEN length(content_text) = 0 THEN 0.0::DOUBLE

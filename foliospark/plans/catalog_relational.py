@@ -282,6 +282,19 @@ def _(d: Data):
     return splitting.merged_documents(parts.drop("parsed_content"), stored)
 
 
+@query(
+    "a11_ordered_parts",
+    """SELECT original_file_path, registry_id, part_number, json_extract_string(parsed_content, '$.content') AS part_text,
+         count(*) OVER (PARTITION BY original_file_path, registry_id) AS total_parts
+       FROM split_parts WHERE json_extract_string(parsed_content, '$.errorInformation') IS NULL""",
+    "split_parts",
+)
+def _(d: Data):
+    parts = d.split_parts
+    stored = parts.select(F.col("part_stage_path").alias("file_path"), "parsed_content")
+    return splitting.merged_parts(parts.drop("parsed_content"), stored)
+
+
 @query(
     "a12_question_objects",
     f"""SELECT c.document_id, concat('{{', string_agg(concat('"', p.attribute_name, '":"', p.question_text, '"'), ',' ORDER BY p.attribute_name), '}}') AS questions

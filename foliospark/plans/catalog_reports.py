@@ -89,6 +89,21 @@ def _(d: Data):
     return merged_documents(parts.drop("parsed_content"), stored, strict=True)
 
 
+@query(
+    "v4_ordered_parts_strict",
+    """SELECT original_file_path, registry_id, part_number, json_extract_string(parsed_content, '$.content') AS part_text,
+         count(*) OVER (PARTITION BY original_file_path, registry_id) AS total_parts
+       FROM split_parts WHERE parsed_content NOT ILIKE '%errorInformation%'""",
+    "split_parts",
+)
+def _(d: Data):
+    from ..operators.splitting import merged_parts
+
+    parts = d.split_parts
+    stored = parts.select(F.col("part_stage_path").alias("file_path"), "parsed_content")
+    return merged_parts(parts.drop("parsed_content"), stored, strict=True)
+
+
 @query(
     "v5_csv_status",
     "SELECT registry_id, file_name, round(file_size / 1024.0, 2) AS size_kb, processing_status, created_timestamp FROM file_registry",

@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..operators import routing, state
+from ..operators.search_index import Conflict
 from ..schemas import empty
+from ..sources.versioned import VersionedTable
 from .fixtures import Data
 from .registry import query
 
@@ -43,6 +45,31 @@ def _(d: Data):
     return state.merge_rows(target, changes(d), ["document_id", "attribute_name"], ["attribute_value", "confidence_score"])
 
 
+STATE_COLUMNS = "document_id string, attribute_name string, file_name string, attribute_value string, confidence_score double"
+
+
+@query(
+    "m1_versioned_upsert",
+    MERGED.replace(" SELECT coalesce", ", merged AS (SELECT coalesce", 1)
+    + """) SELECT 1 AS version, true AS outdated_refused, document_id, attribute_name, file_name, attribute_value, confidence_score FROM extraction_state
+       UNION ALL SELECT 2, true, document_id, attribute_name, file_name, attribute_value, confidence_score FROM merged""",
+    "extraction_state",
+)
+def _(d: Data):
+    """Two commits; a third that was computed from the first version is refused, and both versions stay readable."""
+    table = VersionedTable(d.spark, d.folder("versions"), STATE_COLUMNS, ["document_id", "attribute_name"], buckets=16)
+    values = ["attribute_value", "confidence_score"]
+    first = table.merge(d.extraction_state.select("document_id", "attribute_name", "file_name", *values), values)
+    table.merge(changes(d), values)
+    try:
+        table.merge(changes(d), values, base=first)
+        refused = False
+    except Conflict:
+        refused = True
+    both = [table.read(v).select(F.lit(v).alias("version"), F.lit(refused).alias("outdated_refused"), "*") for v in (1, 2)]
+    return both[0].unionByName(both[1])
+
+
 @query(
     "m1_repeated_keys",
     "SELECT document_id, attribute_name, count(*) AS row_count FROM extractions GROUP BY 1, 2 HAVING count(*) > 1",

@@ -130,12 +130,11 @@ class DocumentFlow:
 
     def _parse(self, captured: DataFrame, batch: int, as_of: datetime) -> None:
         parsed, large = self._before("parsed_documents", batch), self._before("large_document_registry", batch)
-        routed = captured.filter(F.col("route") == "parse")
+        # Known files drop out of the narrow listing before any text is read or moved.
+        routed = routing.unparsed(captured, parsed, large)
         if "raw_text" not in captured.columns:
-            # Known files drop out of the narrow listing before any text is read.
-            fresh = routing.not_in(routed, "relative_path", parsed, "file_path")
-            routed = self._read_text(routing.not_in(fresh, "relative_path", large, "original_file_path"))
-        rows = routing.ingest_documents(documents.attach_text(routed), parsed, large, as_of)
+            routed = self._read_text(routed)
+        rows = routing.parsed_rows(documents.attach_text(routed), as_of)
         self.tables.write("parsed_documents", rows, batch)
 
     def _read_text(self, routed: DataFrame) -> DataFrame:
