@@ -10,6 +10,7 @@ from ..operators import routing, state
 from ..operators.search_index import Conflict
 from ..schemas import empty
 from ..sources.versioned import VersionedTable
+from ..streaming import stuck
 from .fixtures import Data
 from .registry import query
 
@@ -175,6 +176,24 @@ def _(d: Data):
     return state.release_stuck(registry, "processing_status", "processing", datetime(2004, 1, 1)).select("registry_id", "processing_status")
 
 
+@query(
+    "m3_release_timers",
+    """, newest AS (SELECT registry_id, max(event_time) AS seen, arg_max(processing_status, (event_time, processing_status)) AS processing_status FROM status_events GROUP BY registry_id)
+       SELECT registry_id, 'pending' AS processing_status, seen + INTERVAL 60 MINUTE AS event_time FROM newest
+       WHERE processing_status = 'processing' AND seen + INTERVAL 60 MINUTE <= (SELECT max(event_time) FROM status_events)""",
+    "status_events",
+)
+def _(d: Data):
+    """All status events as a stream; what runs on for an hour is released by its timer."""
+    source, target = d.folder("events"), d.folder("releases")
+    d.status_events.select("registry_id", "processing_status", F.col("event_time").cast("timestamp").alias("event_time")).write.parquet(source)
+    events = d.spark.readStream.schema(d.spark.read.parquet(source).schema).parquet(source)
+    found = stuck.releases(events, "registry_id", "processing_status", "processing")
+    writer = found.writeStream.option("checkpointLocation", d.folder("releases_checkpoint")).trigger(availableNow=True).format("parquet").option("path", target)
+    stuck.start_with_state(d.spark, writer.start).awaitTermination()
+    return d.spark.read.schema(found.schema).parquet(target)
+
+
 REVIEWS = """, reviews AS (SELECT concat('DOC_', user_id) AS document_id, event_type AS attribute_name, CASE WHEN max(event_id) % 3 = 0 THEN 'deny' ELSE 'approve' END AS action, concat('edited ', max(event_id)) AS edited_value
       FROM events WHERE value > 60 GROUP BY 1, 2)"""
 

@@ -24,6 +24,15 @@ def _open(base: str) -> tuple[fs.FileSystem, str, str]:
     return system, path.rstrip("/"), base
 
 
+def can_list(base: str) -> bool:
+    """Whether the folder's kind of file system can be listed here."""
+    try:
+        _open(base)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return False
+    return True
+
+
 def _hidden(name: str) -> bool:
     """Names that Spark's own file sources leave out."""
     return name.startswith(".") or (name.startswith("_") and "=" not in name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.routing import not_in
-from .folder_source import FolderListing
+from .folder_source import FolderListing, can_list
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -26,7 +26,13 @@ def _listing(files: DataFrame, base: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """One row per file, files of zero bytes included, listed by tasks below the upper folders.  No file is opened."""
+    """One row per file, files of zero bytes included, listed by tasks below the upper folders.  No file is opened.
+
+    A file system that only Spark knows is listed by Spark's own reader, which
+    leaves out files of zero bytes.
+    """
+    if not can_list(base):
+        return _listing(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base), base)
     spark.dataSource.register(FolderListing)
     return spark.read.format(FolderListing.name()).load(base)
 

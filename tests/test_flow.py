@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.operators import sheets, state
+from foliospark.schemas import conform
 from foliospark.seeds import EXTRACT_RULES
 from foliospark.sources import listing
 from foliospark.sources.tables import TableFolder
@@ -380,3 +381,47 @@ def test_page_limit_and_late_page_counts(spark, tmp_path):
     assert (flow.large_documents().first()["split_status"], flow.large_documents().first()["split_count"]) == ("split_complete", 3)
     moves = [r["split_status"] for r in tables.read("split_events").orderBy("event_time", "split_status").collect()]
     assert sorted(moves) == ["requires_external_processing", "split_complete", "splitting"]
+
+
+def test_stuck_rows_are_released_by_timers(spark, tmp_path):
+    from foliospark.streaming import stuck
+
+    schema = "registry_id string, processing_status string, event_time timestamp"
+    at = lambda h, m=0: datetime(2024, 3, 1, h, m)
+
+    def run(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        found = stuck.releases(events, "registry_id", "processing_status", "processing")
+        writer = found.writeStream.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).format("parquet").option("path", str(tmp_path / "out"))
+        stuck.start_with_state(spark, writer.start).awaitTermination()
+        return sorted(tuple(r) for r in spark.read.schema(found.schema).parquet(str(tmp_path / "out")).collect())
+
+    before = spark.conf.get(stuck.PROVIDER, None)
+    # "a" runs since 1:00, "b" was done, "c" began again at 1:50; the row without a key is left out.
+    first = run(
+        ("a", "processing", at(1)), ("b", "processing", at(1)), ("b", "completed", at(1, 30)), ("c", "processing", at(0)), ("c", "processing", at(1, 50)), (None, "processing", at(0)),
+        ("d", "completed", at(1, 59)),
+    )
+    assert first == []
+    assert spark.conf.get(stuck.PROVIDER, None) == before
+    # At 2:30 the wait for "a" is over, that for "c" is not.
+    assert run(("d", "processing", at(2, 30))) == [("a", "pending", at(2))]
+    # "c" ends in time; "d" and the new run of "a" wait too long, each once.
+    again = run(("c", "error", at(2, 40)), ("a", "processing", at(2, 45)), ("e", "completed", at(5)))
+    assert again == [("a", "pending", at(2)), ("a", "pending", at(3, 45)), ("d", "pending", at(3, 30))]
+    assert run(("e", "completed", at(9))) == again
+
+
+def test_releases_reach_the_tables(spark, tmp_path):
+    from foliospark.streaming import stuck
+
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    registry = "registry_id string, processing_status string, created_timestamp timestamp"
+    tables.write("csv_file_registry", conform(spark.createDataFrame([("x", "pending", AS_OF), ("y", "pending", AS_OF)], registry), "csv_file_registry"), 0)
+    events = spark.createDataFrame([("x", "processing", AS_OF), ("y", "processing", AS_OF), ("y", "completed", datetime(2024, 3, 1, 13)), ("z", "completed", datetime(2024, 3, 1, 15))], "registry_id string, processing_status string, event_time timestamp")
+    tables.write("csv_events", conform(events, "csv_events"), 0)
+    for _ in range(2):
+        stuck.release_events(tables, "csv_events", "processing_status", "processing", str(tmp_path / "check")).awaitTermination()
+        found = {r["registry_id"]: r["processing_status"] for r in DocumentFlow(tables).csv_files().collect()}
+        assert found == {"x": "pending", "y": "completed"}
