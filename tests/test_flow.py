@@ -1,6 +1,6 @@
 """The flow over real files: two runs, a replay, CSV loading and the splits."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -425,3 +425,27 @@ def test_releases_reach_the_tables(spark, tmp_path):
         stuck.release_events(tables, "csv_events", "processing_status", "processing", str(tmp_path / "check")).awaitTermination()
         found = {r["registry_id"]: r["processing_status"] for r in DocumentFlow(tables).csv_files().collect()}
         assert found == {"x": "pending", "y": "completed"}
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_keys_that_share_a_bucket_are_released_one_by_one(spark, tmp_path, buckets):
+    """A call handles many keys; each has a wait of its own, over to the millisecond."""
+    from foliospark.streaming import stuck
+
+    schema = "registry_id string, processing_status string, event_time timestamp"
+    begin = datetime(2024, 3, 1)
+    rows = [(f"r{i}", "processing", begin + timedelta(milliseconds=i)) for i in range(300)]
+    rows += [(f"r{i}", "completed" if i % 2 else None, begin + timedelta(minutes=30)) for i in range(0, 300, 3)]
+
+    def run(*new):
+        spark.createDataFrame(list(new), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        found = stuck.releases(events, "registry_id", "processing_status", "processing", buckets=buckets)
+        writer = found.writeStream.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).format("parquet").option("path", str(tmp_path / "out"))
+        stuck.start_with_state(spark, writer.start).awaitTermination()
+        return sorted(tuple(r) for r in spark.read.schema(found.schema).parquet(str(tmp_path / "out")).collect())
+
+    over = lambda last: sorted((f"r{i}", "pending", begin + timedelta(minutes=60, milliseconds=i)) for i in range(last + 1) if i % 3)
+    assert run(*rows, ("clock", "completed", begin + timedelta(minutes=60, milliseconds=100))) == over(100)
+    assert run(("clock", "completed", begin + timedelta(hours=2))) == over(299)
+    assert spark.read.format("statestore").load(str(tmp_path / "check")).count() == buckets
