@@ -185,3 +185,29 @@ def test_prompt_without_hits(chunks, questions):
 def test_matched_documents(spark):
     hits = spark.createDataFrame([(1, f) for f in "dcbaa"] + [(2, "x")], "query_id bigint, file_name string")
     assert {r["query_id"]: r["document_names"] for r in search.matched_documents(hits).collect()} == {1: "a, b, c...", 2: "x"}
+
+
+def test_lists_are_made_without_a_shuffle_of_words(spark, many, tmp_path):
+    """Blocks go over batches; only the lists of asked terms, by block, and the best of a block are shuffled."""
+    rows, chunks = many
+    index = search_index.SearchIndex(spark, f"{tmp_path}/index", buckets=4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        index.add_batch(chunks, 0)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "Exchange" not in index._postings(index.live("chunks"), "x")._jdf.queryExecution().executedPlan().toString()
+    lists = index.live("postings")
+    assert lists.count() == lists.select("origin", "block", "bucket").distinct().count()
+    counted = {r["term"]: (r["chunk_count"], r["occurrences"]) for r in index.term_statistics().collect()}
+    words = [r[1].split() for r in rows]
+    assert counted == {t: (n, sum(w.count(t) for w in words)) for t, n in Counter(t for w in words for t in set(w)).items()}
+
+
+def test_questions_in_slices_and_of_one_id(spark, many, tmp_path, monkeypatch):
+    rows, chunks = many
+    index = search_index.SearchIndex(spark, f"{tmp_path}/index")
+    index.add_batch(chunks, 0)
+    monkeypatch.setattr(search_index, "QUESTIONS", 2)
+    questions = spark.createDataFrame([*ASKED, (None, "w0")], "query_id bigint, query_text string")
+    assert ranked(index.rank(questions, 5)) == plain(rows, ASKED, 5)
