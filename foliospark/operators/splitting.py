@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.paths import SPLIT_FOLDER, member_id, part_file_name
 from ..functions.jsontext import path_value
 from ..schemas import conform
+from ..session import work_folder
 
 # Part limits and the states a split may start from.
 PAGES_PER_PART = 200
@@ -106,9 +107,13 @@ def merged_parts(parts: DataFrame, parsed: DataFrame, strict: bool = False) -> D
     """The text of every document as ordered rows: ``part_number`` gives the order, ``total_parts`` the number of rows.
 
     Only numbers are counted by document and joined back; no document is gathered,
-    however many parts it has.
+    however many parts it has.  The good parts are stored, as both the count and the
+    rows need them, and they may cost joins to make.
     """
     good = good_parts(parts, parsed, strict)
+    path = work_folder(good.sparkSession, "good-parts")
+    good.write.parquet(path)
+    good = good.sparkSession.read.schema(good.schema).parquet(path)
     keys = ["original_file_path", "registry_id"]
     counts = good.groupBy(*keys).agg(F.count("*").alias("total_parts"))
     return good.join(counts, keys)

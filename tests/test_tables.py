@@ -105,6 +105,16 @@ def test_ordered_parts(spark):
     assert rows(splitting.merged_documents(parts, parsed).select("registry_id", "total_parts", "merged_content")) == [("R", 2, "one errorInformation"), ("S", 1, "")]
 
 
+def test_parts_are_joined_with_their_texts_once(spark):
+    """The count and the rows read what one join has stored."""
+    parts = spark.range(40).selectExpr("concat('d', id % 4) AS original_file_path", "concat('R', id % 4) AS registry_id", "id AS part_number", "concat('p', id) AS part_stage_path")
+    parsed = spark.range(40).selectExpr("concat('p', id) AS file_path", "concat('{\"content\":\"t', id, '\"}') AS parsed_content")
+    found = splitting.merged_parts(parts, parsed)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Range" not in plan, plan
+    assert sorted(map(tuple, found.select("part_number", "part_text", "total_parts").collect())) == [(i, f"t{i}", 10) for i in range(40)]
+
+
 def test_texts_do_not_meet_the_stored_paths(spark, tmp_path):
     spark.createDataFrame([("a.txt", 1, "u", "parse", "t", None), ("b.txt", 1, "u", "parse", "t", None)], "relative_path string, size bigint, file_url string, route string, content string, error_information string").write.parquet(str(tmp_path / "in"))
     routed = spark.read.parquet(str(tmp_path / "in"))
