@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -361,3 +362,27 @@ def test_piece_ids_are_the_library_s():
     ids, lengths = pieces.encode_batch(PIECES, batch, False)
     assert ids.tolist() == [i for t in batch for i in library.encode(t)]
     assert model.decode(ids, lengths) == [library.decode(library.encode(t)) for t in batch]
+
+
+def test_repeats_scan_holds_little_beside_the_batch():
+    """2 MB of texts in one batch: what the scan holds at a time does not grow with the batch."""
+    draw = np.random.default_rng(4)
+    rows = ["".join(map(chr, draw.integers(97, 123, 4096).tolist())) for _ in range(512)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(512), pa.int64()), pa.array([0] * 512, pa.int32()), pa.array(rows)], ["doc", "text_key", "text"])
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    run = repeats._send(Rows(), repeats.Splitters([], 1))
+    tracemalloc.start()
+    sent = [out.to_pylist() for out in run(iter([batch]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = repeats.Suffixes([r.encode() for r in rows])
+    leads = b"".join(part["lead"] for out in sent for part in out)
+    assert leads == repeats._short(found.lead, 7)
+    assert most < 40 << 20
