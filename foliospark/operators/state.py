@@ -68,9 +68,11 @@ def mark_classified(parsed: DataFrame, classified: DataFrame) -> DataFrame:
     eligible = (
         (F.col("status") == "parsed") & F.col("content_text").isNotNull() & (F.length(F.trim("content_text")) > 0)
     )
+    # Judged before the join, so that texts are shuffled only for a reader that asks for them.
     return (
-        parsed.join(done, "document_id", "left")
-        .withColumn("status", F.when(eligible, F.coalesce("_done", "status")).otherwise(F.col("status")))
+        parsed.withColumn("_eligible", eligible)
+        .join(done, "document_id", "left")
+        .withColumn("status", F.when(F.col("_eligible"), F.coalesce("_done", "status")).otherwise(F.col("status")))
         .select(*parsed.columns)
     )
 

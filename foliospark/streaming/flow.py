@@ -10,7 +10,8 @@ batch that runs again after a crash writes the same rows to the same place.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 from typing import NamedTuple
@@ -39,6 +40,24 @@ def stream_arrivals(spark: SparkSession, folder: str, max_files: int = 100) -> D
     return source.option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
+@contextmanager
+def _adaptive(session: SparkSession, like: SparkSession) -> Iterator[None]:
+    """Adaptive execution in a stream's session as in the session ``like``, for cached rows too, for the block.
+
+    A stream turns it off for its state stores, and Spark for what is cached.  The rows of a
+    batch have no state, and without it each step over them has all shuffle partitions, and as many files.
+    """
+    names = ("spark.sql.adaptive.enabled", "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning")
+    before = [session.conf.get(name) for name in names]
+    for name in names:
+        session.conf.set(name, like.conf.get(names[0]))
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            session.conf.set(name, value)
+
+
 class Hooks(NamedTuple):
     """What only a user's own code can supply; every hook may be missing.
 
@@ -86,6 +105,10 @@ class DocumentFlow:
     # --- one micro-batch ---------------------------------------------------
 
     def run_batch(self, arrived: DataFrame, batch: int) -> None:
+        with _adaptive(arrived.sparkSession, self.spark):
+            self._run_batch(arrived, batch)
+
+    def _run_batch(self, arrived: DataFrame, batch: int) -> None:
         as_of = self.clock()
         captured = routing.first_per_path(routing.route_files(arrived)).persist()
         try:

@@ -449,3 +449,17 @@ def test_keys_that_share_a_bucket_are_released_one_by_one(spark, tmp_path, bucke
     assert run(*rows, ("clock", "completed", begin + timedelta(minutes=60, milliseconds=100))) == over(100)
     assert run(("clock", "completed", begin + timedelta(hours=2))) == over(299)
     assert spark.read.format("statestore").load(str(tmp_path / "check")).count() == buckets
+
+
+def test_steps_of_a_batch_do_not_take_all_shuffle_partitions(spark, tmp_path):
+    """A stream's session has adaptive execution off; a small batch leaves few files all the same."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "64")
+    path = F.concat(F.lit("in/"), F.col("id"), F.lit(".txt"))
+    rows = session.range(200).select(path.alias("relative_path"), F.lit(9).cast("bigint").alias("size"), path.alias("file_url"), F.lit("some text").alias("raw_text"))
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    DocumentFlow(tables).run_batch(rows, 0)
+    assert tables.read("parsed_documents").count() == 200
+    assert len(list((tmp_path / "tables" / "parsed_documents").rglob("*.parquet"))) <= 16
+    assert session.conf.get("spark.sql.adaptive.enabled") == "false"
