@@ -386,3 +386,28 @@ def test_repeats_scan_holds_little_beside_the_batch():
     leads = b"".join(part["lead"] for out in sent for part in out)
     assert leads == repeats._short(found.lead, 7)
     assert most < 40 << 20
+
+
+def test_a_bucket_of_suffixes_is_sorted_in_little_memory(monkeypatch):
+    """300,000 suffixes in one group: a task holds some 70 bytes for each beside what it is sent."""
+    draw, n, docs = np.random.default_rng(6), 300_000, 3000
+    lead, segment = draw.integers(0, n, n).astype(np.uint64), draw.integers(0, 2, n).astype(np.uint64)
+    doc, nth = draw.integers(0, docs, n), np.arange(n)
+    names = ["bucket", "lead", "segment", "doc", "text_key", "nth"]
+    values = [3, repeats._short(lead, 7), repeats._short(segment, 5), doc.tobytes(), repeats._short(doc % 7, 2), repeats._short(nth, 4)]
+    group = pa.RecordBatch.from_arrays([pa.array([v], pa.int32() if isinstance(v, int) else pa.binary()) for v in values], names)
+    del values
+    held = []
+    # As Spark hands a group over: to a function of pandas frames whole, to one of Arrow batches by batch.
+    monkeypatch.setattr(repeats, "give_back", lambda: held.append(tracemalloc.get_traced_memory()[1]))
+    arrow = "Iterator" in str(repeats._sort_bucket.__annotations__)
+    tracemalloc.start()
+    out = [b.to_pylist() for b in repeats._sort_bucket(iter([group]))] if arrow else [repeats._sort_bucket(group.to_pandas()).to_dict("records")]
+    tracemalloc.stop()
+    first: dict = {}
+    for where in sorted(zip(lead.tolist(), segment.tolist(), doc.tolist())):
+        first.setdefault(where[:2], where[2])
+    expected = Counter((d, d % 7, i) for a, s, d, i in zip(lead.tolist(), segment.tolist(), doc.tolist(), nth.tolist()) if d > first[a, s])
+    found = Counter((r["doc"], r["text_key"], i) for rows in out for r in rows if r["kind"] == 0 for i in np.frombuffer(r["nth"], "<u4").tolist())
+    assert found == expected
+    assert held[0] / n < 80
