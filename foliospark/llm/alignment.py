@@ -23,8 +23,9 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct, give_back, list_array, offsets, slices, stored, texts
+from .common import distinct, give_back, list_array, offsets, slices, stored
 
 #: Bytes of text in a block, characters of parts that a worker remembers, and salts of a text's rows.
 BLOCK_BYTES, REMEMBERED, SALTS = 2 << 20, 5 << 19, 60
-CUT = re.compile(r"(?<=[!-~À-ÖØ-öø-ÿ]) (?=[A-Za-zÀ-ÖØ-öø-ÿ])")
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ](?s:.*)(?<=[!-~À-ÖØ-öø-ÿ])\Z")
 #: Parts that are tokenised at a time.
 TOGETHER = 512
@@ -45,6 +45,34 @@ TOGETHER = 512
 SHIFT = 1 << 20
 
 
+def cut_texts(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The parts of all texts (no null, none empty), and the number of parts of each text.
+
+    A blank goes if a visible character of ASCII or a letter of Latin-1 stands before it, and a letter of either behind it.
+    """
+    column = column.cast(pa.large_string())
+    _, places, data = column.buffers()
+    borders = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1]
+    text = np.frombuffer(data, np.uint8)[borders[0] : borders[-1]]
+    borders = borders - borders[0]
+    # A blank at the edge of a text has no neighbour.
+    edge = np.zeros(len(text) + 1, bool)
+    edge[borders] = True
+    at = np.flatnonzero(text == ord(" "))
+    at = at[~(edge[at] | edge[at + 1])]
+    latin = lambda lead, last: (lead == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+    before, after = text[at - 1], text[at + 1]
+    visible = (before >= ord("!")) & (before <= ord("~")) | latin(text[np.maximum(at - 2, 0)], before)
+    letter = ((after | 32) >= ord("a")) & ((after | 32) <= ord("z")) | latin(after, text[np.minimum(at + 2, max(0, len(text) - 1))])
+    at = at[visible & letter]
+    starts = np.sort(np.concatenate([borders, at]))
+    # The blanks themselves belong to no part.
+    starts -= np.searchsorted(at, starts)
+    kept = np.delete(text, at)
+    parts = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(kept))
+    return parts, np.diff(np.searchsorted(at, borders)) + 1
+
+
 class Aligner:
     """Tokens, groups and links of parts of texts; one per task."""
 
@@ -52,6 +80,8 @@ class Aligner:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of the library would take those of other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=path_b)
@@ -78,8 +108,9 @@ class Aligner:
 
     def _add(self, new: list[str]):
         # Parts that may follow each other in a text are tokenised as one, which ends a token after each of them.
-        plain = [p for p in new if PLAIN.match(p)]
-        new = plain + [p for p in new if not PLAIN.match(p)]
+        alone = [PLAIN.match(p) is None for p in new]
+        plain = [p for p, a in zip(new, alone) if not a]
+        new = plain + list(compress(new, alone))
         raw = [b" " + p.encode() for p in new]
         found, good = [], np.ones(len(new), bool)
         for i in range(0, len(plain), TOGETHER):
@@ -88,7 +119,7 @@ class Aligner:
             found += [one] if one else [self._one(j, new, raw, good) for j in range(i, stop)]
         found += [self._one(j, new, raw, good) for j in range(len(plain), len(new))]
         ends_of = np.cumsum([len(r) if g else 0 for r, g in zip(raw, good)])
-        a, b = (np.array(list(chain.from_iterable(side)), np.int64) for side in zip(*found))
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64, sum(map(len, side))) for side in zip(*found))
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ends = np.intersect1d(end_a, end_b, assume_unique=True)
         group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
@@ -122,9 +153,9 @@ class Aligner:
 
     def _tokens(self, text: str, raw: bytes):
         """Ids of both tokenizers; none if they do not spell ``raw``."""
-        a = self.a.encode(" " + text, add_special_tokens=False).ids
+        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
         b = self.b.encode(text)
-        if b"".join([self.bytes_a[t] for t in a]) == raw and b"".join([self.bytes_b[t] for t in b]) == raw:
+        if b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw:
             return a, b
 
     def _one(self, at: int, new: list[str], raw: list[bytes], good: np.ndarray):
@@ -194,9 +225,10 @@ def blocks(unique: DataFrame, path_a: str, path_b: str, block_bytes: int = BLOCK
         held: list = []
         size = 0
         for piece in slices(batches):
-            parts = [CUT.split(t) for t in texts(piece.column("text"))]
-            codes = np.array(aligner.codes(list(chain.from_iterable(parts))), np.int64)
-            each = np.split(codes, np.cumsum([len(p) for p in parts])[:-1])
+            parts, counts = cut_texts(piece.column("text"))
+            coded = parts.dictionary_encode()
+            codes = np.array(aligner.codes(coded.dictionary.to_pylist()), np.int64)[coded.indices.to_numpy()]
+            each = np.split(codes, np.cumsum(counts)[:-1])
             held += zip(*(piece.column(c).to_pylist() for c in ("text_key", "rows", "salts")), each)
             size += piece.column("text").nbytes
             if size >= block_bytes:
@@ -224,10 +256,13 @@ def _block(aligner: Aligner, block: int, held: list, schema: pa.Schema):
     place = np.zeros(len(aligner.good), np.int64)
     place[used] = np.arange(len(used))
     flat = place[flat]
-    totals = np.stack([np.bincount(text, weights=aligner.counts[used[flat], i], minlength=len(held)) for i in range(4)]).astype(np.int64)
-    shas = [hashlib.sha256(";".join([aligner.groups[i] for i in c]).encode()).hexdigest() for c in map(np.ndarray.tolist, codes)]
-    seen, times = np.unique(text * len(used) + flat, return_counts=True)
-    of_text, part = seen // len(used), seen % len(used)
+    shas = [hashlib.sha256(";".join(map(aligner.groups.__getitem__, c)).encode()).hexdigest() for c in map(np.ndarray.tolist, codes)]
+    seen = np.sort(text * len(used) + flat)
+    first = np.flatnonzero(np.diff(seen, prepend=-1))
+    times = np.diff(np.append(first, len(seen)))
+    of_text, part = np.divmod(seen[first], len(used))
+    counts = aligner.counts[used]
+    totals = np.stack([np.bincount(of_text, weights=counts[part, i] * times, minlength=len(held)) for i in range(4)]).astype(np.int64)
     each = np.bincount(of_text, minlength=len(held))
 
     pairs, links, sizes = aligner.links(used)

@@ -1,12 +1,16 @@
 """License scan, tokenizer alignment and filter audit against brute force."""
 
 import hashlib
+import random
 import re
+import types
 from collections import Counter
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
+import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -207,3 +211,34 @@ def test_decontamination_with_clashing_columns(spark):
     assert clean.columns == ["doc_id", "text", "spans", "_set", "row", "key"]
     found = {r["doc_id"]: r for r in clean.collect()}
     assert found.keys() == {1, 3, None} and item not in found[1]["text"] and found[1]["spans"] == "s"
+
+
+def test_parts_of_texts_are_found_without_a_search_in_each():
+    """As by a pattern; each distinct part of a slice is looked up once, however often it occurs."""
+    draw = random.Random(8)
+    signs = [" ", " ", "a", "Z", "é", "Ö", "ß", "×", "÷", "ÿ", "À", "¿", "7", ".", "~", "!", "\x7f", "\n", "漢", "𝄞", "Ā", "\u00a0", "ă"]
+    made = ["".join(draw.choice(signs) for _ in range(draw.randint(1, 12))) for _ in range(20_000)] + [" ", "  ", "a b", " a b ", "é é", "a " * 9]
+    cut = re.compile(r"(?<=[!-~À-ÖØ-öø-ÿ]) (?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+    parts, counts = alignment.cut_texts(pa.array(made)[3:])
+    expected = [cut.split(t) for t in made[3:]]
+    assert counts.tolist() == [len(p) for p in expected] and parts.to_pylist() == [p for ps in expected for p in ps]
+    asked = []
+
+    class Counting(alignment.Aligner):
+        def codes(self, parts):
+            asked.append(len(parts))
+            return super().codes(parts)
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two three " * 500] * 4), pa.array([b"k"] * 4, pa.binary()), pa.array([1] * 4), pa.array([1] * 4)], ["text", "text_key", "rows", "salts"])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(alignment, "Aligner", Counting)
+        patch.setattr(alignment.TaskContext, "get", staticmethod(lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+        out = list(alignment.blocks(Rows(), A, B)(iter([batch])))
+    assert sum(asked) == 4 and out[0].column("n_a").to_pylist() == [out[0].column("n_a")[0].as_py()] * 4
