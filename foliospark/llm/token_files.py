@@ -32,7 +32,7 @@ SCHEMA = "doc_id long, part int, part_start long, n_tokens int, tokens array<int
 LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 #: Texts whose ids must be those of their words.
-PROBES = ("One two,  three. Four's caf\u00e9, 5.0 x", " lead\n\nnext line \u4e2d\u6587 \u4e2d. end.", "a . b ,c d.e f.\ng", "\u00e9. \u00d7. A\u0301. B")
+PROBES = ("One two,  three. Four's caf\u00e9, 5.0 x", " lead\n\nnext line \u4e2d\u6587 \u4e2d. end.", "a . b ,c d.e f.\ng", "\u00e9. \u00d7. A\u0301. B", "a-b (c) d/e,f \"g\" it's 'x y.'s z-'t [q]; --\u00e9= _u_ 4.5x <i>\u0301v <|w|> k@l**#")
 
 _coders: dict[str, Codes] = {}
 
@@ -53,8 +53,8 @@ def word_coder(path: str) -> Codes:
         for token, i in library.get_vocab(with_added_tokens=True).items():
             ends[i] = token.endswith("</w>")
 
-        for probe in PROBES:
-            words = [w.rstrip(" \n") for w in cut_texts(pa.array([probe]))[0].to_pylist()]
+        for probe in [*PROBES, *(f"a{t.content}b. {t.content}" for t in library.get_added_tokens_decoder().values())]:
+            words = cut_texts(pa.array([probe]))[0].to_pylist()
             apart = chain.from_iterable(e.ids for e in library.encode_batch_fast(words, add_special_tokens=False))
             if library.encode(probe, add_special_tokens=False).ids != list(apart):
                 raise ValueError("a cut at white space changes the result of this tokenizer")
@@ -78,39 +78,53 @@ def word_coder(path: str) -> Codes:
     return _coders[path]
 
 
+#: Kinds of bytes: letters, signs that are cut from letters, and the first byte of letters of Latin-1.
+#: An apostrophe may begin a token with the letters behind it, and bars stand in the names of special tokens.
+LETTER, SIGN, LATIN = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = LETTER
+_KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{}~")] = SIGN
+_KIND[0xC3] = LATIN
+
+
 def cut_texts(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, each with the blank or line break that ends it, and the number of words of each text.
+    """The words of all texts, without the blanks and line breaks between them, and the number of words of each text.
 
-    A full stop or comma between a letter and white space is a token of its own, so it is cut off as a word.
+    Between a letter of ASCII or Latin-1 and a sign a token ends, so words are cut there too.
     """
     column = pc.fill_null(column, "").cast(pa.large_string())
     _, places, data = column.buffers()
     borders = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
-    data = pa.py_buffer(b"") if data is None else data.slice(int(borders[0]), int(borders[-1] - borders[0]))
+    text = np.frombuffer(b"" if data is None else data, np.uint8)[borders[0] : borders[-1]]
     borders = borders - borders[0]
-    text = np.frombuffer(data, np.uint8)
     cut = np.zeros(len(text) + 1, bool)
-    cut[1:] = (text == ord(" ")) | (text == ord("\n"))
+    kind = _KIND[text]
+    signs = np.flatnonzero(kind == SIGN)
+    # A sign behind a letter, and a letter behind a sign.
+    last, lead = signs - 1, signs - 2
+    latin = (kind[lead] == LATIN) & (text[last] >= 0x80) & (text[last] != 0x97) & (text[last] != 0xB7) & (last > 0)
+    cut[signs[(last >= 0) & ((kind[last] == LETTER) | latin)]] = True
+    after = signs + 1
+    at, then = np.minimum(after, len(text) - 1), np.minimum(after + 1, len(text) - 1)
+    latin = (kind[at] == LATIN) & (text[then] != 0x97) & (text[then] != 0xB7)
+    cut[after[(kind[at] == LETTER) | latin]] = True
     cut[borders] = True
-    # Where a word ends behind a mark, the mark is cut off if a letter of ASCII or Latin-1 stands before it.
-    marks = np.flatnonzero((text == ord(".")) | (text == ord(",")))
-    after = np.minimum(marks + 1, len(text) - 1)
-    marks = marks[(marks > 0) & (cut[marks + 1] | (text[after] == ord(" ")) | (text[after] == ord("\n")))]
-    last, lead = text[marks - 1], text[marks - 2]
-    ascii_letter = ((last | 32) >= ord("a")) & ((last | 32) <= ord("z"))
-    latin_letter = (lead == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7) & (marks > 1)
-    cut[marks[ascii_letter | latin_letter]] = True
+    white = (text == ord(" ")) | (text == ord("\n"))
+    # A word begins behind each blank; the blanks themselves belong to no word.
+    cut[1:] |= white
     starts = np.flatnonzero(cut)
-    words = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), data) if len(text) else pa.array([], pa.large_string())
-    return words, np.diff(np.searchsorted(starts, borders))
+    counts = np.diff(np.searchsorted(starts, borders))
+    blanks = np.flatnonzero(white)
+    starts -= np.searchsorted(blanks, starts)
+    words = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(text[~white])) if len(text) else pa.array([], pa.large_string())
+    return words, counts
 
 
 def encode_texts(path: str, end_id: int, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by the end id, and the number of ids of each."""
     words, counts = cut_texts(batch)
     coded = words.dictionary_encode()
-    distinct = pc.utf8_rtrim(coded.dictionary, " \n").to_numpy(zero_copy_only=False).tolist()
-    ids, sizes = word_coder(path).expand(distinct, coded.indices.to_numpy())
+    ids, sizes = word_coder(path).expand(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy())
     ends = offsets(sizes)[np.cumsum(counts)]
     lengths = np.diff(ends, prepend=0) + 1
     return np.insert(ids, ends, end_id).astype(np.int32), lengths

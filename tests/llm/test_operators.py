@@ -411,3 +411,17 @@ def test_a_bucket_of_suffixes_is_sorted_in_little_memory(monkeypatch):
     found = Counter((r["doc"], r["text_key"], i) for rows in out for r in rows if r["kind"] == 0 for i in np.frombuffer(r["nth"], "<u4").tolist())
     assert found == expected
     assert held[0] / n < 80
+
+
+def test_words_are_cut_from_the_signs_beside_them():
+    """A word with signs on either side is no string of its own to encode, and ids stay the library's."""
+    words, counts = token_files.cut_texts(pa.array([None, '(word) word, "word"; éa-word. word\nword*** it\'s a|b', "", "word"]))
+    assert counts.tolist() == [0, 17, 0, 1] and sum(w == "word" for w in words.to_pylist()) == 7
+    draw = random.Random(12)
+    signs = [" ", "\n", "\t", ".", ",", "'", "'s", "'T", "-", "|", "<", ">", "<|startoftext|>", "<|endoftext|>", "é", "É", "×", "÷", "ÿ", "a", "Bc", "S", "7", "́", "̸", "漢", "_", "\\", "¿", " ", "K"]
+    made = ["".join(draw.choice(signs) for _ in range(draw.randint(1, 14))) for _ in range(8000)]
+    ids, lengths = token_files.encode_texts(WORDS, 2, pa.array(made))
+    library_ids("")
+    expected = [e.ids + [2] for e in LIBRARY[0].encode_batch(made, add_special_tokens=False)]
+    assert lengths.tolist() == list(map(len, expected))
+    assert ids.tolist() == [i for e in expected for i in e]
