@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_loop
+from .common import arrow_loop, give_back
 
 UNKNOWN = "und"
 #: Language families; a language that is not listed is a family of its own.
@@ -161,7 +161,11 @@ def fit(docs: DataFrame, learn: Column, families: dict[str, str] = FAMILIES, max
     x = np.zeros((len(found), WIDTH), np.float32)
     for i, (_, place, value) in enumerate(found):
         x[i, np.frombuffer(place, "<u2")] = np.frombuffer(value, "<f4")
-    return Model(x, [lang for lang, _, _ in found], families)
+    model = Model(x, [lang for lang, _, _ in found], families)
+    # Else the driver keeps what the matrices took while the next stages run.
+    x = found = None
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

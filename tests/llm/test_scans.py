@@ -11,10 +11,11 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from foliospark.llm import alignment, decontaminate, filter_audit, licenses, near_dups
+from foliospark.llm import alignment, decontaminate, filter_audit, language_id, licenses, near_dups
 from foliospark.llm.common import Scratch
 from foliospark.llm.queries import QUERIES
 
@@ -242,3 +243,24 @@ def test_parts_of_texts_are_found_without_a_search_in_each():
         patch.setattr(alignment.TaskContext, "get", staticmethod(lambda: types.SimpleNamespace(partitionId=lambda: 0)))
         out = list(alignment.blocks(Rows(), A, B)(iter([batch])))
     assert sum(asked) == 4 and out[0].column("n_a").to_pylist() == [out[0].column("n_a")[0].as_py()] * 4
+
+
+def test_stored_tables_are_followed_by_a_collection(spark):
+    """Broadcasts, shuffles and generated code of a step are not left to pile up in the driver until the block ends."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    with Scratch(spark) as scratch:
+        before = full()
+        for n in (1, 2):
+            assert scratch.stored(spark.range(n), "collected").count() == n
+        assert full() >= before + 2
+
+
+def test_driver_gives_back_what_learning_took(spark):
+    rows = [*enumerate([helpers.prose(i, 30, lang) for i in range(5) for lang in ("en", "de", "fr")])]
+    docs = helpers.frame(spark, rows).withColumn("lang", F.element_at(F.array(*map(F.lit, ("en", "de", "fr"))), (F.col("doc_id") % 3 + 1).cast("int")))
+    given = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language_id, "give_back", lambda: given.append(True))
+        model = language_id.fit(docs, F.lit(True))
+    assert given == [True] and model.langs == ["de", "en", "fr"]
